@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
-from tidemark.operators.ordered import nth_key, scan_before
+from tidemark.operators.ordered import key_literal, nth_key, scan_before
 
 
 def one_hot(cats: list[str], nums: list[str], out: str = "features") -> Pipeline:
@@ -119,12 +119,11 @@ def head_tail_split(
     """
     key = F.struct(*order)
     keys = df.select(key.alias("k"))
-    cut = int(keys.count() * ratio)
-    first = keys.limit(1).count()
-    if not first:
+    size = keys.count()
+    cut = int(size * ratio)
+    if cut >= size:
         return df.withColumn(out, F.lit("train"))
-    bound = nth_key(keys, cut)
-    edge = F.struct(*[F.lit(str(bound[c])).cast(df.schema[c].dataType).alias(c) for c in order])
+    edge = key_literal(nth_key(keys, cut), keys.schema["k"].dataType)
     return df.withColumn(out, F.when(key < edge, "train").otherwise("predict"))
 
 

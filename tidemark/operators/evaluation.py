@@ -15,17 +15,18 @@ STATISTICS = {"AVERAGE": "average", "STANDARD_DEVIATION": "std_dev"}
 MAX_ORDER = 4
 
 
-def _grams(tokens: Column, order: int) -> Column:
-    """All runs of ``order`` tokens as (order, gram)."""
+def _grams(tokens: Column, order: int, side: str) -> Column:
+    """All runs of ``order`` tokens as (order, gram, side)."""
     starts = F.sequence(F.lit(1), F.size(tokens) - (order - 1))
     runs = F.transform(
         starts,
         lambda i: F.struct(
             F.lit(order).alias("order"),
             F.array_join(F.slice(tokens, i, F.lit(order)), " ").alias("gram"),
+            F.lit(side).alias("side"),
         ),
     )
-    none = F.array().cast("array<struct<order:int,gram:string>>")
+    none = F.array().cast("array<struct<order:int,gram:string,side:string>>")
     return F.when(F.size(tokens) >= order, runs).otherwise(none)
 
 
@@ -40,16 +41,7 @@ def _overlaps(df: DataFrame, id_cols: list[str], ref: str, hyp: str, max_order:
         *[F.col(c) for c in id_cols]
     )
     marked = F.concat(
-        *[
-            F.transform(
-                _grams(F.col(f"_{s}"), n),
-                lambda g, s=s: F.struct(
-                    g["order"].alias("order"), g["gram"].alias("gram"), F.lit(s).alias("side")
-                ),
-            )
-            for _, s in sides
-            for n in range(1, max_order + 1)
-        ]
+        *[_grams(F.col(f"_{s}"), n, s) for _, s in sides for n in range(1, max_order + 1)]
     )
     exploded = tokens.select(
         *id_cols,

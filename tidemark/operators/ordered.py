@@ -7,7 +7,6 @@ and starts from the total of the ranges before it.
 
 from __future__ import annotations
 
-from datetime import date
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -17,15 +16,19 @@ from pyspark.sql import types as T
 BINS = 1024
 
 
-def _literal(value: Any, dtype: T.DataType) -> Column:
+def _literal(value: Any, dtype: T.DataType) -> str:
+    """SQL text of one key."""
     if isinstance(value, Row):
-        return F.struct(
-            *[_literal(value[f.name], f.dataType).alias(f.name) for f in dtype.fields]
-        )
-    if isinstance(value, date):
-        # As text: a datetime literal would pass through the driver's time zone.
-        return F.lit(str(value)).cast(dtype)
-    return F.lit(value).cast(dtype)
+        fields = [f"'{f.name}', {_literal(value[f.name], f.dataType)}" for f in dtype.fields]
+        return f"named_struct({', '.join(fields)})"
+    if value is None:
+        return f"CAST(NULL AS {dtype.simpleString()})"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"CAST('{text}' AS {dtype.simpleString()})"
+
+
+def key_literal(value: Any, dtype: T.DataType) -> Column:
+    return F.expr(_literal(value, dtype))
 
 
 def range_edges(keys: DataFrame, bins: int = BINS) -> list[Any]:
@@ -47,7 +50,8 @@ def range_bin(key: Column, edges: list[Any], dtype: T.DataType) -> Column:
     """Number of edges below ``key``, by binary search."""
     if not edges:
         return F.lit(0)
-    table = F.array(*[_literal(e, dtype) for e in edges])
+    # One parsed expression: building it call by call would cost a round trip per key.
+    table = F.expr(f"array({', '.join(_literal(e, dtype) for e in edges)})")
     steps, size = [], 1
     while size * 2 <= len(edges):
         size *= 2
@@ -119,9 +123,9 @@ def nth_key(keys: DataFrame, n: int, bins: int = BINS, small: int = 100_000) ->
         # Bin b holds keys above edges[b - 1] and up to edges[b].
         inside = F.lit(True)
         if b > 0:
-            inside = inside & (F.col(name) > _literal(edges[b - 1], dtype))
+            inside = inside & (F.col(name) > key_literal(edges[b - 1], dtype))
         if b < len(edges):
-            inside = inside & (F.col(name) <= _literal(edges[b], dtype))
+            inside = inside & (F.col(name) <= key_literal(edges[b], dtype))
         if counts[b] == sum(counts.values()) and counts[b] > small:
             raise ValueError("keys are not unique")
         keys = keys.where(inside)

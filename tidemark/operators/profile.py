@@ -43,9 +43,10 @@ def value_counts(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per column: count, distinct values, most frequent value, moments, quartiles.
+    """One row per column: count, distinct values, and the most frequent value of a text
+    column or the moments and quartiles of a numeric one.
 
-    Quartiles are exact and interpolated. They come from the sorted frequency
+    The quartiles are exact and interpolated. They come from the sorted frequency
     table, scanned in ranges, so that no task holds all values of a column.
     """
     parts = []
@@ -74,8 +75,8 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
             stats = ranked.agg(
                 total.alias("cnt"),
                 F.count("v").alias("distinct_values"),
-                top.alias("top"),
-                F.max("n").alias("freq"),
+                F.lit(None).cast("string").alias("top"),
+                F.lit(None).cast("bigint").alias("freq"),
                 F.round(F.max(mean), 6).alias("mean"),
                 F.round(F.sqrt(F.try_divide(squares, total - 1)), 6).alias("std"),
                 F.min("v").alias("min"),

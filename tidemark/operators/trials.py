@@ -45,29 +45,31 @@ def random_settings(
     seed: int = 42,
 ) -> DataFrame:
     """``trials`` repeatable draws per study row, uniform (or log-uniform) in each range."""
-    out = studies.withColumn("trial", F.explode(F.sequence(F.lit(1), F.lit(trials))))
-    for name, (low, high) in (ranges or RANGES).items():
-        draw = S.unit_draw(*key, "trial", F.lit(name), F.lit(seed))
-        if name in log_scale:
-            out = out.withColumn(name, F.lit(low) * F.pow(F.lit(high / low), draw))
-        else:
-            out = out.withColumn(name, F.lit(low) + F.lit(high - low) * draw)
-    return out
-
-
-def _checked(df: DataFrame) -> DataFrame:
-    """Fail on values that are no finite number, and on negative sizes."""
-    names = ["ac_temp", "insulation_thickness", "window_size", "occupancy_density"]
-    bad = reduce(
-        lambda a, b: a | b,
-        [
-            F.col(n).isNull() | F.isnan(n) | (F.abs(F.col(n)) == float("inf")) for n in names
-        ]
-        + [F.col(n) < 0 for n in names[1:]],
+
+    def setting(trial: Column) -> Column:
+        fields = [trial.alias("trial")]
+        for name, (low, high) in (ranges or RANGES).items():
+            draw = S.unit_draw(*key, trial, F.lit(name), F.lit(seed))
+            if name in log_scale:
+                value = F.lit(low) * F.pow(F.lit(high / low), draw)
+            else:
+                value = F.lit(low) + F.lit(high - low) * draw
+            fields.append(value.alias(name))
+        return F.struct(*fields)
+
+    # Drawn inside the generator: filters further up then see plain columns and
+    # are not pushed down with a copy of the drawing expression each.
+    rows = F.transform(F.sequence(F.lit(1), F.lit(trials)), setting)
+    return studies.select("*", F.inline(rows))
+
+
+def _valid() -> Column:
+    """Finite settings, sizes not negative. NaN is above every number here."""
+    top = F.lit(float("inf"))
+    sizes = [F.col(n) for n in list(RANGES)[1:]]
+    return reduce(
+        lambda a, b: a & b, [F.abs(F.col("ac_temp")) < top] + [(c >= 0) & (c < top) for c in sizes]
     )
-    message = F.lit("settings must be finite, and sizes not negative")
-    first = F.when(bad, F.raise_error(message).cast("double")).otherwise(F.col(names[0]))
-    return df.withColumn(names[0], first)
 
 
 def cost_of(noise: Column, outside_temp: float = OUTSIDE_TEMP) -> Column:
@@ -88,18 +90,13 @@ def sweep_cost(
     settings: DataFrame, noise_col: str | None = None, outside_temp: float = OUTSIDE_TEMP
 ) -> DataFrame:
     """Add cost and comfort of each setting; invalid settings raise."""
-    checked = _checked(
-        settings.withColumns(
-            {n: F.col(n).cast("double") for n in RANGES}
-        )
-    )
+    numbers = settings.withColumns({n: F.col(n).cast("double") for n in RANGES})
     noise = F.col(noise_col).cast("double") if noise_col else F.lit(0.0)
-    return checked.withColumns(
-        {
-            "cost": F.round(cost_of(noise, outside_temp), 6),
-            "comfort": F.round(comfort_of(), 6),
-        }
+    message = F.lit("settings must be finite, and sizes not negative")
+    cost = F.when(_valid(), cost_of(noise, outside_temp)).otherwise(
+        F.raise_error(message).cast("double")
     )
+    return numbers.withColumns({"cost": F.round(cost, 6), "comfort": F.round(comfort_of(), 6)})
 
 
 def best_trials(trials: DataFrame, study: str, order: list[str], metric: str = "cost") -> DataFrame:
