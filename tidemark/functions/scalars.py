@@ -104,9 +104,12 @@ def parse_json_safe(c: Column | str) -> Column:
 def json_value(variant: Column | str, path: str) -> Column:
     """Scalar at ``path`` as text; NULL for a missing path, an object or an array."""
     variant = col(variant)
-    kind = F.schema_of_variant(F.try_variant_get(variant, path, "variant"))
     text = F.try_variant_get(variant, path, "string")
-    return F.when(~(kind.startswith("OBJECT") | kind.startswith("ARRAY")), text)
+    kind = F.schema_of_variant(F.try_variant_get(variant, path, "variant"))
+    # The kind is only looked up for text that could be an object or array.
+    return F.when(~(text.startswith("{") | text.startswith("[")), text).when(
+        ~(kind.startswith("OBJECT") | kind.startswith("ARRAY")), text
+    )
 
 
 def json_double(variant: Column | str, path: str, strict: bool = True) -> Column:

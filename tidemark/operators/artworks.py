@@ -81,7 +81,10 @@ def score_objects(files: DataFrame, scorer: Scorer) -> DataFrame:
 def parse_results(results: DataFrame) -> DataFrame:
     """Add ``parsed_json`` and drop results without a readable JSON object."""
     parsed = S.parse_json_safe(S.json_block("result"))
-    return results.withColumn("parsed_json", parsed).where(F.col("parsed_json").isNotNull())
+    # A generator drops the unreadable ones: a filter would be pushed below the
+    # projection and parse every text a second time.
+    readable = F.filter(F.array(parsed), lambda v: v.isNotNull())
+    return results.withColumn("parsed_json", F.explode(readable))
 
 
 def join_results(results: DataFrame, source: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.operators.ordered import key_literal, nth_key, scan_before
+from tidemark.session import freeze
 
 
 def one_hot(cats: list[str], nums: list[str], out: str = "features") -> Pipeline:
@@ -65,7 +66,7 @@ def ordinal_levels(train: DataFrame, column: str) -> DataFrame:
     levels = (
         train.select(F.col(column).alias("level")).where("level IS NOT NULL").distinct()
     ).withColumn("_one", F.lit(1).cast("bigint"))
-    return scan_before(levels, "level", "_one", "code").drop("_one")
+    return scan_before(freeze(levels, "levels"), "level", "_one", "code").drop("_one")
 
 
 def ordinal_encode(train: DataFrame, apply: DataFrame, column: str, out: str) -> DataFrame:

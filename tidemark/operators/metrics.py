@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import scan_before
+from tidemark.session import freeze
 
 
 def rmse(df: DataFrame, y: str, yhat: str, by: list[str] | None = None) -> DataFrame:
@@ -46,7 +47,7 @@ def binary_metrics(
             F.count_if(F.col(label) != 1).alias("neg"),
         )
     )
-    ranked = scan_before(per_score, "s", "neg", "_neg_below")
+    ranked = scan_before(freeze(per_score, "scores"), "s", "neg", "_neg_below")
     hit = F.col("s") >= threshold
     clipped = F.greatest(F.least(F.col("s"), F.lit(1 - 1e-15)), F.lit(1e-15))
     loss = -(F.col("pos") * F.log(clipped) + F.col("neg") * F.log(1 - clipped))

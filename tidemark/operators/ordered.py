@@ -72,6 +72,7 @@ def scan_before(
     """Add ``out``: sum (or max) of ``value`` over all rows with a smaller ``key``.
 
     ``key`` must be unique and not NULL. The first row gets 0 for a sum, NULL for a max.
+    ``rows`` is read three times; freeze it first when it is costly.
     """
     dtype = rows.schema[key].dataType
     edges = range_edges(rows.select(key), bins)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import scalars as S
 from tidemark.operators.ordered import scan_before
+from tidemark.session import freeze
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -54,10 +55,13 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
         c = F.col(name)
         numeric = isinstance(df.schema[name].dataType, T.NumericType)
         freq = df.where(c.isNotNull()).groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        if numeric:
+            # Read by the size, the mean, the edges and the scan.
+            freq = freeze(freq.withColumn("v", F.col("v").cast("double")), "frequencies")
         top = F.max_by(F.col("v").cast("string"), F.struct("n", F.col("v")))
         null = F.lit(None).cast("double")
         if numeric:
-            ranked = scan_before(freq.withColumn("v", F.col("v").cast("double")), "v", "n", "_below")
+            ranked = scan_before(freq, "v", "n", "_below")
             size = freq.agg(F.sum("n")).scalar()
 
             def at(rank: Column) -> Column:

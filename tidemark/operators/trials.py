@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.operators.ordered import scan_before
+from tidemark.session import freeze
 
 # Grid of the single-parameter study, and the settings it keeps constant.
 AC_TEMPS = [18, 20, 22, 24, 26, 28, 30]
@@ -119,7 +120,7 @@ def pareto_front(df: DataFrame, minimise: str, maximise: str) -> DataFrame:
         & ~F.isnan(minimise)
         & ~F.isnan(maximise)
     )
-    best = valid.groupBy(minimise).agg(F.max(maximise).alias("_best"))
+    best = freeze(valid.groupBy(minimise).agg(F.max(maximise).alias("_best")), "best")
     front = (
         scan_before(best, minimise, "_best", "_cheaper", how="max")
         .where(F.col("_cheaper").isNull() | (F.col("_best") > F.col("_cheaper")))

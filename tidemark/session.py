@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job should run with, on a laptop or on a cluster.
 BASE_CONF = {
@@ -42,3 +42,24 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(base)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def freeze(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared folder and read back.
+
+    For a result that several jobs read: they see the same rows, and neither
+    they nor a lost executor compute it again.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition a source that has fewer splits than the session has cores.
+
+    A small file is one split and would keep one core busy; a large source has
+    splits enough and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
