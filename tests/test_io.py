@@ -89,7 +89,7 @@ def test_manifest_from_listed_files(spark, tmp_path):
     listing = readers.list_objects(spark, str(tmp_path / "photos"))
     assert listing.columns == ["uri", "size", "modified"]
     root = "file:" + str(tmp_path / "photos")
-    prefix = "gs://example-nyc-taxi-bucket/data/flowers_photos/"
+    prefix = "gs://example-bucket/data/photos/"
     rows = [tuple(r) for r in readers.image_manifest(listing, LABELS, root, prefix).collect()]
     assert len(rows) == 5
     assert rows[0] == (prefix + "daisy/daisy.jpg", "daisy")
@@ -177,7 +177,7 @@ def test_stream_keeps_the_newest_version(spark, tmp_path):
 
 
 def test_stream_categorize_drops_repeats(spark, tmp_path):
-    schema = "timestamp timestamp, userEmail string, userMessage string, chatbotMessage string"
+    schema = "timestamp timestamp_ntz, userEmail string, userMessage string, chatbotMessage string"
     rows = [(D(2026, 1, 1), "a", "jazz", "x"), (D(2026, 1, 1), "a", "jazz", "x"),
             (D(2026, 1, 1, 1), "b", "none", "x")]
     spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))

@@ -130,3 +130,24 @@ def test_classifier_separates(spark):
     model = models.train_classifier(rows, "label", "yes", ["c"], ["x"], (0.01,), (0.0,))
     scored = models.class_scores(model, rows, "label", "yes")
     assert metrics.binary_metrics(scored, "label", "score").first().roc_auc > 0.95
+
+
+def test_cross_validate_beats_the_baseline(spark):
+    rows = spark.range(600).select(
+        F.concat(F.lit("fold"), (F.col("id") % 2).cast("string")).alias("fold"),
+        F.when(F.col("id") % 3 == 0, "valid").otherwise("train").alias("role"),
+        F.when(F.col("id") % 5 == 0, "a").otherwise("b").alias("c"),
+        (F.col("id") % 11).cast("double").alias("x"),
+    )
+    rows = rows.withColumns({"y": F.col("x") * 2 + 1, "prev": F.lit(0.0)})
+    scores, importance = models.cross_validate(rows, ["c"], ["x"], "y", "prev", maxIter=4, maxDepth=4)
+    assert [r.rmse < r.rmse_prev for r in scores.collect()] == [True, True]
+    assert {r.feature for r in importance.collect()} == {"c", "x"}
+    top = metrics.importance_topn(importance, 1).first()
+    assert top.feature == "x" and top["mean"] > 0.9
+
+
+def test_search_settings_are_repeatable_and_in_range():
+    a = models.search_settings(20)
+    assert a == models.search_settings(20)
+    assert all(0.001 <= s["stepSize"] <= 0.1 and 4 <= s["maxDepth"] <= 7 for s in a)

@@ -52,8 +52,12 @@ def month_key(ts: Column | str) -> Column:
 
 
 def run_day(run_ts: Column, tz: str) -> Column:
-    """The day before the run, on the calendar of ``tz``; ``run_ts`` is UTC."""
-    return F.date_sub(F.to_date(F.from_utc_timestamp(run_ts.cast("timestamp"), tz)), 1)
+    """The day before the run, on the calendar of ``tz``; ``run_ts`` is a UTC wall time.
+
+    Wall times are used throughout, so the session's own zone plays no part.
+    """
+    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), run_ts.cast("timestamp_ntz"))
+    return F.date_sub(F.to_date(local), 1)
 
 
 def clip_low(c: Column | str, floor: float = 0.0) -> Column:

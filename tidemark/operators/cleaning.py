@@ -63,8 +63,7 @@ def hash_sample(df: DataFrame, column: str, mod: int = 10) -> DataFrame:
 
 def filter_run_day(df: DataFrame, ts: str, run_ts: Column | str, tz: str) -> DataFrame:
     """Rows of the day before the run, as a half-open range so that files can be skipped."""
-    run = F.lit(run_ts).cast("timestamp") if isinstance(run_ts, str) else run_ts
-    day = S.run_day(run, tz)
+    day = S.run_day(F.lit(run_ts) if isinstance(run_ts, str) else run_ts, tz)
     dtype = df.schema[ts].dataType
     return df.where(
         (F.col(ts) >= day.cast(dtype)) & (F.col(ts) < F.date_add(day, 1).cast(dtype))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import random
 from collections.abc import Sequence
 from typing import Any
 
@@ -17,6 +19,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import clip_lower
 from tidemark.operators.encode import one_hot, with_class_weights
+from tidemark.operators.metrics import rmse
+from tidemark.session import freeze
 
 
 def regressor_stages(
@@ -55,10 +59,64 @@ def train_regressor(
     return regressor_stages(cats, nums, label, valid="_valid", **params).fit(marked)
 
 
-def feature_importance(model: PipelineModel, nums: list[str]) -> list[tuple[str, float]]:
-    """(feature, importance) of trees over numeric columns."""
+def feature_importance(
+    model: PipelineModel, scored: DataFrame, nums: list[str], vector: str = "features"
+) -> list[tuple[str, float]]:
+    """(feature, importance): numeric columns by name, the slots of a category added up."""
     values = model.stages[-1].featureImportances.toArray()
-    return [(n, float(v)) for n, v in zip(nums, values, strict=True)]
+    attrs = scored.schema[vector].metadata["ml_attr"]["attrs"]
+    totals: dict[str, float] = {}
+    for a in (a for group in attrs.values() for a in group):
+        name = a["name"] if a["name"] in nums else a["name"].split("_slots_")[0]
+        totals[name] = totals.get(name, 0.0) + float(values[a["idx"]])
+    return sorted(totals.items())
+
+
+def search_settings(
+    n: int,
+    step: tuple[float, float] = (0.001, 0.1),
+    leaves: tuple[int, int] = (10, 100),
+    seed: int = 42,
+) -> list[dict[str, Any]]:
+    """``n`` repeatable settings: step size log-uniform, tree size as a depth.
+
+    Boosted trees here are bounded by depth, so a number of leaves becomes the
+    depth that has room for it.
+    """
+    draw = random.Random(seed)
+    return [
+        {
+            "stepSize": step[0] * (step[1] / step[0]) ** draw.random(),
+            "maxDepth": math.ceil(math.log2(draw.randint(*leaves))),
+        }
+        for _ in range(n)
+    ]
+
+
+def cross_validate(
+    rows: DataFrame, cats: list[str], nums: list[str], label: str, baseline: str, **params: Any
+) -> tuple[DataFrame, DataFrame]:
+    """Fit each fold on its ``train`` rows and score its ``valid`` rows.
+
+    ``rows`` come from ``time_series_folds``. Every fold has encoders of its own.
+    Returns (fold, rmse_prev, rmse), where ``rmse_prev`` is the error of the
+    ``baseline`` column, and (fold, feature, importance).
+    """
+    spark, rows = rows.sparkSession, freeze(rows, "folds")
+    folds = sorted(r["fold"] for r in rows.select("fold").distinct().collect())
+    scores, importance = [], []
+    for fold in folds:
+        train = rows.where((F.col("fold") == fold) & (F.col("role") == "train"))
+        valid = rows.where((F.col("fold") == fold) & (F.col("role") == "valid"))
+        model = train_regressor(train, valid, cats, nums, label, **params)
+        scored = model.transform(valid)
+        prev = rmse(scored, label, baseline).first()["rmse"]
+        scores.append((fold, prev, rmse(scored, label, "prediction").first()["rmse"]))
+        importance += [(fold, f, v) for f, v in feature_importance(model, scored, nums)]
+    return (
+        spark.createDataFrame(scores, "fold string, rmse_prev double, rmse double"),
+        spark.createDataFrame(importance, "fold string, feature string, importance double"),
+    )
 
 
 def param_sweep(
@@ -188,12 +246,14 @@ def rf_importance(df: DataFrame, trees: int = 100, seed: int = 42) -> DataFrame:
 __all__ = [
     "batch_score",
     "class_scores",
+    "cross_validate",
     "feature_importance",
     "load_model",
     "param_sweep",
     "regressor_stages",
     "rf_importance",
     "save_model",
+    "search_settings",
     "train_classifier",
     "train_regressor",
 ]

@@ -13,6 +13,7 @@ from tidemark.plans.adapters import (
     CENSUS,
     DATES,
     FEATURES_CTE,
+    FOLDS,
     PREPARED,
     STUDIES,
     TRIPS,
@@ -268,7 +269,7 @@ def trip_split(t: Tables):
         prepare_trips(t.trips()).withColumns({c: F.col(c).cast("string") for c in CATS}),
         {"train": 0.8, "test": 0.2},
         ["pickup_datetime"],
-    ).drop("data_type_")
+    )
     return tuple(
         rows.where(f"data_type = '{k}'").drop("data_type", "pickup_datetime")
         for k in ("train", "test")
@@ -287,10 +288,25 @@ def _(t: Tables):
 @query("param_sweep")
 def _(t: Tables):
     train, test = trip_split(t)
-    grid = [{"maxDepth": d, "maxIter": 2} for d in (3, 6, 9)]
+    grid = [{"maxDepth": d, "maxIter": 2} for d in (3, 6)]
+    grid += [{**s, "maxIter": 2} for s in models.search_settings(1)]
     return models.param_sweep(train, test, CATS, NUMS, "tip_amount", grid)
 
 
+@query("cross_validate")
+def _(t: Tables):
+    """Scores per fold of the model and of last month's amount, with their means."""
+    from tidemark.plans.retail import NUMERIC
+
+    tx = t.clean()
+    rows = U.baseline_join(U.concat_folds(tx, DATES), U.previous_amount(tx, DATES))
+    folds = U.time_series_folds(rows, {k: FOLDS[k] for k in ("fold1", "fold5")})
+    scores, _importance = models.cross_validate(
+        folds, ["country_mode"], NUMERIC, "target", "prev_month_amount", maxIter=3, maxDepth=3
+    )
+    return metrics.fold_summary(scores, ["rmse_prev", "rmse"])
+
+
 @query("batch_score")
 def _(t: Tables):
     """Fitted on the training dates, saved, loaded, and applied to the last date."""

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import functions as F
-
 from tidemark.operators import chat as H
 from tidemark.plans.adapters import CATEGORIZED, KEYWORDS, Tables
 from tidemark.plans.registry import query, with_ctes
@@ -51,7 +49,7 @@ def _(t: Tables):
     """The chat rows, written out once, arrive as a stream."""
     base = shared_dir(t.spark, "chat")
     source, sink = os.path.join(base, "source"), os.path.join(base, "categories")
-    chat = t.chat().withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    chat = t.chat()
     chat.write.parquet(source)
     stream = t.spark.readStream.schema(chat.schema).parquet(source)
     SC.stream_categorize(
@@ -62,5 +60,4 @@ def _(t: Tables):
         watermark="3650 days",
         once=True,
     ).awaitTermination()
-    out = t.spark.read.parquet(sink).drop("batch_id")
-    return out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    return t.spark.read.parquet(sink).drop("batch_id")

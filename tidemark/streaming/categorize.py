@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.chat import RUN_ZONE, Scorer, categorize, daily_rows
@@ -36,8 +37,12 @@ def stream_categorize(
         folder = os.path.join(sink, f"batch_id={batch_id}")
         categorize(batch, scorer).write.mode("overwrite").parquet(folder)
 
-    fresh = chat.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(
-        ["timestamp", "userEmail"]
+    # A watermark needs an instant; the wall time itself is kept as it is.
+    fresh = (
+        chat.withColumn("_event_time", F.col("timestamp").cast("timestamp"))
+        .withWatermark("_event_time", watermark)
+        .dropDuplicatesWithinWatermark(["timestamp", "userEmail"])
+        .drop("_event_time")
     )
     writer = (
         fresh.writeStream.outputMode("append")
