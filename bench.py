@@ -1,7 +1,8 @@
 """Headline queries, timed warm; prints one JSON line.
 
 BENCH_SF_DIR is the folder of the tables, BENCH_CPUS the local cores.
-With ``--variants`` it times alternative plans of the same operator instead.
+``--variants`` times alternative plans of the same operator instead, ``--duckdb``
+the SQL of the headline queries on DuckDB with as many threads.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidemark.plans.adapters import DATES, Tables  # noqa: E402
 from tidemark.plans.catalog import QUERIES  # noqa: E402
-from tidemark.session import build_session  # noqa: E402
+from tidemark.session import build_session, freeze  # noqa: E402
 
 HEADLINE = [
     "clean_transactions",
@@ -70,7 +71,7 @@ def variants(t: Tables) -> dict:
 
     keys = ("pickup_location_id", "entity_id", "pickup_datetime", "feature_timestamp")
     rows = t.trips().select("event_id", "pickup_location_id", "pickup_datetime")
-    zones = N.zone_stats(t.trips(), SNAPSHOTS)
+    zones = freeze(N.zone_stats(t.trips(), SNAPSHOTS), "zone_stats")
 
     def separate():
         tx = t.clean()
@@ -78,16 +79,36 @@ def variants(t: Tables) -> dict:
         return U.assemble(U.base_features(joined), U.activity_features(joined))
 
     return {
-        "pit_join by slot": lambda: N.pit_join(rows, zones, *keys),
+        "pit_join by lookup": lambda: N.pit_join(rows, zones, *keys),
+        "pit_join by slot": lambda: N.pit_join(rows, zones, *keys, small=0),
         "pit_join by rank": lambda: N.pit_join_by_rank(rows, zones, *keys),
         "features from one reading": lambda: U.customer_features(t.clean(), DATES),
         "features from two joins": separate,
     }
 
 
+def duckdb_seconds(sf_dir: str, cpus: str) -> dict[str, float]:
+    from tests.oracle import connect
+
+    con = connect(sf_dir)
+    con.execute(f"SET threads = {cpus}")
+    out = {}
+    for name in HEADLINE:
+        times = []
+        for _ in range(RUNS):
+            start = time.perf_counter()
+            con.execute(QUERIES[name].sql).fetchall()
+            times.append(time.perf_counter() - start)
+        out[name] = round(statistics.median(times), 4)
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
+    if "--duckdb" in sys.argv:
+        print(json.dumps(duckdb_seconds(sf_dir, cpus)))
+        return
     spark = build_session(
         "bench",
         f"local[{cpus}]",

@@ -40,12 +40,13 @@ def cases(spark):
     return events, feats
 
 
-@pytest.mark.parametrize("slot", ["hour", "day", "month"])
-def test_pit_join_equals_brute_force(spark, cases, slot):
+@pytest.mark.parametrize(
+    "plan", [{"slot": "hour", "small": 0}, {"small": 0}, {"slot": "month", "small": 5}, {}]
+)
+def test_pit_join_equals_brute_force(spark, cases, plan):
     events, feats = cases
-    got = N.pit_join(
-        spark.createDataFrame(events, EVENTS), spark.createDataFrame(feats, FEATS), *KEYS, slot=slot
-    )
+    left, right = spark.createDataFrame(events, EVENTS), spark.createDataFrame(feats, FEATS)
+    got = N.pit_join(left, right, *KEYS, **plan)
     want = []
     for eid, zone, ts in events:
         hits = [
@@ -69,7 +70,14 @@ def test_pit_join_takes_equal_times(spark):
     t = D(2024, 1, 5)
     left = spark.createDataFrame([(1, "a", t)], EVENTS)
     right = spark.createDataFrame([("a", t, 7), ("a", t + dt.timedelta(seconds=1), 8)], FEATS)
-    assert N.pit_join(left, right, *KEYS).first().v == 7
+    for small in (0, 10):
+        assert N.pit_join(left, right, *KEYS, small=small).first().v == 7
+
+
+def test_pit_join_without_versions(spark):
+    left = spark.createDataFrame([(1, "a", D(2024, 1, 5))], EVENTS)
+    out = N.pit_join(left, spark.createDataFrame([], FEATS), *KEYS).collect()
+    assert [(r.eid, r.v) for r in out] == [(1, None)]
 
 
 def trips(spark, n=400):

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as S
 from tidemark.operators.cleaning import hash_sample
 
+#: Most feature versions that are sent to every executor.
+SMALL = 100_000
+
 
 def union_years(parts: list[tuple[DataFrame, str, str]], ts: str) -> DataFrame:
     """Stack tables, each cut to its own half-open time range."""
@@ -101,6 +104,7 @@ def pit_join(
     feat_ts: str,
     slot: str = "day",
     dedupe: bool = False,
+    small: int = SMALL,
 ) -> DataFrame:
     """Point-in-time left join: newest feature version not after the row's time.
 
@@ -108,10 +112,9 @@ def pit_join(
     keeps one row per (key, time), the smallest, as a partition-and-pick query
     over these columns would.
 
-    Rows and versions are merged in time order per key *and* time slot, so a hot
-    key is spread over its slots instead of being sorted by one task. Each slot
-    starts from the newest version of the slots before it, which a small table
-    (one row per key and slot) carries forward.
+    Versions are counted first. Up to ``small`` of them go to every executor and
+    the rows are not shuffled at all; above that both sides are merged by key and
+    time slot.
     """
     if dedupe:
         left = (
@@ -120,22 +123,56 @@ def pit_join(
             .select("_row.*")
         )
     payload = [c for c in feats.columns if c != feat_key]
+    versions = feats.where(F.col(feat_key).isNotNull() & F.col(feat_ts).isNotNull()).select(
+        F.struct(*payload).alias("_feat"),
+        F.col(feat_key).alias("_key"),
+        F.col(feat_ts).alias("_t"),
+    )
+    n = versions.limit(small + 1).count() if small else 1
+    if n <= small:
+        return _pit_lookup(left, versions, left_key, left_ts, max(n, 1))
+    return _pit_merge(left, versions, left_key, left_ts, slot)
+
+
+def _pit_lookup(left: DataFrame, versions: DataFrame, key: str, ts: str, n: int) -> DataFrame:
+    """Binary search in the key's sorted versions; ``n`` bounds all versions together."""
+    packed = versions.groupBy("_key").agg(
+        # Equal times are sorted by content, and the last of them is found.
+        F.sort_array(F.collect_list(F.struct("_t", "_feat"))).alias("_versions")
+    )
+    rows = left.select(
+        F.struct(*left.columns).alias("_row"), F.col(key).alias("_key"), F.col(ts).alias("_at")
+    ).join(F.broadcast(packed), "_key", "left")
+
+    def probe(found: Column, step: Column) -> Column:
+        known = F.try_element_at(F.col("_versions"), found + step)["_t"] <= F.col("_at")
+        return F.when(F.coalesce(known, F.lit(False)), found + step).otherwise(found)
+
+    steps = [F.lit(1 << i) for i in reversed(range(n.bit_length()))]
+    placed = rows.withColumn("_n", F.aggregate(F.array(*steps), F.lit(0), probe))
+    feat = F.when(F.col("_n") > 0, F.element_at(F.col("_versions"), F.col("_n"))["_feat"])
+    return placed.select("_row", feat.alias("_feat")).select("_row.*", "_feat.*")
+
+
+def _pit_merge(left: DataFrame, versions: DataFrame, key: str, ts: str, slot: str) -> DataFrame:
+    """Merge rows and versions in time order per key *and* time slot.
+
+    A hot key is thereby spread over its slots instead of being sorted by one
+    task. Each slot starts from the newest version of the slots before it, which
+    a small table (one row per key and slot) carries forward.
+    """
     slot_of = lambda c: F.date_trunc(slot, c)
-    lost = F.col(left_key).isNull() | F.col(left_ts).isNull()
+    lost = F.col(key).isNull() | F.col(ts).isNull()
     rows = left.select(
         F.struct(*left.columns).alias("_row"),
-        F.col(left_key).alias("_key"),
-        F.col(left_ts).alias("_t"),
-        slot_of(F.col(left_ts)).alias("_slot"),
+        F.col(key).alias("_key"),
+        F.col(ts).alias("_t"),
+        slot_of(F.col(ts)).alias("_slot"),
         # Rows that can match nothing must not pile up under the NULL key.
         F.when(lost, F.pmod(F.xxhash64(*left.columns), F.lit(1024))).otherwise(0).alias("_salt"),
     )
-    versions = feats.where(F.col(feat_key).isNotNull() & F.col(feat_ts).isNotNull()).select(
-        F.struct(*payload).alias("_feat"),
-        F.col(feat_key).alias("_key"),
-        F.col(feat_ts).alias("_t"),
-        slot_of(F.col(feat_ts)).alias("_slot"),
-        F.lit(0).cast("bigint").alias("_salt"),
+    versions = versions.withColumns(
+        {"_slot": slot_of(F.col("_t")), "_salt": F.lit(0).cast("bigint")}
     )
     spot = ["_key", "_slot", "_salt"]
     in_order = (
@@ -187,7 +224,11 @@ def pit_join_by_rank(
 
 
 def pit_training_set(
-    trips: DataFrame, feats: DataFrame, ranges: list[tuple[str, str]], dedupe: bool = True
+    trips: DataFrame,
+    feats: DataFrame,
+    ranges: list[tuple[str, str]],
+    dedupe: bool = True,
+    small: int = SMALL,
 ) -> DataFrame:
     """Training rows of the given time ranges with the zone's features as of pickup."""
     ts = F.col("pickup_datetime")
@@ -228,6 +269,7 @@ def pit_training_set(
         "pickup_datetime",
         "feature_timestamp",
         dedupe=dedupe,
+        small=small,
     ).orderBy("pickup_datetime")
 
 

@@ -19,12 +19,18 @@ from tidemark.plans.adapters import (
     zone_sql,
 )
 from tidemark.plans.registry import query, with_ctes
+from tidemark.session import freeze
 
 
 def zones(t: Tables):
     return N.zone_stats(t.trips(), SNAPSHOTS)
 
 
+def zone_table(t: Tables):
+    """The statistics as the stored table that training reads."""
+    return freeze(zones(t), "zone_stats")
+
+
 @query("prepare_trips", with_ctes(PREPARED, select="SELECT * FROM prepared"))
 def _(t: Tables):
     return C.prepare_trips(t.trips())
@@ -180,7 +186,15 @@ FROM trips t ASOF LEFT JOIN zones z
 def _(t: Tables):
     rows = t.trips().select("event_id", "pickup_location_id", "pickup_datetime")
     keys = ("pickup_location_id", "entity_id", "pickup_datetime", "feature_timestamp")
-    return N.pit_join(rows, zones(t), *keys)
+    return N.pit_join(rows, zone_table(t), *keys)
+
+
+@query("pit_join_by_slot", with_ctes(ZONES, select=PIT))
+def _(t: Tables):
+    """The plan for feature tables that are too large to send around."""
+    rows = t.trips().select("event_id", "pickup_location_id", "pickup_datetime")
+    keys = ("pickup_location_id", "entity_id", "pickup_datetime", "feature_timestamp")
+    return N.pit_join(rows, zone_table(t), *keys, small=0)
 
 
 RANGES = [("2024-01-09", "2024-01-12"), ("2024-01-23", "2024-01-26")]
@@ -211,7 +225,7 @@ WHERE rn = 1""",
     ),
 )
 def _(t: Tables):
-    return N.pit_training_set(t.trips(), zones(t), RANGES)
+    return N.pit_training_set(t.trips(), zone_table(t), RANGES)
 
 
 FACTORS = {"trip_count": 3, "avg_fare": 2.5, "avg_distance": 2.0, "tip_rate": 0.3}
