@@ -5,7 +5,6 @@ import pytest
 import __spark_entry__ as entry_module
 from tests.oracle import compare, connect
 from tidemark.plans.catalog import QUERIES
-from tidemark.plans.chats import SCORER  # noqa: F401
 from tidemark.operators.chat import PROMPT
 from tidemark.plans.adapters import KEYWORDS
 

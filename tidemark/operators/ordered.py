@@ -13,7 +13,13 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BINS = 1024
+#: Ranges aim at this many keys each, up to the largest number of ranges.
+PER_RANGE = 50_000
+MOST_RANGES = 4096
+
+
+def ranges_for(n: int) -> int:
+    return max(1, min(MOST_RANGES, n // PER_RANGE))
 
 
 def _literal(value: Any, dtype: T.DataType) -> str:
@@ -31,12 +37,14 @@ def key_literal(value: Any, dtype: T.DataType) -> Column:
     return F.expr(_literal(value, dtype))
 
 
-def range_edges(keys: DataFrame, bins: int = BINS) -> list[Any]:
+def range_edges(keys: DataFrame, bins: int) -> list[Any]:
     """Up to ``bins - 1`` keys in order, a repeatable sample of the one-column ``keys``.
 
     The sample is bounded by ``bins``, so bringing it to the driver is safe.
     """
     (name,) = keys.columns
+    if bins < 2:
+        return []
     picked = (
         keys.where(F.col(name).isNotNull())
         .orderBy(F.xxhash64(name), F.col(name))
@@ -67,18 +75,18 @@ def range_bin(key: Column, edges: list[Any], dtype: T.DataType) -> Column:
 
 
 def scan_before(
-    rows: DataFrame, key: str, value: str, out: str, how: str = "sum", bins: int = BINS
+    rows: DataFrame, key: str, value: str, out: str, how: str = "sum", bins: int | None = None
 ) -> DataFrame:
     """Add ``out``: sum (or max) of ``value`` over all rows with a smaller ``key``.
 
     ``key`` must be unique and not NULL. The first row gets 0 for a sum, NULL for a max.
-    ``rows`` is read three times; freeze it first when it is costly.
+    ``rows`` is read several times; freeze it first when it is costly.
     """
     dtype = rows.schema[key].dataType
-    edges = range_edges(rows.select(key), bins)
+    edges = range_edges(rows.select(key), bins or ranges_for(rows.count()))
     binned = rows.withColumn("_bin", range_bin(F.col(key), edges, dtype))
     fold = F.sum if how == "sum" else F.max
-    # At most ``bins`` rows: the single-task window and the broadcast are bounded.
+    # One row per range: the single-task window and the broadcast are bounded.
     starts = (
         binned.groupBy("_bin")
         .agg(fold(value).alias("_all"))
@@ -101,7 +109,9 @@ def scan_before(
     return joined.withColumn(out, result).drop("_bin", "_start", "_inside")
 
 
-def nth_key(keys: DataFrame, n: int, bins: int = BINS, small: int = 100_000) -> Any:
+def nth_key(
+    keys: DataFrame, n: int, bins: int | None = None, small: int = 2 * PER_RANGE
+) -> Any:
     """The ``n``-th (from 0) key in order of a one-column frame of unique keys.
 
     Each pass counts the keys per range and keeps the range that holds the
@@ -109,8 +119,12 @@ def nth_key(keys: DataFrame, n: int, bins: int = BINS, small: int = 100_000) ->
     """
     (name,) = keys.columns
     dtype = keys.schema[name].dataType
-    edges = range_edges(keys, bins)
-    while True:
+    size = keys.count()
+    if not 0 <= n < size:
+        raise IndexError("position is past the last key")
+    while size > small:
+        # With two edges or more no range holds all keys, as each edge is in its own.
+        edges = range_edges(keys, bins or max(64, ranges_for(size)))
         counts = {
             r["b"]: r["count"]
             for r in keys.groupBy(range_bin(F.col(name), edges, dtype).alias("b")).count().collect()
@@ -119,17 +133,13 @@ def nth_key(keys: DataFrame, n: int, bins: int = BINS, small: int = 100_000) ->
             if n < counts[b]:
                 break
             n -= counts[b]
-        else:
-            raise IndexError("position is past the last key")
         # Bin b holds keys above edges[b - 1] and up to edges[b].
         inside = F.lit(True)
         if b > 0:
             inside = inside & (F.col(name) > key_literal(edges[b - 1], dtype))
         if b < len(edges):
             inside = inside & (F.col(name) <= key_literal(edges[b], dtype))
-        if counts[b] == sum(counts.values()) and counts[b] > small:
+        if counts[b] == size:
             raise ValueError("keys are not unique")
-        keys = keys.where(inside)
-        if counts[b] <= small:
-            return keys.orderBy(name).offset(n).first()[0]
-        edges = range_edges(keys, bins)
+        keys, size = keys.where(inside), counts[b]
+    return keys.orderBy(name).offset(n).first()[0]

@@ -50,17 +50,34 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     The quartiles are exact and interpolated. They come from the sorted frequency
     table, scanned in ranges, so that no task holds all values of a column.
     """
+    numeric = {c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)}
+    # One reading of the table: a row per value and column, as number or as text.
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column_name"),
+                (F.col(c) if c in numeric else F.lit(None)).cast("double").alias("num"),
+                (F.lit(None) if c in numeric else F.col(c)).cast("string").alias("txt"),
+            )
+            for c in columns
+        ]
+    )
+    # Frozen, because the size, the mean, the edges and the scan all read it.
+    values = freeze(
+        df.select(F.inline(cells))
+        .groupBy("column_name", "num", "txt")
+        .agg(F.count(F.lit(1)).alias("n")),
+        "frequencies",
+    )
     parts = []
     for name in columns:
-        c = F.col(name)
-        numeric = isinstance(df.schema[name].dataType, T.NumericType)
-        freq = df.where(c.isNotNull()).groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        if numeric:
-            # Read by the size, the mean, the edges and the scan.
-            freq = freeze(freq.withColumn("v", F.col("v").cast("double")), "frequencies")
-        top = F.max_by(F.col("v").cast("string"), F.struct("n", F.col("v")))
+        kind = "num" if name in numeric else "txt"
+        freq = values.where((F.col("column_name") == name) & F.col(kind).isNotNull()).select(
+            F.col(kind).alias("v"), "n"
+        )
+        top = F.max_by("v", F.struct("n", "v"))
         null = F.lit(None).cast("double")
-        if numeric:
+        if name in numeric:
             ranked = scan_before(freq, "v", "n", "_below")
             size = freq.agg(F.sum("n")).scalar()
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from typing import Any
 
 from pyspark.ml.functions import vector_to_array
@@ -115,7 +114,3 @@ def append_latest(
         save_table(rows, f"{db}.{target}", replace=False)
     spark.sql(f"DROP TABLE {db}.{names[-1]}")
     return names[-1]
-
-
-def union_all(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
