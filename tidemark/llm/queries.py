@@ -8,13 +8,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import decontaminate, hostrules, simhash, sqltext
+from tidemark.llm.common import saved
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -24,8 +39,29 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measures = hostrules.measured(table(spark, sf_dir, "documents"))
+    # Only numbers are kept, so that the texts are measured once.
+    rows = saved(measures.select("row.doc_id", "host", *hostrules.MEASURES), "measures")
+    return hostrules.judged(rows, hostrules.host_verdicts(rows)).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
 QUERIES = {
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op10_host_quality_rules": op10_host_quality_rules,
 }
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op6_benchmark_decontamination": sqltext.DECONTAMINATION.strip(),
+    "op10_host_quality_rules": sqltext.HOST_RULES.strip(),
+}
