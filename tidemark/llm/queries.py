@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, hostrules, simhash, sqltext
+from tidemark.llm import decontaminate, hostrules, secrets, simhash, sqltext
 from tidemark.llm.common import saved
 
 
@@ -16,6 +16,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"))
+
+    def joined(spans: str):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(joined("base"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+    )
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -56,6 +77,7 @@ def op10_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_secret_scan": op4_secret_scan,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_host_quality_rules": op10_host_quality_rules,
