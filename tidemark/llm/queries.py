@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, hostrules, secrets, simhash, sqltext
+from tidemark.llm import decontaminate, hostrules, packing, secrets, simhash, sqltext
 from tidemark.llm.common import saved
 
 
@@ -51,6 +51,18 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"),
+        "piece",
+        "start",
+        "length",
+        F.col("crc32").alias("ids_crc32"),
+        "sequence_id",
+        "offset",
+    )
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -79,6 +91,7 @@ def op10_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_host_quality_rules": op10_host_quality_rules,
 }
