@@ -1,21 +1,61 @@
-"""The corpus pipeline: rows of ``documents`` in, packed token sequences out."""
+"""The corpus pipeline: rows of ``documents`` in, packed token sequences out.
+
+Each stage works on all rows that the one before it kept, and hands on the columns of
+``documents`` (the last one: pieces of documents with their place in a sequence).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import decontaminate, hostrules, packing, secrets, simhash
 from tidemark.llm.common import saved
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops what the quality rules and the hosts' verdicts reject."""
+    return hostrules.kept(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of each near-duplicate group that has the smallest id."""
     return simhash.one_per_component(docs)
 
 
-STAGES = [("near_dedup", near_dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold passages of the benchmark."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Masks secrets in the texts; every document stays."""
+    return secrets.redacted(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokens of each document, packed into sequences."""
+    return packing.pack_documents(docs).select(
+        F.col("id").alias("doc_id"),
+        "piece",
+        "start",
+        "length",
+        F.col("crc32").alias("ids_crc32"),
+        "sequence_id",
+        "offset",
+    )
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
+    ("pack", pack),
+]
 
-#: Packing needs a tokenizer, which SQL does not have.
+#: SQL has no tokenizer, no XXH64 and no recursive decoding: tests hold the rows
+#: against a brute-force version.
 ORACLE_SQL = None
 
 
