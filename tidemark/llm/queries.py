@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, hostrules, packing, secrets, simhash, sqltext
+from tidemark.llm import decontaminate, hostrules, langid, packing, secrets, simhash, sqltext
 from tidemark.llm.common import saved
 
 
@@ -37,6 +37,22 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def remainder(divisor: int, id_col: str = "doc_id"):
+    """crc32 of the document's id as text, modulo a divisor; null ids count as empty text."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, remainder(4) != 2)
+    return langid.predicted(docs, model).select(
+        F.col("id").alias("doc_id"),
+        (remainder(4, "id") == 2).alias("held_out"),
+        F.col("lang").alias("lang_pred"),
+        "score",
+    )
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -90,6 +106,7 @@ def op10_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_secret_scan": op4_secret_scan,
+    "op5_language_id": op5_language_id,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
