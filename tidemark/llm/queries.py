@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, hostrules, langid, packing, secrets, simhash, sqltext
+from tidemark.llm import decontaminate, hostrules, langid, lmscore, packing, secrets, simhash, sqltext
 from tidemark.llm.common import saved
 
 
@@ -16,6 +16,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def remainder(divisor: int, id_col: str = "doc_id"):
+    """crc32 of the document's id as text, modulo a divisor; null ids count as empty text."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lmscore.scored(table(spark, sf_dir, "documents"), remainder(5) != 1)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        (~F.col("learn")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -37,11 +55,6 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def remainder(divisor: int, id_col: str = "doc_id"):
-    """crc32 of the document's id as text, modulo a divisor; null ids count as empty text."""
-    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % divisor
-
-
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs, remainder(4) != 2)
@@ -105,6 +118,7 @@ def op10_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op4_secret_scan": op4_secret_scan,
     "op5_language_id": op5_language_id,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
