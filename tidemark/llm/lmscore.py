@@ -41,7 +41,7 @@ from tidemark.llm.common import bytes_of, saved
 ORDER = 3
 CHUNK_TOKENS = 2_000_000
 SHARD_GRAMS = 2_000_000
-MU = (8.0, 8.0)
+MU = (256.0, 4.0)
 END = xxhash.xxh64_intdigest(b"\n")
 #: Quantised log10 probabilities: 16 bits from 0 down to this.
 LEAST = -32.0
