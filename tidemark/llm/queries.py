@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, hostrules, langid, lmscore, packing, secrets, simhash, sqltext
+from tidemark.llm import decontaminate, hostrules, langid, lmscore, packing, secrets, simhash, sqltext, warc
 from tidemark.llm.common import saved
 
 
@@ -34,6 +34,10 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -119,6 +123,7 @@ def op10_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op2_warc_transactions": op2_warc_transactions,
     "op4_secret_scan": op4_secret_scan,
     "op5_language_id": op5_language_id,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
@@ -128,6 +133,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_warc_transactions": sqltext.REVISITS.strip(),
     "op6_benchmark_decontamination": sqltext.DECONTAMINATION.strip(),
     "op10_host_quality_rules": sqltext.HOST_RULES.strip(),
 }

@@ -77,3 +77,17 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+REVISITS = """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+    sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+), o AS (
+  SELECT payload_digest, max(page_id) AS original FROM p GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN original END AS refers_to
+FROM p JOIN o USING (payload_digest)
+"""
