@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, hostrules, langid, lmscore, packing, secrets, simhash, sqltext, warc
+from tidemark.llm import decontaminate, hostrules, langid, lmscore, packing, rangecoder, secrets, simhash, sqltext, warc
 from tidemark.llm.common import saved
 
 
@@ -105,6 +105,12 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_range_coded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rangecoder.round_trip(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", F.col("crc32").alias("ids_crc32")
+    )
+
+
 def op10_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     measures = hostrules.measured(table(spark, sf_dir, "documents"))
     # Only numbers are kept, so that the texts are measured once.
@@ -129,6 +135,7 @@ QUERIES = {
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_range_coded_ids": op9_range_coded_ids,
     "op10_host_quality_rules": op10_host_quality_rules,
 }
 
