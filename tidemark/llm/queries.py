@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, hostrules, langid, lmscore, packing, rangecoder, secrets, simhash, sqltext, warc
+from tidemark.llm import cotrain, decontaminate, hostrules, langid, lmscore, packing, rangecoder, secrets, simhash, sqltext, warc
 from tidemark.llm.common import saved
 
 
@@ -38,6 +38,13 @@ def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op3_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, meta = table(spark, sf_dir, "documents"), ["source", "lang", "n_chars"]
+    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    model = cotrain.train(docs, table(spark, sf_dir, "labels"), good, meta)
+    return cotrain.classified(docs, model, meta).withColumnRenamed("id", "doc_id")
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -130,6 +137,7 @@ def op10_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_warc_transactions": op2_warc_transactions,
+    "op3_cotrained_quality": op3_cotrained_quality,
     "op4_secret_scan": op4_secret_scan,
     "op5_language_id": op5_language_id,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
