@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bytes_of, saved
+from tidemark.llm.decontaminate import words_of
 
 #: Bounds of the samples, which hold about this many rows at most.
 LABELLED = 8_000
@@ -36,12 +37,14 @@ ROUNDS = 3
 SURE = 0.95
 BITS = 16
 STATS = 6
+#: The shares are small numbers beside the words.
+STAT_WEIGHT = 5.0
 KEEP = 0.5
 
 
 def text_features(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hashed distinct words, of length one together, and six shares of the text."""
-    words = data.lower().split()
+    words = words_of(data)
     if not words:
         return np.zeros(0, np.int64), np.zeros(0)
     distinct = set(words)
@@ -57,7 +60,7 @@ def text_features(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     ]
     return (
         np.append(at, (1 << BITS) + np.arange(STATS)),
-        np.append(np.full(len(at), len(at) ** -0.5), stats),
+        np.append(np.full(len(at), len(at) ** -0.5), STAT_WEIGHT * np.array(stats)),
     )
 
 
@@ -107,7 +110,7 @@ class View:
     slope: float = 1.0
     shift: float = 0.0
 
-    def fit(self, x: Rows, y: np.ndarray, weight: np.ndarray, steps: int = 120) -> None:
+    def fit(self, x: Rows, y: np.ndarray, weight: np.ndarray, steps: int = 200) -> None:
         """Logistic regression by steps of per-weight size, towards small weights."""
         w, b = np.zeros(self.width), 0.0
         sw, sb = np.full(self.width, 1e-8), 1e-8
@@ -117,8 +120,8 @@ class View:
             g, gb = x.back(r) + 1e-6 * w, r.sum()
             sw += g * g
             sb += gb * gb
-            w -= 0.5 * g / np.sqrt(sw)
-            b -= 0.5 * gb / np.sqrt(sb)
+            w -= 1.5 * g / np.sqrt(sw)
+            b -= 1.5 * gb / np.sqrt(sb)
         self.w, self.bias = w, b
 
     def logit(self, x: Rows) -> np.ndarray:
