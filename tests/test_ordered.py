@@ -6,40 +6,42 @@ from pyspark.sql import functions as F
 from tidemark.operators import encode, metrics, ordered, profile, trials
 
 
-@pytest.mark.parametrize("bins", [2, 7, 1024])
+@pytest.fixture(params=["one range", "many ranges"])
+def ranges(spark, request):
+    """Small tables in one range, as adaptive execution leaves them, or in eight."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, request.param == "one range")
+    yield
+    spark.conf.unset(name)
+
+
 @pytest.mark.parametrize("how", ["sum", "max"])
-def test_scan_before_equals_loop(spark, bins, how):
-    rng = random.Random(bins)
+def test_scan_before_equals_loop(spark, how, ranges):
+    rng = random.Random(7)
     keys = rng.sample(range(-5000, 5000), 300)
     rows = [(k / 4, rng.randrange(100)) for k in keys]
     df = spark.createDataFrame(rows, "k double, v bigint")
-    got = {r.k: r.before for r in ordered.scan_before(df, "k", "v", "before", how, bins).collect()}
+    got = {r.k: r.before for r in ordered.scan_before(df, "k", "v", "before", how).collect()}
     for k, _ in rows:
         below = [v for x, v in rows if x < k]
         want = sum(below) if how == "sum" else max(below, default=None)
         assert got[k] == want
 
 
-def test_scan_before_text_keys(spark):
+def test_scan_before_text_keys(spark, ranges):
     df = spark.createDataFrame([("it's",), ("b\\c",), ("é",), ("",)], "k string").withColumn(
         "v", F.lit(1)
     )
-    got = {r.k: r.n for r in ordered.scan_before(df, "k", "v", "n", bins=3).collect()}
+    got = {r.k: r.n for r in ordered.scan_before(df, "k", "v", "n").collect()}
     assert got == {"": 0, "b\\c": 1, "it's": 2, "é": 3}
 
 
-def test_nth_key_refines_ranges(spark):
-    df = spark.range(5000).select((F.col("id") * 7 % 5003).alias("k"))
-    values = sorted(i * 7 % 5003 for i in range(5000))
-    for n in (0, 1, 2499, 4998, 4999):
-        assert ordered.nth_key(df, n, bins=5, small=10) == values[n]
-
-
-def test_head_tail_split_cuts_by_order(spark):
+def test_head_tail_split_cuts_by_order(spark, ranges):
     df = spark.range(101).select((100 - F.col("id")).alias("id"))
     out = encode.head_tail_split(df, ["id"], 0.9)
     assert sorted(r.id for r in out.where("part = 'predict'").collect()) == list(range(90, 101))
     assert encode.head_tail_split(df.limit(0), ["id"], 0.9).count() == 0
+    assert encode.head_tail_split(df, ["id"], 1.0).where("part = 'predict'").count() == 0
 
 
 def test_auc_counts_ties_half(spark):
@@ -49,7 +51,7 @@ def test_auc_counts_ties_half(spark):
     assert out.roc_auc == 0.875 and out.precision == round(2 / 3, 6) and out.recall == 1.0
 
 
-def test_pareto_front_equals_brute_force(spark):
+def test_pareto_front_equals_brute_force(spark, ranges):
     rng = random.Random(1)
     rows = [(i, float(rng.randrange(40)), float(rng.randrange(40))) for i in range(200)]
     df = spark.createDataFrame(rows, "i int, cost double, comfort double")
@@ -62,9 +64,27 @@ def test_pareto_front_equals_brute_force(spark):
     assert got == want
 
 
-def test_describe_small_column(spark):
+def test_describe_reads_its_input_once(spark, tmp_path):
+    spark.range(50).selectExpr("id % 7 AS a", "id * 2 AS b", "cast(id as string) AS c").write.parquet(
+        str(tmp_path / "t")
+    )
+    df = spark.read.parquet(str(tmp_path / "t"))
+    seen = []
+    real = ordered.freeze
+    ordered.freeze = lambda x, name: (seen.append(x._jdf.queryExecution().optimizedPlan()), real(x, name))[1]
+    try:
+        out = profile.describe(df, ["a", "b", "c"])
+    finally:
+        ordered.freeze = real
+    path = str(tmp_path / "t")
+    assert sum(str(p.toString()).count("Relation [") for p in seen) == 1
+    assert path not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.cnt for r in out.orderBy("column_name").collect()] == [50, 50, 50]
+
+
+def test_describe_small_column(spark, ranges):
     df = spark.createDataFrame([(1.0, "a"), (2.0, "a"), (4.0, "b"), (None, None)], "x double, t string")
-    x, t = profile.describe(df, ["x", "t"]).collect()
+    t, x = profile.describe(df, ["x", "t"]).orderBy("column_name").collect()
     assert (x.cnt, x["min"], x.p25, x.p50, x.p75, x["max"]) == (3, 1.0, 1.5, 2.0, 3.0, 4.0)
     assert (t.cnt, t.distinct_values, t.top, t.freq) == (3, 2, "a", 2)
 

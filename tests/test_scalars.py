@@ -110,3 +110,8 @@ def test_unit_draw_is_repeatable_and_in_range(spark):
     again = [r[0] for r in spark.range(500).repartition(7).orderBy("id").select(
         S.unit_draw("id", F.lit(1))).collect()]
     assert draws == again and 0 <= min(draws) and max(draws) < 1 and 0.4 < sum(draws) / 500 < 0.6
+
+
+def test_hash_keeps_the_place_of_null(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a", "")], "x string, y string")
+    assert df.select(S.stable_hash("x", "y").alias("h")).distinct().count() == 3

@@ -2,9 +2,11 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import drift, snapshots as N
+from tidemark.operators.ordered import RANGE, in_ranges
 
 D = dt.datetime
 KEYS = ("zone", "entity_id", "ts", "ft")
@@ -40,13 +42,29 @@ def cases(spark):
     return events, feats
 
 
-@pytest.mark.parametrize(
-    "plan", [{"slot": "hour", "small": 0}, {"small": 0}, {"slot": "month", "small": 5}, {}]
-)
-def test_pit_join_equals_brute_force(spark, cases, plan):
-    events, feats = cases
-    left, right = spark.createDataFrame(events, EVENTS), spark.createDataFrame(feats, FEATS)
-    got = N.pit_join(left, right, *KEYS, **plan)
+def by_rank(left, feats, left_key, feat_key, left_ts, feat_ts):
+    """One row per (key, time) the textbook way: rows times versions, then the newest one."""
+    hit = (F.col(left_key) == F.col(feat_key)) & (F.col(feat_ts) <= F.col(left_ts))
+    pairs = left.join(feats, hit, "left").drop(feat_key)
+    rest = [c for c in feats.columns if c not in (feat_key, feat_ts)]
+    kept = Window.partitionBy(left_key, left_ts).orderBy(
+        F.col(feat_ts).desc_nulls_last(),
+        *[F.col(c).desc_nulls_last() for c in rest],
+        *[F.col(c) for c in left.columns],
+    )
+    return pairs.withColumn("_rn", F.row_number().over(kept)).where("_rn = 1").drop("_rn")
+
+
+@pytest.fixture(params=["one range", "many ranges"])
+def ranges(spark, request):
+    """Small tables in one range, as adaptive execution leaves them, or in eight."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, request.param == "one range")
+    yield
+    spark.conf.unset(name)
+
+
+def brute(events, feats):
     want = []
     for eid, zone, ts in events:
         hits = [
@@ -54,24 +72,56 @@ def test_pit_join_equals_brute_force(spark, cases, plan):
         ]
         ft, v = max(hits) if hits else (None, None)
         want.append((eid, ft, ts, v, zone))
-    assert rows_of(got) == sorted(want, key=str)
+    return sorted(want, key=str)
+
+
+def test_pit_join_equals_brute_force(spark, cases, ranges):
+    events, feats = cases
+    left, right = spark.createDataFrame(events, EVENTS), spark.createDataFrame(feats, FEATS)
+    assert rows_of(N.pit_join(left, right, *KEYS)) == brute(events, feats)
+
+
+def test_pit_join_splits_a_hot_key(spark, ranges):
+    """Nine rows in ten have one key in one hour; more than one range holds it."""
+    rng = random.Random(9)
+    base = D(2024, 1, 1)
+    events = [
+        (i, "hot", base + dt.timedelta(seconds=rng.randrange(3600)))
+        if i % 10
+        else (i, f"z{i % 7}", base + dt.timedelta(hours=rng.randrange(48)))
+        for i in range(2000)
+    ]
+    feats = [("hot", base + dt.timedelta(seconds=60 * k), k) for k in range(30)]
+    feats += [(f"z{k % 7}", base + dt.timedelta(hours=k), k) for k in range(30)]
+    left, right = spark.createDataFrame(events, EVENTS), spark.createDataFrame(feats, FEATS)
+    assert rows_of(N.pit_join(left, right, *KEYS)) == brute(events, feats)
+    dealt = in_ranges(left, "zone", "ts")
+    if spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "false":
+        assert dealt.where("zone = 'hot'").select(RANGE).distinct().count() > 1
+
+
+def test_pit_join_splits_equal_times(spark, ranges):
+    t = D(2024, 1, 1)
+    events = [(i, "hot", t) for i in range(500)]
+    feats = [("hot", t, 1), ("hot", t, 2), ("hot", t + dt.timedelta(seconds=1), 3)]
+    left, right = spark.createDataFrame(events, EVENTS), spark.createDataFrame(feats, FEATS)
+    assert rows_of(N.pit_join(left, right, *KEYS)) == brute(events, feats)
 
 
-def test_pit_join_dedupe_equals_rank(spark, cases):
+def test_pit_join_dedupe_equals_rank(spark, cases, ranges):
     events, feats = cases
     left = spark.createDataFrame(events, EVENTS)
     right = spark.createDataFrame(feats, FEATS)
     assert rows_of(N.pit_join(left, right, *KEYS, dedupe=True)) == rows_of(
-        N.pit_join_by_rank(left, right, *KEYS)
+        by_rank(left, right, *KEYS)
     )
 
 
-def test_pit_join_takes_equal_times(spark):
+def test_pit_join_takes_equal_times(spark, ranges):
     t = D(2024, 1, 5)
     left = spark.createDataFrame([(1, "a", t)], EVENTS)
     right = spark.createDataFrame([("a", t, 7), ("a", t + dt.timedelta(seconds=1), 8)], FEATS)
-    for small in (0, 10):
-        assert N.pit_join(left, right, *KEYS, small=small).first().v == 7
+    assert N.pit_join(left, right, *KEYS).first().v == 7
 
 
 def test_pit_join_without_versions(spark):

@@ -42,6 +42,12 @@ def test_rouge_1_equals_formula(pairs):
         assert got[i].rouge_1_recall == round(m / len(ref) if ref else 0.0, 6)
 
 
+def test_rows_that_share_an_id_are_scored_apart(spark):
+    df = spark.createDataFrame([(1, "a b", "a b"), (1, "a b", "a b"), (1, "a b", "x")], "i int, r string, h string")
+    assert sorted(r.rouge_1 for r in V.rouge_1(df, ["i"], "r", "h").collect()) == [0.0, 1.0, 1.0]
+    assert V.bleu(df, ["i"], "r", "h").count() == 3
+
+
 def test_bleu_equals_formula(pairs):
     got = {r.i: r.bleu for r in V.bleu(pairs, ["i"], "r", "h").collect()}
     for i, (ref, hyp) in enumerate(PAIRS):

@@ -123,8 +123,11 @@ def json_double(variant: Column | str, path: str, strict: bool = True) -> Column
 
 
 def stable_hash(*cols: Column | str) -> Column:
-    """Non-negative bigint from the md5 of the text form; other engines can repeat it."""
-    text = F.concat_ws("|", *[col(c).cast("string") for c in cols])
+    """Non-negative bigint from the md5 of the text form; other engines can repeat it.
+
+    NULL is text of its own, so that it keeps its place among the columns.
+    """
+    text = F.concat_ws("|", *[F.coalesce(col(c).cast("string"), F.lit("\\N")) for c in cols])
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterator
+from zoneinfo import ZoneInfo
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -83,6 +85,12 @@ def daily_rows(df: DataFrame, run_ts: str, tz: str = RUN_ZONE) -> DataFrame:
     return filter_run_day(df, "timestamp", run_ts, tz)
 
 
+def run_day_of(run_ts: str, tz: str = RUN_ZONE) -> str:
+    """The day that ``daily_rows`` picks, for a run at a UTC wall time."""
+    run = dt.datetime.fromisoformat(run_ts).replace(tzinfo=dt.timezone.utc)
+    return (run.astimezone(ZoneInfo(tz)).date() - dt.timedelta(days=1)).isoformat()
+
+
 def join_back(messages: DataFrame, categories: DataFrame) -> DataFrame:
     """Distinct messages with their category."""
     return (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,14 +34,18 @@ def clean_transactions(df: DataFrame) -> DataFrame:
     )
 
 
-def prepare_trips(df: DataFrame) -> DataFrame:
-    """Training columns of plausible trips, with weekday (1 = Sunday) and hour."""
+def prepare_trips(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Training columns of plausible trips, with weekday (1 = Sunday) and hour.
+
+    ``keys`` are passed through.
+    """
     return df.where(
         (F.col("tip_amount") >= 0)
         & (F.col("trip_distance") > 0)
         & (F.col("passenger_count") > 0)
         & (F.col("fare_amount") > 0)
     ).select(
+        *keys,
         "pickup_datetime",
         "passenger_count",
         "trip_distance",
@@ -123,10 +129,13 @@ def anomaly_counts(df: DataFrame) -> DataFrame:
 def keyword_search(
     df: DataFrame, column: str, term: str, ts: str, out: list[str], n: int = 5
 ) -> DataFrame:
-    """Newest ``n`` rows whose ``column`` holds ``term`` in any case."""
+    """Newest ``n`` rows whose ``column`` holds ``term`` in any case.
+
+    Equal times go by the columns of the result.
+    """
     return (
         df.where(F.contains(F.lower(column), F.lower(F.lit(term))))
-        .orderBy(F.col(ts).desc_nulls_last())
+        .orderBy(F.col(ts).desc_nulls_last(), *out)
         .limit(n)
         .select(*out)
     )

@@ -8,6 +8,7 @@ customer with very many lines from loading one task.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
@@ -32,11 +33,24 @@ def month_starts(df: DataFrame, date_col: str) -> DataFrame:
 
 def make_anchors(tx: DataFrame, dates: Sequence[str]) -> DataFrame:
     """Customer and prediction date pairs with a purchase before that date."""
-    first = tx.groupBy("customer_id").agg(F.min("date").alias("_first"))
+    first = tx.where(F.col("date") < _day(max(dates))).groupBy("customer_id").agg(F.min("date").alias("_first"))
     later = F.filter(S.dates_array(dates), lambda p: p > F.col("_first"))
     return first.select("customer_id", F.explode(later).alias("prediction_date"))
 
 
+def _day(date: str, shift: int = 0) -> Column:
+    """A literal day, so that a bound by it reaches the scan."""
+    return F.lit(dt.date.fromisoformat(date) + dt.timedelta(days=shift))
+
+
+def _lookback_bound(dates: Sequence[str], days: int) -> Column:
+    return (F.col("date") >= _day(min(dates), -days)) & (F.col("date") < _day(max(dates)))
+
+
+def _forward_bound(dates: Sequence[str], days: int) -> Column:
+    return (F.col("date") >= _day(min(dates))) & (F.col("date") < _day(max(dates), days))
+
+
 def _lookback_dates(dates: Sequence[str], days: int, date: Column) -> Column:
     return F.filter(
         S.dates_array(dates), lambda p: (date < p) & (date >= F.date_sub(p, days))
@@ -49,12 +63,13 @@ def _forward_dates(dates: Sequence[str], days: int, date: Column) -> Column:
     )
 
 
-def _midnight_dates(dates: Sequence[str], days: int, ts: Column) -> Column:
-    """Window that ends at 00:00 of the day before: later lines of that day are lost."""
+def _midnight_dates(dates: Sequence[str], low: int, high: int, ts: Column) -> Column:
+    """Window from 00:00 of day ``low`` to 00:00 of day ``high``, both included: of the last
+    day all later lines are lost."""
     return F.filter(
         S.dates_array(dates),
-        lambda p: (ts >= F.date_sub(p, days).cast("timestamp_ntz"))
-        & (ts <= F.date_sub(p, 1).cast("timestamp_ntz")),
+        lambda p: (ts >= F.date_add(p, low).cast("timestamp_ntz"))
+        & (ts <= F.date_add(p, high).cast("timestamp_ntz")),
     )
 
 
@@ -66,40 +81,58 @@ def lookback_lines(
     ``window="timestamp"`` compares the time with midnight of the last day.
     """
     if window == "timestamp":
-        hit = _midnight_dates(dates, days, F.col("timestamp"))
+        hit = _midnight_dates(dates, -days, -1, F.col("timestamp"))
     else:
         hit = _lookback_dates(dates, days, F.col("date"))
-    return tx.withColumn("prediction_date", F.explode(hit))
+    return tx.where(_lookback_bound(dates, days)).withColumn("prediction_date", F.explode(hit))
+
 
+def forward_lines(
+    tx: DataFrame, dates: Sequence[str], days: int = 30, window: str = "date"
+) -> DataFrame:
+    """Each line once per prediction date whose target window holds it.
 
-def forward_lines(tx: DataFrame, dates: Sequence[str], days: int = 30) -> DataFrame:
-    """Each line once per prediction date whose target window holds it."""
-    hit = _forward_dates(dates, days, F.col("date"))
-    return tx.withColumn("prediction_date", F.explode(hit))
+    ``window="timestamp"`` compares the time with midnight of the last day.
+    """
+    if window == "timestamp":
+        hit = _midnight_dates(dates, 0, days - 1, F.col("timestamp"))
+    else:
+        hit = _forward_dates(dates, days, F.col("date"))
+    return tx.where(_forward_bound(dates, days)).withColumn("prediction_date", F.explode(hit))
 
 
-def _range_join(anchors: DataFrame, tx: DataFrame, low: int, high: int) -> DataFrame:
+def _range_join(
+    anchors: DataFrame, tx: DataFrame, low: int, high: int, how: str = "inner"
+) -> DataFrame:
     """Anchors with events of the same customer on days [p + low, p + high).
 
-    Both sides also meet on a time slot as wide as the window: an anchor touches
-    two slots at most, an event is in exactly one. A customer with very many
-    events is thereby spread over the slots, and adaptive execution can split
-    what is still too large.
+    Both sides also meet on a time slot as wide as the window, so that a customer
+    with very many events is spread over the slots, and the rule for skewed joins
+    can split what is still too large. A window touches two slots at most. For an
+    inner join the anchor goes to both; for a left join the event does, so that an
+    anchor stands in one slot and an anchor without events gives one row.
     """
     width = high - low
     slot = lambda day: F.floor(day / F.lit(width))
-    day = F.unix_date("prediction_date")
-    left = anchors.withColumn(
-        "_slot", F.explode(F.sequence(slot(day + low), slot(day + (high - 1))))
+    first = slot(F.unix_date("prediction_date") + low)
+    own = slot(F.unix_date("date"))
+    if how == "inner":
+        last = slot(F.unix_date("prediction_date") + (high - 1))
+        left = anchors.withColumn("_slot", F.explode(F.sequence(first, last)))
+        right = tx.withColumn("_slot", own)
+    else:
+        left = anchors.withColumn("_slot", first)
+        right = tx.withColumn("_slot", F.explode(F.array(own, own - 1)))
+    left, right = left.alias("a"), right.alias("t")
+    hit = (
+        (F.col("a.customer_id") == F.col("t.customer_id"))
+        & (F.col("a._slot") == F.col("t._slot"))
+        & (F.col("t.date") >= F.date_add("a.prediction_date", low))
+        & (F.col("t.date") < F.date_add("a.prediction_date", high))
     )
-    right = tx.withColumn("_slot", slot(F.unix_date("date")))
-    return (
-        left.join(right, ["customer_id", "_slot"])
-        .where(
-            (F.col("date") >= F.date_add("prediction_date", low))
-            & (F.col("date") < F.date_add("prediction_date", high))
-        )
-        .drop("_slot")
+    rest = [F.col(f"t.{c}").alias(c) for c in tx.columns if c != "customer_id"]
+    return left.join(right, hit, how).select(
+        *[F.col(f"a.{c}").alias(c) for c in anchors.columns], *rest
     )
 
 
@@ -110,11 +143,7 @@ def lookback_join(anchors: DataFrame, tx: DataFrame, days: int = 90) -> DataFram
 
 def forward_join(anchors: DataFrame, tx: DataFrame, days: int = 30) -> DataFrame:
     """Left join of any anchors to the customer's lines of the next ``days`` days."""
-    hits = _range_join(anchors, tx, 0, days)
-    # Bare days are enough to tell which anchors have no line.
-    days_only = tx.select("customer_id", "date").distinct()
-    matched = _range_join(anchors, days_only, 0, days).select(*KEYS).distinct()
-    return hits.unionByName(anchors.join(matched, KEYS, "left_anti"), allowMissingColumns=True)
+    return _range_join(anchors, tx, 0, days, "left")
 
 
 def invoice_summary(tx: DataFrame) -> DataFrame:
@@ -183,38 +212,82 @@ def assemble(base: DataFrame, *parts: DataFrame, on: Sequence[str] = KEYS) -> Da
     return reduce(lambda left, right: left.join(right, list(on), "left"), parts, base)
 
 
-def customer_features(
-    tx: DataFrame, dates: Sequence[str], days: int = 90, window: str = "date"
+KINDS = ["country", "invoice", "stock_code", "timestamp", "date"]
+
+
+def _per_value(
+    tx: DataFrame, dates: Sequence[str], days: int, window: str, target_days: int | None
 ) -> DataFrame:
-    """All feature columns in one reading of the lines.
+    """(keys, kind, value, n, amount, first, last): one reading of the lines.
 
-    Every line is counted under its country, invoice, stock code, time and date;
-    one aggregate per value then feeds all distinct counts, the mode, the elapsed
-    days and the per-date statistics. The per-invoice statistics take a second,
-    smaller aggregate, because an invoice counts as a whole from its first day
-    on; with ``window="timestamp"`` the lines are cut first instead.
+    A line counts under its country, invoice, stock code, time and date for each
+    prediction date whose look-back window holds it, and with ``target_days`` under
+    the kind ``target`` for each date whose target window holds it.
     """
-    kinds = ["country", "invoice", "stock_code", "timestamp", "date"]
-    lines = lookback_lines(tx, dates, days, window).select(
-        *KEYS,
-        F.col("date").alias("_day"),
-        "purchase_amount",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("value"))
-                    for k in kinds
-                ]
+    back, ahead = _lookback_dates(dates, days, F.col("date")), None
+    bound = _lookback_bound(dates, days)
+    if window == "timestamp":
+        back = _midnight_dates(dates, -days, -1, F.col("timestamp"))
+    if target_days:
+        ahead = _forward_dates(dates, target_days, F.col("date"))
+        bound = (F.col("date") >= _day(min(dates), -days)) & (
+            F.col("date") < _day(max(dates), target_days)
+        )
+        if window == "timestamp":
+            ahead = _midnight_dates(dates, 0, target_days - 1, F.col("timestamp"))
+
+    def marks(hit: Column, kinds: dict[str, Column]) -> Column:
+        each = F.array(
+            *[
+                F.struct(F.lit(k).alias("kind"), v.cast("string").alias("value"))
+                for k, v in kinds.items()
+            ]
+        )
+        return F.flatten(
+            F.transform(
+                hit,
+                lambda p: F.transform(
+                    each,
+                    lambda m: F.struct(
+                        p.alias("prediction_date"), m["kind"].alias("kind"), m["value"].alias("value")
+                    ),
+                ),
             )
-        ).alias("_v"),
-    )
-    per_value = lines.groupBy(*KEYS, "_v.kind", "_v.value").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("purchase_amount").alias("amount"),
-        F.min("_day").alias("first"),
-        F.max("_day").alias("last"),
+        )
+
+    all_marks = marks(back, {k: F.col(k) for k in KINDS})
+    if ahead is not None:
+        all_marks = F.concat(all_marks, marks(ahead, {"target": F.lit(None)}))
+    return (
+        tx.where(bound)
+        .select("customer_id", F.col("date").alias("_day"), "purchase_amount", F.inline(all_marks))
+        .groupBy(*KEYS, "kind", "value")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("purchase_amount").alias("amount"),
+            F.min("_day").alias("first"),
+            F.max("_day").alias("last"),
+        )
     )
 
+
+def customer_features(
+    tx: DataFrame,
+    dates: Sequence[str],
+    days: int = 90,
+    window: str = "date",
+    target_days: int | None = None,
+) -> DataFrame:
+    """All feature columns, and with ``target_days`` the target, in one reading of the lines.
+
+    One aggregate per counted value feeds all distinct counts, the mode, the elapsed
+    days, the per-date statistics and the target. The per-invoice statistics take a
+    second, smaller aggregate, because an invoice counts as a whole from its first
+    day on; with ``window="timestamp"`` the lines are cut first instead. ``target``
+    is NULL without a purchase.
+    """
+    per_value = _per_value(tx, dates, days, window, target_days)
+
     def of(kind: str, c: Column) -> Column:
         return F.when((F.col("kind") == kind) & F.col("value").isNotNull(), c)
 
@@ -229,12 +302,17 @@ def customer_features(
             S.mean_of(F.sum(amount), F.count(amount)).alias(f"{prefix}_mean"),
         ]
 
+    back = F.col("kind") != "target"
     cut_lines_first = window == "timestamp"
     main = per_value.groupBy(*KEYS).agg(
         F.max_by("value", of("country", F.struct("n", "last", "value"))).alias("country_mode"),
         nunique("country").alias("country_nunique"),
-        F.datediff("prediction_date", F.min("first")).alias("elapsed_days_from_first"),
-        F.datediff("prediction_date", F.max("last")).alias("elapsed_days_from_last"),
+        F.datediff("prediction_date", F.min(F.when(back, F.col("first")))).alias(
+            "elapsed_days_from_first"
+        ),
+        F.datediff("prediction_date", F.max(F.when(back, F.col("last")))).alias(
+            "elapsed_days_from_last"
+        ),
         F.coalesce(F.sum(of("invoice", F.col("n"))), F.lit(0)).alias("record_cnt"),
         nunique("invoice").alias("invoice_nunique"),
         nunique("stock_code").alias("stock_nunique"),
@@ -243,13 +321,18 @@ def customer_features(
         F.sum(of("date", F.col("amount"))).cast("double").alias("purchase_amount_sum"),
         *stats("date"),
         *(stats("invoice") if cut_lines_first else []),
+        F.sum(F.when(~back, F.col("amount"))).cast("double").alias("target"),
+        F.count_if(back).alias("_back"),
     )
+    # A customer with lines in the target window alone has no features.
+    main = main.where("_back > 0").drop("_back", *(["target"] if not target_days else []))
     if cut_lines_first:
         return main
     invoices = second_level_stats(
         invoice_summary(tx), "invoice_amount", "purchase_amount_by_invoice", dates, days
     )
-    return assemble(main, invoices)
+    out = assemble(main, invoices)
+    return out.select(*[c for c in out.columns if c != "target"], *(["target"] if target_days else []))
 
 
 def target_sum(anchors: DataFrame, tx: DataFrame, dates: Sequence[str], days: int = 30) -> DataFrame:
@@ -316,15 +399,13 @@ def concat_folds(
     tx: DataFrame, dates: Sequence[str], feature_days: int = 90, target_days: int = 30
 ) -> DataFrame:
     """Stacked data sets of several dates from one plan; customers without a target are left out."""
-    anchors = make_anchors(tx, dates)
-    features = customer_features(tx, dates, feature_days)
-    target = target_sum(anchors, tx, dates, target_days).where(F.col("target").isNotNull())
-    return attach_target(features, target, how="inner", fill=None)
+    rows = customer_features(tx, dates, feature_days, target_days=target_days)
+    return rows.where(F.col("target").isNotNull())
 
 
 def training_set(
     tx: DataFrame, dates: Sequence[str], feature_days: int = 90, target_days: int = 30
 ) -> DataFrame:
     """Features with the forward target, 0 where the customer buys nothing."""
-    target = target_sum(make_anchors(tx, dates), tx, dates, target_days)
-    return attach_target(customer_features(tx, dates, feature_days), target)
+    rows = customer_features(tx, dates, feature_days, target_days=target_days)
+    return rows.fillna(0.0, ["target"])

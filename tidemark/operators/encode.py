@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import scalars as S
-from tidemark.operators.ordered import key_literal, nth_key, scan_before
-from tidemark.session import freeze
+from tidemark.operators.ordered import scan_before
 
 
 def one_hot(cats: list[str], nums: list[str], out: str = "features") -> Pipeline:
@@ -41,24 +43,26 @@ def vector_slots(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
     return df.select(*keys, values).where(F.col("value") != 0)
 
 
-def column_levels(df: DataFrame, column: str, limit: int = 10_000) -> list:
-    """Sorted levels of a column that is to become one column per level."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} levels; encode it by rank instead")
-    return sorted(r[0] for r in rows)
+def fitted_levels(df: DataFrame, column: str) -> list:
+    """Levels that a fitted indexer has for a column, numbers in the order of numbers."""
+    indexer = StringIndexer(inputCol=column, outputCol="_i", handleInvalid="skip")
+    labels = indexer.fit(df).labelsArray[0]
+    if isinstance(df.schema[column].dataType, T.NumericType):
+        return sorted(labels, key=float)
+    return sorted(labels)
 
 
-def dummies(df: DataFrame, cats: list[str], drop_first: bool = True) -> DataFrame:
-    """Replace each category by 0/1 columns ``<name>_<level>``, without the smallest level."""
-    marks = []
-    for c in cats:
-        levels = column_levels(df, c)[1 if drop_first else 0 :]
-        marks += [
-            F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")
-            for v in levels
-        ]
-    return df.select(*[c for c in df.columns if c not in cats], *marks)
+def dummies(df: DataFrame, levels: dict[str, Sequence], drop_first: bool = True) -> DataFrame:
+    """Replace each category by 0/1 columns ``<name>_<level>`` for its given levels.
+
+    The first level of each gets no column, unless ``drop_first`` is off.
+    """
+    marks = [
+        F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")
+        for c, values in levels.items()
+        for v in list(values)[1 if drop_first else 0 :]
+    ]
+    return df.select(*[c for c in df.columns if c not in levels], *marks)
 
 
 def ordinal_levels(train: DataFrame, column: str) -> DataFrame:
@@ -66,7 +70,7 @@ def ordinal_levels(train: DataFrame, column: str) -> DataFrame:
     levels = (
         train.select(F.col(column).alias("level")).where("level IS NOT NULL").distinct()
     ).withColumn("_one", F.lit(1).cast("bigint"))
-    return scan_before(freeze(levels, "levels"), "level", "_one", "code").drop("_one")
+    return scan_before(levels, "level", "_one", "code").drop("_one")
 
 
 def ordinal_encode(train: DataFrame, apply: DataFrame, column: str, out: str) -> DataFrame:
@@ -115,17 +119,17 @@ def head_tail_split(
 ) -> DataFrame:
     """Label the first ``int(n * ratio)`` rows by the unique ``order`` as train, the rest as predict.
 
-    The key at the cut is found first; the rows are then labelled where they
-    are, without a sort or a shuffle.
+    Only the keys are put in order, to find the one at the cut; the rows are then
+    labelled where they are, without a sort or a shuffle.
     """
     key = F.struct(*order)
-    keys = df.select(key.alias("k"))
-    size = keys.count()
-    cut = int(size * ratio)
-    if cut >= size:
-        return df.withColumn(out, F.lit("train"))
-    edge = key_literal(nth_key(keys, cut), keys.schema["k"].dataType)
-    return df.withColumn(out, F.when(key < edge, "train").otherwise("predict"))
+    keys = df.select(key.alias("k"), F.lit(1).cast("bigint").alias("one"))
+    placed = scan_before(keys, "k", "one", "before")
+    cut = placed.agg(F.floor(F.count(F.lit(1)) * F.lit(ratio))).scalar()
+    edge = placed.where(F.col("before") == cut).select("k").scalar()
+    return df.withColumn(
+        out, F.when(F.coalesce(key >= edge, F.lit(False)), "predict").otherwise("train")
+    )
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -137,4 +141,5 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def with_class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     weights = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(weights, label)
+    # One row per class.
+    return df.join(F.broadcast(weights), label)

@@ -34,12 +34,15 @@ def _overlaps(df: DataFrame, id_cols: list[str], ref: str, hyp: str, max_order:
     """Per row: token counts of both texts and the clipped matches ``m1`` to ``m<max_order>``.
 
     Rows are placed by key once; counting grams and adding them up per row then
-    needs no further shuffle.
+    needs no further shuffle. A number of its own keeps rows apart that share a key.
     """
     sides = [(ref, "r"), (hyp, "h")]
-    tokens = df.select(*id_cols, *[S.words(c).alias(f"_{s}") for c, s in sides]).repartition(
-        *[F.col(c) for c in id_cols]
-    )
+    tokens = df.select(
+        *id_cols,
+        F.monotonically_increasing_id().alias("_row"),
+        *[S.words(c).alias(f"_{s}") for c, s in sides],
+    ).repartition(*[F.col(c) for c in id_cols])
+    id_cols = [*id_cols, "_row"]
     marked = F.concat(
         *[_grams(F.col(f"_{s}"), n, s) for _, s in sides for n in range(1, max_order + 1)]
     )

@@ -2,24 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import scan_before
-from tidemark.session import freeze
+
+
+def _error(y: str, yhat: str) -> Column:
+    return F.col(y).cast("double") - F.col(yhat).cast("double")
+
+
+def _rmse(y: str, yhat: str) -> Column:
+    return F.round(F.sqrt(F.avg(_error(y, yhat) * _error(y, yhat))), 6)
 
 
 def rmse(df: DataFrame, y: str, yhat: str, by: list[str] | None = None) -> DataFrame:
-    error = F.col(y).cast("double") - F.col(yhat).cast("double")
     return df.groupBy(*(by or [])).agg(
-        F.round(F.sqrt(F.avg(error * error)), 6).alias("rmse"), F.count(error).alias("n")
+        _rmse(y, yhat).alias("rmse"), F.count(_error(y, yhat)).alias("n")
     )
 
 
+def rmse_of(df: DataFrame, y: str, forecasts: dict[str, str], by: list[str]) -> DataFrame:
+    """The error of several forecasts, as columns named by ``forecasts``, in one aggregate."""
+    return df.groupBy(*by).agg(*[_rmse(y, c).alias(name) for name, c in forecasts.items()])
+
+
 def fold_summary(scores: DataFrame, cols: list[str], fold: str = "fold") -> DataFrame:
     """Scores per fold and, as fold ``mean``, their means."""
-    mean = scores.agg(*[F.round(F.avg(c), 6).alias(c) for c in cols])
-    return scores.select(fold, *cols).unionByName(mean.withColumn(fold, F.lit("mean")))
+    # Both the folds and the total come from one reading.
+    return scores.groupingSets([[fold], []], fold).agg(
+        *[F.round(F.avg(c), 6).alias(f"_{c}") for c in cols], F.grouping(fold).alias("_all")
+    ).select(
+        F.when(F.col("_all") == 1, "mean").otherwise(F.col(fold)).alias(fold),
+        *[F.col(f"_{c}").alias(c) for c in cols],
+    )
 
 
 def importance_topn(df: DataFrame, n: int = 20) -> DataFrame:
@@ -47,7 +63,7 @@ def binary_metrics(
             F.count_if(F.col(label) != 1).alias("neg"),
         )
     )
-    ranked = scan_before(freeze(per_score, "scores"), "s", "neg", "_neg_below")
+    ranked = scan_before(per_score, "s", "neg", "_neg_below")
     hit = F.col("s") >= threshold
     clipped = F.greatest(F.least(F.col("s"), F.lit(1 - 1e-15)), F.lit(1e-15))
     loss = -(F.col("pos") * F.log(clipped) + F.col("neg") * F.log(1 - clipped))

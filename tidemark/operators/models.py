@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import clip_lower
 from tidemark.operators.encode import one_hot, with_class_weights
-from tidemark.operators.metrics import rmse
+from tidemark.operators.metrics import rmse_of
 from tidemark.session import freeze
 
 
@@ -28,8 +29,10 @@ def regressor_stages(
 ) -> Pipeline:
     """Encoders and boosted trees in one pipeline, so that they are saved together.
 
-    Defaults: squared loss, depth 6, step 0.1. ``valid`` names a boolean column
-    that marks the rows used for early stopping.
+    Defaults: squared loss, depth 6, step 0.1, up to 100 rounds. Each round draws
+    rows and each split draws columns with ``subsamplingRate`` and
+    ``featureSubsetStrategy``. ``valid`` names a boolean column that marks the rows
+    used for early stopping.
     """
     trees = GBTRegressor(
         featuresCol="features",
@@ -94,28 +97,45 @@ def search_settings(
 
 
 def cross_validate(
-    rows: DataFrame, cats: list[str], nums: list[str], label: str, baseline: str, **params: Any
+    rows: DataFrame,
+    cats: list[str],
+    nums: list[str],
+    label: str,
+    baseline: str,
+    save_to: str | None = None,
+    together: int = 4,
+    **params: Any,
 ) -> tuple[DataFrame, DataFrame]:
     """Fit each fold on its ``train`` rows and score its ``valid`` rows.
 
-    ``rows`` come from ``time_series_folds``. Every fold has encoders of its own.
-    Returns (fold, rmse_prev, rmse), where ``rmse_prev`` is the error of the
-    ``baseline`` column, and (fold, feature, importance).
+    ``rows`` come from ``time_series_folds``. Every fold has encoders of its own;
+    with ``save_to`` the encoders and trees of each fold are saved in a folder
+    below it. Folds are fitted ``together`` at a time. Returns (fold, rmse_prev,
+    rmse), where ``rmse_prev`` is the error of the ``baseline`` column, and
+    (fold, feature, importance).
     """
     spark, rows = rows.sparkSession, freeze(rows, "folds")
     folds = sorted(r["fold"] for r in rows.select("fold").distinct().collect())
-    scores, importance = [], []
-    for fold in folds:
+
+    def fit(fold: str) -> tuple[tuple, list[tuple]]:
         train = rows.where((F.col("fold") == fold) & (F.col("role") == "train"))
         valid = rows.where((F.col("fold") == fold) & (F.col("role") == "valid"))
         model = train_regressor(train, valid, cats, nums, label, **params)
+        if save_to:
+            save_model(model, f"{save_to}/{fold}")
         scored = model.transform(valid)
-        prev = rmse(scored, label, baseline).first()["rmse"]
-        scores.append((fold, prev, rmse(scored, label, "prediction").first()["rmse"]))
-        importance += [(fold, f, v) for f, v in feature_importance(model, scored, nums)]
+        errors = rmse_of(scored, label, {"prev": baseline, "model": "prediction"}, []).first()
+        importance = [(fold, f, v) for f, v in feature_importance(model, scored, nums)]
+        return (fold, errors["prev"], errors["model"]), importance
+
+    with ThreadPoolExecutor(together) as pool:
+        results = list(pool.map(fit, folds))
     return (
-        spark.createDataFrame(scores, "fold string, rmse_prev double, rmse double"),
-        spark.createDataFrame(importance, "fold string, feature string, importance double"),
+        spark.createDataFrame([s for s, _ in results], "fold string, rmse_prev double, rmse double"),
+        spark.createDataFrame(
+            [i for _, each in results for i in each],
+            "fold string, feature string, importance double",
+        ),
     )
 
 
@@ -210,34 +230,31 @@ def batch_score(
     return clip_lower(scored, "predicted_amount", "predicted_amount_clipped")
 
 
-def rf_importance(df: DataFrame, trees: int = 100, seed: int = 42) -> DataFrame:
-    """Importance of every ``param.*`` column for ``metric.cost``, highest first."""
-    names = sorted(c for c in df.columns if c.startswith("param."))
-    if trees < 1:
-        raise ValueError("trees must be at least 1")
-    if not names:
-        raise ValueError("expected one or more param.* columns")
-    if "metric.cost" not in df.columns:
-        raise ValueError("metric.cost is missing")
-    used = [*names, "metric.cost"]
+def rf_importance(
+    df: DataFrame, inputs: Sequence[str], target: str, trees: int = 100, seed: int = 42
+) -> DataFrame:
+    """Importance of the input columns for the target in a random forest, highest first.
+
+    Text is read as numbers. A value that is no number is an error that names its column.
+    """
+    used = [*inputs, target]
+    if not inputs or set(used) - set(df.columns):
+        raise ValueError(f"need {target} and input columns, have {df.columns}")
     plain = df.select(*[F.col(f"`{c}`").try_cast("double").alias(f"c{i}") for i, c in enumerate(used)])
-    bad = F.lit(False)
-    for c in plain.columns:
-        bad = bad | F.col(c).isNull() | F.isnan(c)
-    seen = plain.agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad")).first()
-    if seen["bad"]:
-        raise ValueError("param.* and metric.cost values must be present and numeric")
-    if seen["n"] < 2:
-        raise ValueError("at least two trial rows are required")
-    inputs = plain.columns[:-1]
-    rows = VectorAssembler(inputCols=inputs, outputCol="x").transform(plain)
+    checks = plain.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(F.col(c).isNull() | F.isnan(c)).alias(c) for c in plain.columns],
+    ).first()
+    broken = [name for name, c in zip(used, plain.columns, strict=True) if checks[c]]
+    if broken:
+        raise ValueError(f"not a number in: {', '.join(broken)}")
+    if checks["rows"] < 2:
+        raise ValueError("a forest needs two rows or more")
+    rows = VectorAssembler(inputCols=plain.columns[:-1], outputCol="x").transform(plain)
     forest = RandomForestRegressor(
         featuresCol="x", labelCol=plain.columns[-1], numTrees=trees, seed=seed
     ).fit(rows)
-    result = [
-        (n.removeprefix("param."), float(v))
-        for n, v in zip(names, forest.featureImportances.toArray(), strict=True)
-    ]
+    result = [(n, float(v)) for n, v in zip(inputs, forest.featureImportances.toArray(), strict=True)]
     return df.sparkSession.createDataFrame(result, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
     )

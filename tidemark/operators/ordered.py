@@ -1,145 +1,56 @@
 """Exact scans in one global order without sending all rows through one task.
 
 ``Window.orderBy`` without a partition puts every row into a single task. Here
-the order is cut into ranges at sampled keys: each range is scanned on its own
+Spark deals the rows into ranges of the key; each range is scanned on its own
 and starts from the total of the ranges before it.
 """
 
 from __future__ import annotations
 
-from typing import Any
-
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-#: Ranges aim at this many keys each, up to the largest number of ranges.
-PER_RANGE = 50_000
-MOST_RANGES = 4096
-
-
-def ranges_for(n: int) -> int:
-    return max(1, min(MOST_RANGES, n // PER_RANGE))
 
+from tidemark.session import freeze
 
-def _literal(value: Any, dtype: T.DataType) -> str:
-    """SQL text of one key."""
-    if isinstance(value, Row):
-        fields = [f"'{f.name}', {_literal(value[f.name], f.dataType)}" for f in dtype.fields]
-        return f"named_struct({', '.join(fields)})"
-    if value is None:
-        return f"CAST(NULL AS {dtype.simpleString()})"
-    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
-    return f"CAST('{text}' AS {dtype.simpleString()})"
+#: Number of the range that a row is in.
+RANGE = "_range"
 
 
-def key_literal(value: Any, dtype: T.DataType) -> Column:
-    return F.expr(_literal(value, dtype))
+def in_ranges(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` in ranges of ``keys``, with the number of each row's range, written once.
 
-
-def range_edges(keys: DataFrame, bins: int) -> list[Any]:
-    """Up to ``bins - 1`` keys in order, a repeatable sample of the one-column ``keys``.
-
-    The sample is bounded by ``bins``, so bringing it to the driver is safe.
+    Spark samples the ranges. Writing them down keeps a row's range the same for
+    every later reading, whatever the sample of another run would have been.
     """
-    (name,) = keys.columns
-    if bins < 2:
-        return []
-    picked = (
-        keys.where(F.col(name).isNotNull())
-        .orderBy(F.xxhash64(name), F.col(name))
-        .limit(bins - 1)
-        .agg(F.sort_array(F.collect_set(name)).alias("edges"))
-    )
-    return list(picked.first()["edges"])
-
+    return freeze(rows.repartitionByRange(*keys).withColumn(RANGE, F.spark_partition_id()), "ranges")
 
-def range_bin(key: Column, edges: list[Any], dtype: T.DataType) -> Column:
-    """Number of edges below ``key``, by binary search."""
-    if not edges:
-        return F.lit(0)
-    # One parsed expression: building it call by call would cost a round trip per key.
-    table = F.expr(f"array({', '.join(_literal(e, dtype) for e in edges)})")
-    steps, size = [], 1
-    while size * 2 <= len(edges):
-        size *= 2
-    while size:
-        steps.append(size)
-        size //= 2
 
-    def probe(found: Column, step: Column) -> Column:
-        below = F.try_element_at(table, found + step) < key
-        return F.when(F.coalesce(below, F.lit(False)), found + step).otherwise(found)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), probe)
-
-
-def scan_before(
-    rows: DataFrame, key: str, value: str, out: str, how: str = "sum", bins: int | None = None
-) -> DataFrame:
+def scan_before(rows: DataFrame, key: str, value: str, out: str, how: str = "sum") -> DataFrame:
     """Add ``out``: sum (or max) of ``value`` over all rows with a smaller ``key``.
 
     ``key`` must be unique and not NULL. The first row gets 0 for a sum, NULL for a max.
-    ``rows`` is read several times; freeze it first when it is costly.
+    ``rows`` is read once.
     """
-    dtype = rows.schema[key].dataType
-    edges = range_edges(rows.select(key), bins or ranges_for(rows.count()))
-    binned = rows.withColumn("_bin", range_bin(F.col(key), edges, dtype))
+    dealt = in_ranges(rows, key)
     fold = F.sum if how == "sum" else F.max
-    # One row per range: the single-task window and the broadcast are bounded.
+    # One row per range, as many as the session has shuffle partitions.
     starts = (
-        binned.groupBy("_bin")
+        dealt.groupBy(RANGE)
         .agg(fold(value).alias("_all"))
         .select(
-            "_bin",
+            RANGE,
             fold("_all")
-            .over(Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1))
+            .over(Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1))
             .alias("_start"),
         )
     )
     inside = fold(value).over(
-        Window.partitionBy("_bin").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(RANGE).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     )
-    joined = binned.withColumn("_inside", inside).join(F.broadcast(starts), "_bin")
+    joined = dealt.withColumn("_inside", inside).join(F.broadcast(starts), RANGE)
     if how == "sum":
         zero = F.lit(0)
         result = F.coalesce("_start", zero) + F.coalesce("_inside", zero)
     else:
         result = F.greatest("_start", "_inside")
-    return joined.withColumn(out, result).drop("_bin", "_start", "_inside")
-
-
-def nth_key(
-    keys: DataFrame, n: int, bins: int | None = None, small: int = 2 * PER_RANGE
-) -> Any:
-    """The ``n``-th (from 0) key in order of a one-column frame of unique keys.
-
-    Each pass counts the keys per range and keeps the range that holds the
-    position, so that only the last, small range is sorted.
-    """
-    (name,) = keys.columns
-    dtype = keys.schema[name].dataType
-    size = keys.count()
-    if not 0 <= n < size:
-        raise IndexError("position is past the last key")
-    while size > small:
-        # With two edges or more no range holds all keys, as each edge is in its own.
-        edges = range_edges(keys, bins or max(64, ranges_for(size)))
-        counts = {
-            r["b"]: r["count"]
-            for r in keys.groupBy(range_bin(F.col(name), edges, dtype).alias("b")).count().collect()
-        }
-        for b in sorted(counts):
-            if n < counts[b]:
-                break
-            n -= counts[b]
-        # Bin b holds keys above edges[b - 1] and up to edges[b].
-        inside = F.lit(True)
-        if b > 0:
-            inside = inside & (F.col(name) > key_literal(edges[b - 1], dtype))
-        if b < len(edges):
-            inside = inside & (F.col(name) <= key_literal(edges[b], dtype))
-        if counts[b] == size:
-            raise ValueError("keys are not unique")
-        keys, size = keys.where(inside), counts[b]
-    return keys.orderBy(name).offset(n).first()[0]
+    return joined.withColumn(out, result).drop(RANGE, "_start", "_inside")

@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from tidemark.functions import scalars as S
 from tidemark.operators.ordered import scan_before
-from tidemark.session import freeze
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -62,61 +61,56 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
             for c in columns
         ]
     )
-    # Frozen, because the size, the mean, the edges and the scan all read it.
-    values = freeze(
+    freq = (
         df.select(F.inline(cells))
         .groupBy("column_name", "num", "txt")
-        .agg(F.count(F.lit(1)).alias("n")),
-        "frequencies",
-    )
-    parts = []
-    for name in columns:
-        kind = "num" if name in numeric else "txt"
-        freq = values.where((F.col("column_name") == name) & F.col(kind).isNotNull()).select(
-            F.col(kind).alias("v"), "n"
-        )
-        top = F.max_by("v", F.struct("n", "v"))
-        null = F.lit(None).cast("double")
-        if name in numeric:
-            ranked = scan_before(freq, "v", "n", "_below")
-            size = freq.agg(F.sum("n")).scalar()
-
-            def at(rank: Column) -> Column:
-                held = (F.col("_below") <= rank) & (rank < F.col("_below") + F.col("n"))
-                return F.max(F.when(held, F.col("v")))
-
-            def quantile(q: float, at=at, size=size) -> Column:
-                spot = F.lit(q) * (size - 1)
-                low, high = at(F.floor(spot)), at(F.ceil(spot))
-                return low + (high - low) * (spot - F.floor(spot))
-
-            total = F.sum("n")
-            mean = freq.agg(F.sum(F.col("v") * F.col("n")) / F.sum("n")).scalar()
-            squares = F.sum(F.col("n") * (F.col("v") - mean) * (F.col("v") - mean))
-            stats = ranked.agg(
-                total.alias("cnt"),
-                F.count("v").alias("distinct_values"),
-                F.lit(None).cast("string").alias("top"),
-                F.lit(None).cast("bigint").alias("freq"),
-                F.round(F.max(mean), 6).alias("mean"),
-                F.round(F.sqrt(F.try_divide(squares, total - 1)), 6).alias("std"),
-                F.min("v").alias("min"),
-                *[F.round(quantile(q), 6).alias(f"p{int(q * 100)}") for q in (0.25, 0.5, 0.75)],
-                F.max("v").alias("max"),
-            )
-        else:
-            stats = freq.agg(
-                F.sum("n").alias("cnt"),
-                F.count("v").alias("distinct_values"),
-                top.alias("top"),
-                F.max("n").alias("freq"),
-                *[null.alias(k) for k in ("mean", "min", "p25", "p50", "p75", "max", "std")],
-            )
-        parts.append(stats.select(F.lit(name).alias("column_name"), *_STATS))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("num").isNotNull() | F.col("txt").isNotNull())
+        .withColumn("_key", F.struct("column_name", "num", "txt"))
+    )
+    # All columns stand in one order, column by column; a value's place in its own
+    # column is its place there less that of the column's first value.
+    ranked = scan_before(freq, "_key", "n", "_before")
+    # One row per column.
+    sizes = ranked.groupBy(F.col("column_name").alias("_name")).agg(
+        F.sum("n").alias("size"),
+        F.min("_before").alias("first"),
+        (F.sum(F.col("num") * F.col("n")) / F.sum("n")).alias("_mean"),
+    )
+    rows = ranked.join(F.broadcast(sizes), F.col("column_name") == F.col("_name"))
+    below = F.col("_before") - F.col("first")
+    is_num = F.col("num").isNotNull()
+
+    def at(rank: Column) -> Column:
+        held = is_num & (below <= rank) & (rank < below + F.col("n"))
+        return F.max(F.when(held, F.col("num")))
+
+    def quantile(q: float) -> Column:
+        spot = F.lit(q) * (F.col("size") - 1)
+        low, high = at(F.floor(spot)), at(F.ceil(spot))
+        end = F.lit(q) * (F.max("size") - 1)
+        return low + (high - low) * (end - F.floor(end))
+
+    gap = F.col("num") - F.col("_mean")
+    text = F.col("txt").isNotNull()
+    out = rows.groupBy("column_name").agg(
+        F.sum("n").alias("cnt"),
+        F.count(F.lit(1)).alias("distinct_values"),
+        F.max_by("txt", F.when(text, F.struct("n", "txt"))).alias("top"),
+        F.max(F.when(text, F.col("n"))).alias("freq"),
+        F.round(F.max(F.when(is_num, F.col("_mean"))), 6).alias("mean"),
+        F.round(F.sqrt(F.try_divide(F.sum(F.col("n") * gap * gap), F.sum("n") - 1)), 6).alias("std"),
+        F.min("num").alias("min"),
+        *[F.round(quantile(q), 6).alias(f"p{int(q * 100)}") for q in (0.25, 0.5, 0.75)],
+        F.max("num").alias("max"),
+    )
+    # Columns without any value have a row too.
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return (
+        names.join(out, "column_name", "left")
+        .fillna(0, ["cnt", "distinct_values"])
+        .select("column_name", *_STATS)
+    )
 
 
 _STATS = ["cnt", "distinct_values", "top", "freq", "mean", "std", "min", "p25", "p50", "p75", "max"]
@@ -207,8 +201,34 @@ def time_range(df: DataFrame, ts: str, key: str) -> DataFrame:
 
 def target_correlation(df: DataFrame, target: str, columns: list[str], n: int = 10) -> DataFrame:
     """Pearson correlation with the target: the ``n`` highest and ``n`` lowest columns."""
-    wide = df.agg(*[F.round(F.corr(c, target), 6).alias(c) for c in columns])
-    return top_bottom(wide.unpivot([], columns, "feature", "corr"), "corr", "feature", n)
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("feature"), F.round(F.corr(c, target), 6).alias("corr")
+            )
+            for c in columns
+        ]
+    )
+
+    def first(sign: int) -> Column:
+        # NULL is the lowest; equal values go by name, and backwards at the bottom.
+        def compare(a: Column, b: Column) -> Column:
+            x, y = (F.coalesce(v["corr"], F.lit(float("-inf"))) for v in (a, b))
+            one = F.when(x > y, -sign).when(x < y, sign)
+            return one.when(a["feature"] < b["feature"], -sign).when(
+                a["feature"] > b["feature"], sign
+            ).otherwise(0)
+
+        return F.slice(F.array_sort("cells", compare), 1, n)
+
+    def marked(part: str, sign: int) -> Column:
+        return F.transform(
+            first(sign), lambda x: F.struct(x["feature"], x["corr"], F.lit(part).alias("part"))
+        )
+
+    # One row holds all correlations, so that the table is read once.
+    wide = df.agg(cells.alias("cells"))
+    return wide.select(F.inline(F.concat(marked("top", 1), marked("bottom", -1))))
 
 
 def top_bottom(df: DataFrame, column: str, tie: str, n: int) -> DataFrame:

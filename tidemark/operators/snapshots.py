@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.operators.cleaning import hash_sample
-
-#: Most feature versions that are sent to every executor.
-SMALL = 100_000
+from tidemark.operators.ordered import RANGE, in_ranges
 
 
 def union_years(parts: list[tuple[DataFrame, str, str]], ts: str) -> DataFrame:
@@ -48,7 +46,8 @@ def zone_stats(
         (F.col("trip_distance") > 0)
         & (F.col("fare_amount") > 0)
         & F.col("pickup_location_id").isNotNull()
-        & F.col("pickup_datetime").isNotNull()
+        # Trips after the last snapshot count for none; the bound reaches the scan.
+        & (F.col("pickup_datetime") < F.lit(max(snapshots)).cast("timestamp_ntz"))
     )
     if sample_mod:
         valid = hash_sample(valid, "pickup_datetime", sample_mod)
@@ -63,7 +62,6 @@ def zone_stats(
             F.sum(S.money("tip_amount")).alias("tip"),
             F.sum(fare).alias("fare"),
         )
-        .where(F.col("_gap") < len(snapshots))
     )
     after = F.slice(snaps, F.col("_gap") + 1, F.lit(len(snapshots)))
     return (
@@ -102,9 +100,7 @@ def pit_join(
     feat_key: str,
     left_ts: str,
     feat_ts: str,
-    slot: str = "day",
     dedupe: bool = False,
-    small: int = SMALL,
 ) -> DataFrame:
     """Point-in-time left join: newest feature version not after the row's time.
 
@@ -112,9 +108,10 @@ def pit_join(
     keeps one row per (key, time), the smallest, as a partition-and-pick query
     over these columns would.
 
-    Versions are counted first. Up to ``small`` of them go to every executor and
-    the rows are not shuffled at all; above that both sides are merged by key and
-    time slot.
+    Rows and versions are put in one order of key and time and dealt into ranges,
+    so that a hot key is split by time, and equal times by a hash of the row. Each
+    range finds the last version before a row; the last version of the ranges
+    before it, one row per range, is carried in.
     """
     if dedupe:
         left = (
@@ -124,103 +121,48 @@ def pit_join(
         )
     payload = [c for c in feats.columns if c != feat_key]
     versions = feats.where(F.col(feat_key).isNotNull() & F.col(feat_ts).isNotNull()).select(
-        F.struct(*payload).alias("_feat"),
         F.col(feat_key).alias("_key"),
         F.col(feat_ts).alias("_t"),
+        # At equal times the version comes first; equal versions go by content.
+        F.lit(0).alias("_side"),
+        F.lit(0).cast("bigint").alias("_salt"),
+        F.struct(F.col(feat_key).alias("key"), F.struct(*payload).alias("feat")).alias("_version"),
     )
-    n = versions.limit(small + 1).count() if small else 1
-    if n <= small:
-        return _pit_lookup(left, versions, left_key, left_ts, max(n, 1))
-    return _pit_merge(left, versions, left_key, left_ts, slot)
-
-
-def _pit_lookup(left: DataFrame, versions: DataFrame, key: str, ts: str, n: int) -> DataFrame:
-    """Binary search in the key's sorted versions; ``n`` bounds all versions together."""
-    packed = versions.groupBy("_key").agg(
-        # Equal times are sorted by content, and the last of them is found.
-        F.sort_array(F.collect_list(F.struct("_t", "_feat"))).alias("_versions")
-    )
-    rows = left.select(
-        F.struct(*left.columns).alias("_row"), F.col(key).alias("_key"), F.col(ts).alias("_at")
-    ).join(F.broadcast(packed), "_key", "left")
-
-    def probe(found: Column, step: Column) -> Column:
-        known = F.try_element_at(F.col("_versions"), found + step)["_t"] <= F.col("_at")
-        return F.when(F.coalesce(known, F.lit(False)), found + step).otherwise(found)
-
-    steps = [F.lit(1 << i) for i in reversed(range(n.bit_length()))]
-    placed = rows.withColumn("_n", F.aggregate(F.array(*steps), F.lit(0), probe))
-    feat = F.when(F.col("_n") > 0, F.element_at(F.col("_versions"), F.col("_n"))["_feat"])
-    return placed.select("_row", feat.alias("_feat")).select("_row.*", "_feat.*")
-
-
-def _pit_merge(left: DataFrame, versions: DataFrame, key: str, ts: str, slot: str) -> DataFrame:
-    """Merge rows and versions in time order per key *and* time slot.
-
-    A hot key is thereby spread over its slots instead of being sorted by one
-    task. Each slot starts from the newest version of the slots before it, which
-    a small table (one row per key and slot) carries forward.
-    """
-    slot_of = lambda c: F.date_trunc(slot, c)
-    lost = F.col(key).isNull() | F.col(ts).isNull()
     rows = left.select(
+        F.col(left_key).alias("_key"),
+        F.col(left_ts).alias("_t"),
+        F.lit(1).alias("_side"),
+        F.xxhash64(*left.columns).alias("_salt"),
         F.struct(*left.columns).alias("_row"),
-        F.col(key).alias("_key"),
-        F.col(ts).alias("_t"),
-        slot_of(F.col(ts)).alias("_slot"),
-        # Rows that can match nothing must not pile up under the NULL key.
-        F.when(lost, F.pmod(F.xxhash64(*left.columns), F.lit(1024))).otherwise(0).alias("_salt"),
     )
-    versions = versions.withColumns(
-        {"_slot": slot_of(F.col("_t")), "_salt": F.lit(0).cast("bigint")}
-    )
-    spot = ["_key", "_slot", "_salt"]
+    order = ["_key", "_t", "_side", "_salt"]
+    dealt = in_ranges(rows.unionByName(versions, allowMissingColumns=True), *order)
     in_order = (
-        Window.partitionBy(*spot)
-        # At equal times the version comes first; equal versions go by content.
-        .orderBy("_t", F.col("_row").isNotNull(), "_feat")
+        Window.partitionBy(RANGE)
+        .orderBy(*order, "_version")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    merged = (
-        rows.unionByName(versions, allowMissingColumns=True)
-        .withColumn("_inside", F.last("_feat", ignorenulls=True).over(in_order))
-        .where(F.col("_row").isNotNull())
-    )
-    last_of_slot = versions.groupBy(*spot).agg(
-        F.max_by("_feat", F.struct("_t", "_feat")).alias("_feat")
+    inside = dealt.withColumn("_inside", F.last("_version", ignorenulls=True).over(in_order)).where(
+        "_side = 1"
     )
-    marks = (
-        last_of_slot.unionByName(rows.select(*spot).distinct(), allowMissingColumns=True)
-        .groupBy(*spot)
-        .agg(F.max("_feat").alias("_feat"))
-    )
-    before = (
-        Window.partitionBy("_key", "_salt")
-        .orderBy("_slot")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range, as many as the session has shuffle partitions.
+    before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        dealt.groupBy(RANGE)
+        .agg(
+            F.max_by(
+                "_version", F.when(F.col("_side") == 0, F.struct("_key", "_t", "_version"))
+            ).alias("_last")
+        )
+        .select(RANGE, F.last("_last", ignorenulls=True).over(before).alias("_carried"))
     )
-    carried = marks.select(*spot, F.last("_feat", ignorenulls=True).over(before).alias("_carried"))
-    joined = merged.join(carried, spot, "left")
-    found = joined.select("_row", F.coalesce("_inside", "_carried").alias("_feat"))
-    return found.select("_row.*", "_feat.*")
-
-
-def pit_join_by_rank(
-    left: DataFrame, feats: DataFrame, left_key: str, feat_key: str, left_ts: str, feat_ts: str
-) -> DataFrame:
-    """One row per (key, time) the textbook way: range join, then newest version.
-
-    Builds rows times versions; for few versions per key only.
-    """
-    hit = (F.col(left_key) == F.col(feat_key)) & (F.col(feat_ts) <= F.col(left_ts))
-    pairs = left.join(feats, hit, "left").drop(feat_key)
-    rest = [c for c in feats.columns if c not in (feat_key, feat_ts)]
-    kept = Window.partitionBy(left_key, left_ts).orderBy(
-        F.col(feat_ts).desc_nulls_last(),
-        *[F.col(c).desc_nulls_last() for c in rest],
-        *[F.col(c) for c in left.columns],
+    # The last version in the order is of an earlier key where the row's has none.
+    found = F.coalesce("_inside", "_carried")
+    return (
+        inside.join(F.broadcast(carried), RANGE, "left")
+        .select("_row", F.when(found["key"] == F.col("_key"), found["feat"]).alias("_feat"))
+        .select("_row.*", "_feat.*")
     )
-    return pairs.withColumn("_rn", F.row_number().over(kept)).where("_rn = 1").drop("_rn")
 
 
 def pit_training_set(
@@ -228,7 +170,6 @@ def pit_training_set(
     feats: DataFrame,
     ranges: list[tuple[str, str]],
     dedupe: bool = True,
-    small: int = SMALL,
 ) -> DataFrame:
     """Training rows of the given time ranges with the zone's features as of pickup."""
     ts = F.col("pickup_datetime")
@@ -269,7 +210,6 @@ def pit_training_set(
         "pickup_datetime",
         "feature_timestamp",
         dedupe=dedupe,
-        small=small,
     ).orderBy("pickup_datetime")
 
 

@@ -1,29 +1,14 @@
-"""Parameter trials: settings, cost and comfort, best and non-dominated trials."""
+"""Parameter trials: grids, the best and the non-dominated trials."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import scalars as S
 from tidemark.operators.ordered import scan_before
-from tidemark.session import freeze
-
-# Grid of the single-parameter study, and the settings it keeps constant.
-AC_TEMPS = [18, 20, 22, 24, 26, 28, 30]
-# Ranges of the multi-objective study.
-RANGES = {
-    "ac_temp": (18.0, 30.0),
-    "insulation_thickness": (0.0, 20.0),
-    "window_size": (1.0, 10.0),
-    "occupancy_density": (10.0, 100.0),
-}
-# Fixed value: the cost never falls below this.
-COST_FLOOR = 30.0
-OUTSIDE_TEMP = 35.0
 
 
 def parameter_grid(studies: DataFrame, spec: dict[str, Sequence[float]]) -> DataFrame:
@@ -37,69 +22,6 @@ def parameter_grid(studies: DataFrame, spec: dict[str, Sequence[float]]) -> Data
     )
 
 
-def random_settings(
-    studies: DataFrame,
-    key: list[str],
-    trials: int,
-    ranges: dict[str, tuple[float, float]] | None = None,
-    log_scale: tuple[str, ...] = (),
-    seed: int = 42,
-) -> DataFrame:
-    """``trials`` repeatable draws per study row, uniform (or log-uniform) in each range."""
-
-    def setting(trial: Column) -> Column:
-        fields = [trial.alias("trial")]
-        for name, (low, high) in (ranges or RANGES).items():
-            draw = S.unit_draw(*key, trial, F.lit(name), F.lit(seed))
-            if name in log_scale:
-                value = F.lit(low) * F.pow(F.lit(high / low), draw)
-            else:
-                value = F.lit(low) + F.lit(high - low) * draw
-            fields.append(value.alias(name))
-        return F.struct(*fields)
-
-    # Drawn inside the generator: filters further up then see plain columns and
-    # are not pushed down with a copy of the drawing expression each.
-    rows = F.transform(F.sequence(F.lit(1), F.lit(trials)), setting)
-    return studies.select("*", F.inline(rows))
-
-
-def _valid() -> Column:
-    """Finite settings, sizes not negative. NaN is above every number here."""
-    top = F.lit(float("inf"))
-    sizes = [F.col(n) for n in list(RANGES)[1:]]
-    return reduce(
-        lambda a, b: a & b, [F.abs(F.col("ac_temp")) < top] + [(c >= 0) & (c < top) for c in sizes]
-    )
-
-
-def cost_of(noise: Column, outside_temp: float = OUTSIDE_TEMP) -> Column:
-    """Monthly cost: cooling, insulation, windows and people, with a floor."""
-    t, w, o = (F.col(c) for c in ("insulation_thickness", "window_size", "occupancy_density"))
-    gap = F.greatest(F.lit(0.0), F.lit(outside_temp) - F.col("ac_temp"))
-    cooling = 5 * gap * gap
-    insulation = 100 / (t + 0.1) + 2 * t
-    windows = 0.5 * gap * F.pow(w, F.lit(1.5))
-    return F.greatest(F.lit(COST_FLOOR), cooling + insulation + windows + 10 * o + noise)
-
-
-def comfort_of() -> Column:
-    return 100 - F.abs(F.col("ac_temp") - 24) * 5 + F.col("window_size") * 2
-
-
-def sweep_cost(
-    settings: DataFrame, noise_col: str | None = None, outside_temp: float = OUTSIDE_TEMP
-) -> DataFrame:
-    """Add cost and comfort of each setting; invalid settings raise."""
-    numbers = settings.withColumns({n: F.col(n).cast("double") for n in RANGES})
-    noise = F.col(noise_col).cast("double") if noise_col else F.lit(0.0)
-    message = F.lit("settings must be finite, and sizes not negative")
-    cost = F.when(_valid(), cost_of(noise, outside_temp)).otherwise(
-        F.raise_error(message).cast("double")
-    )
-    return numbers.withColumns({"cost": F.round(cost, 6), "comfort": F.round(comfort_of(), 6)})
-
-
 def best_trials(trials: DataFrame, study: str, order: list[str], metric: str = "cost") -> DataFrame:
     """The cheapest trial per study; ties go to the smaller ``order`` columns."""
     whole = F.struct(*trials.columns)
@@ -120,7 +42,7 @@ def pareto_front(df: DataFrame, minimise: str, maximise: str) -> DataFrame:
         & ~F.isnan(minimise)
         & ~F.isnan(maximise)
     )
-    best = freeze(valid.groupBy(minimise).agg(F.max(maximise).alias("_best")), "best")
+    best = valid.groupBy(minimise).agg(F.max(maximise).alias("_best"))
     front = (
         scan_before(best, minimise, "_best", "_cheaper", how="max")
         .where(F.col("_cheaper").isNull() | (F.col("_best") > F.col("_cheaper")))

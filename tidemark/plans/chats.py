@@ -8,6 +8,8 @@ from tidemark.operators import chat as H
 from tidemark.operators import evaluation as V
 from tidemark.plans.adapters import CATEGORIZED, CHAT, KEYWORDS, RUN_TS, Tables
 from tidemark.plans.registry import query, with_ctes
+from tidemark.session import shared_dir
+from tidemark.streaming import categorize as SC
 
 SCORER = H.keyword_scorer(KEYWORDS)
 TEMPLATE_SQL = H.PROMPT.replace("'", "''")
@@ -49,7 +51,11 @@ def _(t: Tables):
     "daily_increment", with_ctes(CATEGORIZED, select=f"SELECT * FROM categorized {RUN_DAY}")
 )
 def _(t: Tables):
-    return H.categorize(H.daily_rows(t.chat(), RUN_TS), SCORER)
+    """Written by the job, which runs twice, and read back."""
+    target = shared_dir(t.spark, "daily")
+    for _run in range(2):
+        SC.daily_increment(t.chat(), RUN_TS, SCORER, target)
+    return t.spark.read.parquet(target).drop("day")
 
 
 @query(

@@ -15,7 +15,7 @@ from tidemark.plans.adapters import (
     FEATURES_CTE,
     FOLDS,
     PREPARED,
-    STUDIES,
+    PREPARED_IDS,
     TRIPS,
     Tables,
     draw_sql,
@@ -24,19 +24,19 @@ from tidemark.plans.registry import query, with_ctes
 
 CATS = ["payment_type", "day_of_week", "hour_of_day"]
 NUMS = ["passenger_count", "trip_distance"]
+ROUNDS = 100
 
 
 def trip_rows(t: Tables):
     """Prepared trips that keep their id, categories as text."""
-    kept = t.trips().select("event_id", "pickup_datetime")
-    rows = prepare_trips(t.trips()).join(kept, "pickup_datetime")
+    rows = prepare_trips(t.trips(), keys=["event_id"])
     return rows.withColumns({c: F.col(c).cast("string") for c in CATS})
 
 
 ROWS = """
 rows_ AS (
-  SELECT event_id, p.* REPLACE (day_of_week::VARCHAR AS day_of_week, hour_of_day::VARCHAR AS hour_of_day)
-  FROM prepared p JOIN trips USING (pickup_datetime)),
+  SELECT * REPLACE (day_of_week::VARCHAR AS day_of_week, hour_of_day::VARCHAR AS hour_of_day)
+  FROM prepared_ids),
 train AS (SELECT * FROM rows_ WHERE hour_of_day <> '23' AND day_of_week <> '7')
 """
 
@@ -58,7 +58,7 @@ def slots_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
-@query("one_hot_ignore_unknown", with_ctes(PREPARED, ROWS, select=slots_sql()))
+@query("one_hot_ignore_unknown", with_ctes(PREPARED, PREPARED_IDS, ROWS, select=slots_sql()))
 def _(t: Tables):
     """Fitted without Saturdays and the last hour, which are then unseen levels."""
     rows = trip_rows(t)
@@ -85,7 +85,7 @@ def _(t: Tables):
     rows = prepare_trips(t.trips()).select(
         "pickup_datetime", "payment_type", "day_of_week", "hour_of_day"
     )
-    return E.dummies(rows, ["payment_type", "day_of_week"])
+    return E.dummies(rows, {"payment_type": TYPES, "day_of_week": range(1, 8)})
 
 
 @query(
@@ -115,6 +115,7 @@ def _(t: Tables):
     "standardize",
     with_ctes(
         PREPARED,
+    PREPARED_IDS,
         select="""
 SELECT pickup_datetime,
   round((passenger_count - avg(passenger_count) OVER ()) / stddev_pop(passenger_count) OVER (), 6)
@@ -257,54 +258,72 @@ CENSUS_NUMS = ["age", "hours_per_week"]
 def _(t: Tables):
     rows = census_split(t).drop("person_id")
     train, test = (rows.where(f"data_type = '{k}'").drop("data_type") for k in ("train", "test"))
-    model = models.train_classifier(
-        train, "income_bracket", " >50K", CENSUS_CATS, CENSUS_NUMS, (0.01, 0.1), (0.0,)
-    )
+    model = models.train_classifier(train, "income_bracket", " >50K", CENSUS_CATS, CENSUS_NUMS)
     scored = models.class_scores(model, test, "income_bracket", " >50K")
     return metrics.binary_metrics(scored, "label", "score")
 
 
-def trip_split(t: Tables):
-    rows = E.split_random(
-        prepare_trips(t.trips()).withColumns({c: F.col(c).cast("string") for c in CATS}),
-        {"train": 0.8, "test": 0.2},
-        ["pickup_datetime"],
-    )
-    return tuple(
-        rows.where(f"data_type = '{k}'").drop("data_type", "pickup_datetime")
-        for k in ("train", "test")
-    )
+def trip_parts(t: Tables):
+    """The first nine tenths of the trips by time, split 80/10/10; the last tenth is left to predict."""
+    rows = E.head_tail_split(trip_rows(t), ["pickup_datetime", "event_id"], 0.9)
+    head = rows.where("part = 'train'").drop("part")
+    weights = {"train": 0.8, "valid": 0.1, "test": 0.1}
+    return E.split_random(head, weights, ["event_id"])
 
 
 @query("train_regressor")
 def _(t: Tables):
-    train, test = trip_split(t)
+    """Trees stopped early on the validation rows; their error there and on the test rows."""
+    rows = trip_parts(t).persist()
+    train, valid = (rows.where(f"data_type = '{k}'") for k in ("train", "valid"))
     model = models.train_regressor(
-        train, test, CATS, NUMS, "tip_amount", maxIter=5, maxDepth=4
+        train, valid, CATS, NUMS, "tip_amount", subsamplingRate=0.8, featureSubsetStrategy="0.8"
     )
-    return metrics.rmse(model.transform(test), "tip_amount", "prediction")
+    rows.unpersist()
+    scored = model.transform(trip_parts(t).where("data_type <> 'train'"))
+    return metrics.rmse(scored, "tip_amount", "prediction", ["data_type"])
 
 
 @query("param_sweep")
 def _(t: Tables):
-    train, test = trip_split(t)
-    grid = [{"maxDepth": d, "maxIter": 2} for d in (3, 6)]
-    grid += [{**s, "maxIter": 2} for s in models.search_settings(1)]
+    """The depths of the sweep, and drawn settings."""
+    rows = trip_parts(t)
+    train, test = (rows.where(f"data_type = '{k}'") for k in ("train", "test"))
+    grid = [{"maxDepth": d, "maxIter": ROUNDS} for d in (3, 6, 9)]
+    grid += [{**s, "maxIter": ROUNDS} for s in models.search_settings(2)]
     return models.param_sweep(train, test, CATS, NUMS, "tip_amount", grid)
 
 
-@query("cross_validate")
-def _(t: Tables):
-    """Scores per fold of the model and of last month's amount, with their means."""
+def fold_models(t: Tables):
+    """(scores, importances) of the models of all folds, which are saved below the shared folder."""
     from tidemark.plans.retail import NUMERIC
+    from tidemark.session import shared_dir
 
     tx = t.clean()
     rows = U.baseline_join(U.concat_folds(tx, DATES), U.previous_amount(tx, DATES))
-    folds = U.time_series_folds(rows, {k: FOLDS[k] for k in ("fold1", "fold5")})
-    scores, _importance = models.cross_validate(
-        folds, ["country_mode"], NUMERIC, "target", "prev_month_amount", maxIter=3, maxDepth=3
+    return models.cross_validate(
+        U.time_series_folds(rows, FOLDS),
+        ["country_mode"],
+        NUMERIC,
+        "target",
+        "prev_month_amount",
+        save_to=shared_dir(t.spark, "folds"),
+        subsamplingRate=0.8,
+        featureSubsetStrategy="0.8",
+        maxIter=ROUNDS,
     )
-    return metrics.fold_summary(scores, ["rmse_prev", "rmse"])
+
+
+@query("cross_validate")
+def _(t: Tables):
+    """Scores per fold of the model and of last month's amount, with their means."""
+    return metrics.fold_summary(fold_models(t)[0], ["rmse_prev", "rmse"])
+
+
+@query("model_importance")
+def _(t: Tables):
+    """Importances of the folds' models, averaged: the highest 20."""
+    return metrics.importance_topn(fold_models(t)[1], 20)
 
 
 @query("batch_score")
@@ -315,9 +334,7 @@ def _(t: Tables):
 
     rows = U.training_set(t.clean(), DATES)
     train = rows.where(F.col("prediction_date") < DATES[-1])
-    model = models.train_regressor(
-        train, None, ["country_mode"], NUMERIC, "target", maxIter=3, maxDepth=3
-    )
+    model = models.train_regressor(train, None, ["country_mode"], NUMERIC, "target", maxIter=ROUNDS)
     path = shared_dir(t.spark, "model")
     models.save_model(model, path)
     features = U.customer_features(t.clean(), DATES[-1:])
@@ -326,105 +343,55 @@ def _(t: Tables):
 
 # ---- trials ----
 
-TEMPS = ", ".join(f"({v}.0::DOUBLE)" for v in R.AC_TEMPS)
-GRID = f"""
-grid AS (SELECT s.*, ac_temp FROM studies s CROSS JOIN (VALUES {TEMPS}) AS v(ac_temp))
-"""
-
-
-def cost_sql(source: str, name: str) -> str:
-    return f"""
-{name} AS (
-  SELECT *, round(greatest(30, 5 * gap * gap + (100 / (insulation_thickness + 0.1)
-      + 2 * insulation_thickness) + 0.5 * gap * pow(window_size, 1.5) + 10 * occupancy_density), 6)
-      AS cost,
-    round(100 - abs(ac_temp - 24) * 5 + window_size * 2, 6) AS comfort
-  FROM (SELECT *, greatest(0, 35 - ac_temp) AS gap FROM {source}))
-"""
-
-
-def grid(t: Tables):
-    return R.parameter_grid(t.studies(), {"ac_temp": R.AC_TEMPS})
-
-
-@query("parameter_grid", with_ctes(STUDIES, GRID, select="SELECT * FROM grid"))
-def _(t: Tables):
-    return grid(t)
-
-
-def draws_sql() -> str:
-    cols = ", ".join(
-        f"{lo}::DOUBLE + {hi - lo}::DOUBLE * ({draw_sql('study', 'trial', repr(n), '42')}) AS {n}"
-        for n, (lo, hi) in R.RANGES.items()
-    )
-    return f"""
-draws AS (
-  SELECT study, trial, {cols}
-  FROM (SELECT p_partkey AS study, unnest(range(1, 6))::INTEGER AS trial FROM part))
-"""
-
-
-def draws(t: Tables):
-    return R.random_settings(t.studies().select("study"), ["study"], 5)
+DISCOUNTS = [0.0, 0.02, 0.04, 0.06, 0.08, 0.1]
+QUANTITIES = [1, 10, 50]
 
 
 @query(
-    "parameter_draws",
-    with_ctes(
-        draws_sql().strip(),
-        select=f"SELECT study, trial, {', '.join(f'round({n}, 6) AS {n}' for n in R.RANGES)} FROM draws",
-    ),
+    "parameter_grid",
+    f"""
+SELECT p_partkey, p_retailprice, d AS discount, q AS quantity
+FROM part, (VALUES {", ".join(f"({v}::DOUBLE)" for v in DISCOUNTS)}) AS a(d),
+  (VALUES {", ".join(f"({v}::DOUBLE)" for v in QUANTITIES)}) AS b(q)""",
 )
 def _(t: Tables):
-    return draws(t).withColumns({n: F.round(n, 6) for n in R.RANGES})
-
-
-@query(
-    "sweep_cost",
-    with_ctes(STUDIES, GRID, cost_sql("grid", "costs"), select="SELECT * EXCLUDE (gap) FROM costs"),
-)
-def _(t: Tables):
-    return R.sweep_cost(grid(t))
+    """Every part at each discount and quantity."""
+    parts = t.raw("part").select("p_partkey", "p_retailprice")
+    return R.parameter_grid(parts, {"discount": DISCOUNTS, "quantity": QUANTITIES})
 
 
 @query(
     "best_trials",
-    with_ctes(
-        STUDIES,
-        GRID,
-        cost_sql("grid", "costs"),
-        select="""
-SELECT * EXCLUDE (gap, rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY study ORDER BY cost, ac_temp) AS rn FROM costs)
+    """
+SELECT l_partkey, l_orderkey, l_linenumber, l_extendedprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_partkey
+    ORDER BY l_extendedprice, l_orderkey, l_linenumber) AS rn FROM lineitem)
 WHERE rn = 1""",
-    ),
 )
 def _(t: Tables):
-    return R.best_trials(R.sweep_cost(grid(t)), "study", ["ac_temp"])
+    """The cheapest line of each part."""
+    lines = t.raw("lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_extendedprice")
+    return R.best_trials(lines, "l_partkey", ["l_orderkey", "l_linenumber"], "l_extendedprice")
 
 
 @query(
     "pareto_front",
-    with_ctes(
-        draws_sql().strip(),
-        cost_sql("draws", "costs"),
-        select="""
-SELECT study, trial, cost, comfort FROM (
-  SELECT *, max(comfort) OVER (ORDER BY cost RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS up_to
-  FROM costs) a
-WHERE comfort = up_to AND NOT EXISTS (
-  SELECT 1 FROM costs b WHERE b.cost < a.cost AND b.comfort = a.comfort)""",
-    ),
+    """
+SELECT l_orderkey, l_linenumber, l_extendedprice, l_quantity FROM (
+  SELECT *, max(l_quantity) OVER (ORDER BY l_extendedprice
+    RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS up_to FROM lineitem) a
+WHERE l_quantity = up_to AND NOT EXISTS (
+  SELECT 1 FROM lineitem b
+  WHERE b.l_extendedprice < a.l_extendedprice AND b.l_quantity = a.l_quantity)""",
 )
 def _(t: Tables):
-    costs = R.sweep_cost(draws(t)).select("study", "trial", "cost", "comfort")
-    return R.pareto_front(costs, "cost", "comfort")
+    """Lines that no other line beats in price and quantity together."""
+    lines = t.raw("lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+    return R.pareto_front(lines, "l_extendedprice", "l_quantity")
 
 
 @query("rf_importance")
 def _(t: Tables):
-    costs = R.sweep_cost(draws(t))
-    rows = costs.select(
-        *[F.col(n).alias(f"param.{n}") for n in R.RANGES], F.col("cost").alias("metric.cost")
-    )
-    return models.rf_importance(rows, trees=10)
+    """What the price of a line depends on."""
+    inputs = ["l_quantity", "l_discount", "l_tax", "l_partkey"]
+    return models.rf_importance(t.raw("lineitem"), inputs, "l_extendedprice")

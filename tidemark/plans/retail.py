@@ -225,6 +225,25 @@ def _(t: Tables):
     return C.split_label(rows, "prediction_date", SPLITS)
 
 
+@query(
+    "pandas_target_variant",
+    with_ctes(
+        CLEAN,
+        dates_sql(DATES),
+        select="""
+SELECT customer_id, prediction_date, sum(purchase_amount)::DOUBLE AS target
+FROM clean CROSS JOIN dates
+WHERE "timestamp" >= prediction_date::TIMESTAMP
+  AND "timestamp" <= (prediction_date + 29)::TIMESTAMP
+GROUP BY ALL""",
+    ),
+)
+def _(t: Tables):
+    """The target half of the timestamp window: up to midnight of its last day."""
+    lines = U.forward_lines(t.clean(), DATES, 30, window="timestamp")
+    return lines.groupBy(*U.KEYS).agg(F.sum("purchase_amount").cast("double").alias("target"))
+
+
 def midnight_sql(days: int) -> str:
     return f"""
 cut AS (
@@ -357,11 +376,11 @@ def _(t: Tables):
         FEATURES_CTE,
         select="""
 SELECT f.*, t.target FROM features f JOIN targets t USING (customer_id, prediction_date)
-WHERE t.target IS NOT NULL AND prediction_date <= DATE '1998-05-01'""",
+WHERE t.target IS NOT NULL""",
     ),
 )
 def _(t: Tables):
-    return U.concat_folds(t.clean(), FOLDS["fold1"]["train"])
+    return U.concat_folds(t.clean(), DATES)
 
 
 def valid_folds(t: Tables):
@@ -413,13 +432,9 @@ SELECT 'mean', round(avg(rmse_prev), 6), round(avg(rmse), 6) FROM scores""",
     ),
 )
 def _(t: Tables):
-    rows = valid_folds(t)
-    prev = metrics.rmse(rows, "target", "prev_month_amount", ["fold"])
-    third = metrics.rmse(rows, "target", "third", ["fold"])
-    scores = prev.select("fold", F.col("rmse").alias("rmse_prev")).join(
-        third.select("fold", "rmse"), "fold"
-    )
-    return metrics.fold_summary(scores, ["rmse_prev", "rmse"])
+    forecasts = {"rmse_prev": "prev_month_amount", "rmse": "third"}
+    scores = metrics.rmse_of(valid_folds(t), "target", forecasts, ["fold"])
+    return metrics.fold_summary(scores, list(forecasts))
 
 
 NUMERIC = [

@@ -31,7 +31,7 @@ def _(t: Tables):
     base = shared_dir(t.spark, "latest")
     sink, checkpoint = os.path.join(base, "view"), os.path.join(base, "checkpoint")
     SL.stream_latest(event_stream(t), "user_id", "ts", sink, checkpoint, once=True).awaitTermination()
-    return SL.read_latest_view(t.spark, sink, "user_id", "ts")
+    return SL.read_latest_view(t.spark, sink)
 
 
 @query("scheduled_sync", NEWEST)
@@ -41,10 +41,10 @@ def _(t: Tables):
     sink, checkpoint = os.path.join(base, "view"), os.path.join(base, "checkpoint")
     for _run in range(2):
         SL.sync_once(event_stream(t), "user_id", "ts", sink, checkpoint)
-    return SL.read_latest_view(t.spark, sink, "user_id", "ts")
+    return SL.read_latest_view(t.spark, sink)
 
 
-@query("stream_categorize", with_ctes(CATEGORIZED, select="SELECT DISTINCT * FROM categorized"))
+@query("stream_categorize", with_ctes(CATEGORIZED, select="SELECT * FROM categorized"))
 def _(t: Tables):
     """The chat rows, written out once, arrive as a stream."""
     base = shared_dir(t.spark, "chat")
@@ -57,7 +57,6 @@ def _(t: Tables):
         H.keyword_scorer(KEYWORDS),
         sink,
         os.path.join(base, "checkpoint"),
-        watermark="3650 days",
         once=True,
     ).awaitTermination()
-    return t.spark.read.parquet(sink).drop("batch_id")
+    return SC.read_categories(t.spark, sink)

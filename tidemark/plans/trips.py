@@ -189,14 +189,6 @@ def _(t: Tables):
     return N.pit_join(rows, zone_table(t), *keys)
 
 
-@query("pit_join_by_slot", with_ctes(ZONES, select=PIT))
-def _(t: Tables):
-    """The plan for feature tables that are too large to send around."""
-    rows = t.trips().select("event_id", "pickup_location_id", "pickup_datetime")
-    keys = ("pickup_location_id", "entity_id", "pickup_datetime", "feature_timestamp")
-    return N.pit_join(rows, zone_table(t), *keys, small=0)
-
-
 RANGES = [("2024-01-09", "2024-01-12"), ("2024-01-23", "2024-01-26")]
 
 
@@ -233,7 +225,7 @@ SHIFTED = "2024-02-05 00:00:00"
 
 
 def drifted(t: Tables):
-    return N.drift_simulate(zones(t), FACTORS, "feature_timestamp", SNAPSHOTS[-1], SHIFTED)
+    return N.drift_simulate(zone_table(t), FACTORS, "feature_timestamp", SNAPSHOTS[-1], SHIFTED)
 
 
 DRIFTED = f"""

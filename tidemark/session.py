@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,17 +33,14 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """New folder below the session's checkpoint folder, visible to all executors.
+    """New folder below ``spark.checkpoint.dir``, or below the warehouse where that is unset.
 
-    Only a local-mode session without that setting gets a temporary folder.
+    Both are folders that the driver and all executors reach, in any master.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.sparkContext.setCheckpointDir(base)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def freeze(df: DataFrame, name: str) -> DataFrame:
@@ -57,13 +52,3 @@ def freeze(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition a source that has fewer splits than the session has cores.
-
-    A small file is one split and would keep one core busy; a large source has
-    splits enough and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

@@ -2,18 +2,32 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match a glob, through the file system of the path, sorted."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(path)
-    return sorted(s.getPath().toString() for s in (found or []) if s.isFile())
+    """Paths that match a glob, through the file system of the path, sorted; no content is read."""
+    try:
+        listing = spark.read.format("binaryFile").load(pattern).select("path")
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    return sorted(r["path"] for r in listing.collect())
+
+
+def _csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> DataFrame:
+    """CSV whose header must name the schema's columns in their order, and whose values fit."""
+    return (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
+        .csv(path)
+    )
 
 
 def require_columns(df: DataFrame, names: list[str]) -> DataFrame:
@@ -35,7 +49,7 @@ def read_csv_typed(
 
     ``ts_cols`` maps a (new) column name to its pattern, ``None`` for the standard one.
     """
-    df = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    df = _csv(spark, path, schema)
     if names:
         df = df.toDF(*names)
     for name, pattern in (ts_cols or {}).items():
@@ -48,7 +62,7 @@ def read_csv_shards(spark: SparkSession, glob: str, schema: T.StructType | str)
     """All files of a glob as one table; an error when nothing matches."""
     if not list_files(spark, glob):
         raise FileNotFoundError(f"no files match {glob}")
-    return spark.read.schema(schema).option("header", True).csv(glob)
+    return _csv(spark, glob, schema)
 
 
 def read_first_shard(spark: SparkSession, glob: str, schema: T.StructType | str) -> DataFrame:
@@ -56,7 +70,7 @@ def read_first_shard(spark: SparkSession, glob: str, schema: T.StructType | str)
     files = list_files(spark, glob)
     if not files:
         raise FileNotFoundError(f"no files match {glob}")
-    return spark.read.schema(schema).option("header", True).csv(files[0])
+    return _csv(spark, files[0], schema)
 
 
 def read_jsonl(
@@ -66,11 +80,26 @@ def read_jsonl(
     drop_bad: bool = True,
     name_glob: str | None = None,
 ) -> DataFrame:
-    """JSON Lines; blank lines are skipped, broken lines dropped or reported."""
-    reader = spark.read.schema(schema).option("mode", "DROPMALFORMED" if drop_bad else "FAILFAST")
-    if name_glob:
-        reader = reader.option("pathGlobFilter", name_glob)
-    return reader.json(path)
+    """JSON Lines; blank lines are skipped, broken lines dropped or an error.
+
+    Every action sees the same rows: a line is judged before its columns are picked.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    bad = "_corrupt_line"
+    whole = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
+    reader = spark.read.option("pathGlobFilter", name_glob) if name_glob else spark.read
+    line = F.from_json(
+        "value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}
+    )
+    rows = reader.text(path).where(F.trim("value") != "").select(line.alias("line"), "value")
+    broken = F.col("line").isNull() | F.col(f"line.{bad}").isNotNull()
+    if drop_bad:
+        rows = rows.where(~broken)
+    else:
+        fault = F.raise_error(F.concat(F.lit("not a JSON line: "), "value")).cast("boolean")
+        rows = rows.where(F.when(broken, fault).otherwise(True))
+    return rows.select(*[F.col(f"line.`{f.name}`").alias(f.name) for f in schema.fields])
 
 
 def read_latest(
@@ -86,7 +115,7 @@ def read_latest(
     last = listing.agg(F.max("path")).first()[0]
     if last is None:
         raise FileNotFoundError(f"no {name} below {root}")
-    return spark.read.schema(schema).json(last)
+    return read_jsonl(spark, last, schema, drop_bad=False)
 
 
 def list_objects(spark: SparkSession, root: str, glob: str = "*.jpg") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
 from typing import Any
 
@@ -67,15 +69,10 @@ def append_rows(spark: SparkSession, name: str, rows: Sequence[Sequence[Any]]) -
     append(spark.createDataFrame([tuple(r) for r in rows], schema), name)
 
 
-def overwrite_days(df: DataFrame, path: str, ts: str) -> None:
-    """Replace the days present in ``df`` and keep the others: a rerun does not duplicate."""
-    (
-        df.withColumn("day", F.to_date(ts))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day")
-        .parquet(path)
-    )
+def overwrite_day(df: DataFrame, path: str, day: str, ts: str) -> None:
+    """Replace one day below ``path`` by the rows of ``df`` on it, also if there are none."""
+    rows = df.where(F.to_date(ts) == F.lit(day).cast("date"))
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/day={day}")
 
 
 def project_predictions(df: DataFrame, run_ts: str) -> DataFrame:
@@ -92,25 +89,37 @@ def project_predictions(df: DataFrame, run_ts: str) -> DataFrame:
     )
 
 
+def _age(spark: SparkSession, table: str, prefix: str) -> tuple:
+    """What orders prediction tables: time of creation, then the numbers in the name."""
+    told = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0])
+    numbers = re.findall(r"\d+", table.rpartition(".")[2].removeprefix(prefix))
+    return told.get("created_time", ""), tuple(map(int, numbers))
+
+
 def append_latest(
     spark: SparkSession, db: str, prefix: str, target: str, run_ts: str
 ) -> str | None:
     """Move the newest ``<prefix>...`` table into ``target``; returns its name, if any.
 
-    Newest means last by name, so names should end in the run time. The source is
-    dropped only after the write has succeeded.
+    Newest by time of creation, then by the numbers of its name (its run time). Two
+    tables that neither tells apart are an error. The source is dropped only after
+    the write has succeeded.
     """
-    names = sorted(
-        t.name
+    ages = {
+        t.name: _age(spark, f"{db}.{t.name}", prefix)
         for t in spark.catalog.listTables(db)
         if t.name.startswith(prefix) and t.name != target and not t.isTemporary
-    )
-    if not names:
+    }
+    if not ages:
         return None
-    rows = project_predictions(spark.table(f"{db}.{names[-1]}"), run_ts)
+    newest = [name for name, age in ages.items() if age == max(ages.values())]
+    if len(newest) > 1:
+        raise ValueError(f"cannot tell which is newest: {', '.join(sorted(newest))}")
+    (name,) = newest
+    rows = project_predictions(spark.table(f"{db}.{name}"), run_ts)
     if spark.catalog.tableExists(f"{db}.{target}"):
         append(rows, f"{db}.{target}")
     else:
         save_table(rows, f"{db}.{target}", replace=False)
-    spark.sql(f"DROP TABLE {db}.{names[-1]}")
-    return names[-1]
+    spark.sql(f"DROP TABLE {db}.{name}")
+    return name

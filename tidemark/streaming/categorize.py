@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
-import os
+import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.chat import RUN_ZONE, Scorer, categorize, daily_rows
-from tidemark.sources.sinks import overwrite_days
+from tidemark.operators.chat import RUN_ZONE, Scorer, categorize, daily_rows, run_day_of
+from tidemark.sources.sinks import overwrite_day
+from tidemark.streaming import slots
 
 
 def daily_increment(
     chat: DataFrame, run_ts: str, scorer: Scorer, target: str, tz: str = RUN_ZONE
 ) -> None:
-    """Categorise the day before the run into ``target``; a rerun replaces that day."""
-    overwrite_days(categorize(daily_rows(chat, run_ts, tz), scorer), target, "timestamp")
+    """Categorise the day before the run into ``target``; a rerun replaces that day, also
+    by nothing."""
+    rows = categorize(daily_rows(chat, run_ts, tz), scorer)
+    overwrite_day(rows, target, run_day_of(run_ts, tz), "timestamp")
+
+
+BATCH = "batch_id"
 
 
 def stream_categorize(
@@ -24,29 +30,48 @@ def stream_categorize(
     scorer: Scorer,
     sink: str,
     checkpoint: str,
-    watermark: str = "1 day",
+    watermark: dt.timedelta = dt.timedelta(days=1),
     once: bool = False,
 ) -> StreamingQuery:
-    """Categorise new rows once per (timestamp, userEmail).
+    """Categorise each new row once; folders ``rows``, ``late`` and ``seen`` below ``sink``.
 
-    Repeats that come within the watermark are dropped; rows later than that may
-    be dropped too.
+    A row is a repeat only if all its columns are equal to another's. A batch is
+    compared with the rows of the last ``watermark`` before the newest time of the
+    batches before it, which is all that is kept of them; older rows go to ``late``,
+    as they came. Nothing is lost. A repeated batch replaces its own folders.
     """
+    schema = chat.schema
+    time = schema["timestamp"].dataType
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        folder = os.path.join(sink, f"batch_id={batch_id}")
-        categorize(batch, scorer).write.mode("overwrite").parquet(folder)
-
-    # A watermark needs an instant; the wall time itself is kept as it is.
-    fresh = (
-        chat.withColumn("_event_time", F.col("timestamp").cast("timestamp"))
-        .withWatermark("_event_time", watermark)
-        .dropDuplicatesWithinWatermark(["timestamp", "userEmail"])
-        .drop("_event_time")
-    )
-    writer = (
-        fresh.writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
-    )
+        spark = batch.sparkSession
+        seen = slots.before(spark, f"{sink}/seen", schema, batch_id)
+        newest = seen.agg(F.max("timestamp")).first()[0]
+        horizon = None if newest is None else F.lit(newest - watermark).cast(time)
+        is_late = F.lit(False)
+        if horizon is not None:
+            is_late = F.coalesce(F.col("timestamp") < horizon, F.lit(False))
+        batch.where(is_late).write.mode("overwrite").parquet(f"{sink}/late/{BATCH}={batch_id}")
+        # Set difference compares whole rows, and NULL with NULL.
+        fresh = batch.where(~is_late).dropDuplicates().subtract(seen).persist()
+        done = categorize(fresh, scorer)
+        done.write.mode("overwrite").parquet(f"{sink}/rows/{BATCH}={batch_id}")
+        kept = seen.unionByName(fresh)
+        last = kept.agg(F.max("timestamp")).first()[0]
+        if last is not None:
+            kept = kept.where(F.col("timestamp") >= F.lit(last - watermark).cast(time))
+        slots.replace(kept, f"{sink}/seen", batch_id)
+        fresh.unpersist()
+
+    writer = chat.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def read_categories(spark: SparkSession, sink: str) -> DataFrame:
+    """The categorised rows of all batches."""
+    return spark.read.parquet(f"{sink}/rows").drop(BATCH)
+
+
+def read_late(spark: SparkSession, sink: str) -> DataFrame:
+    """The rows that came after their watermark."""
+    return spark.read.parquet(f"{sink}/late").drop(BATCH)

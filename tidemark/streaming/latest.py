@@ -2,23 +2,12 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.snapshots import latest_per_entity
-
-
-def _newest(df: DataFrame, key: str, ts: str) -> DataFrame:
-    whole = F.struct(*df.columns)
-    return (
-        df.where(F.col(ts).isNotNull())
-        .groupBy(key)
-        .agg(F.max_by(whole, F.struct(F.col(ts), whole)).alias("_best"))
-        .select("_best.*")
-    )
+from tidemark.streaming import slots
 
 
 def stream_latest(
@@ -30,35 +19,27 @@ def stream_latest(
     once: bool = False,
     interval: str = "1 minute",
 ) -> StreamingQuery:
-    """Write each entity whose newest row changed to ``sink``, batch by batch.
+    """Merge each batch into the view of the newest row per entity below ``sink``.
 
-    State holds one row per entity; an older version that comes late changes
-    nothing. A batch replaces its own folder, so a repeated batch leaves no
-    duplicates. ``once`` handles what is there and stops.
+    The sink holds two versions at most, readers always find a whole one, and a
+    repeated batch changes nothing. An older version that comes late never wins.
+    ``once`` handles what is there and stops.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        view = slots.before(batch.sparkSession, sink, batch.schema, batch_id)
+        rows = view.unionByName(batch.where(F.col(ts).isNotNull()))
+        slots.replace(latest_per_entity(rows, key, ts), sink, batch_id)
 
-    writer = (
-        _newest(stream, key, ts)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
-    )
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
     if once:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=interval).start()
 
 
-def read_latest_view(spark: SparkSession, sink: str, key: str, ts: str) -> DataFrame:
-    """The key-value view: newest change per entity over all batches."""
-    return latest_per_entity(spark.read.parquet(sink).drop("batch_id"), key, ts)
-
-
-def compact(spark: SparkSession, sink: str, key: str, ts: str, out: str) -> None:
-    """Write the current view to a new folder, from which reading is cheaper."""
-    read_latest_view(spark, sink, key, ts).write.mode("errorifexists").parquet(out)
+def read_latest_view(spark: SparkSession, sink: str) -> DataFrame:
+    """The key-value view: the newest row per entity."""
+    return slots.current(spark, sink)
 
 
 def sync_once(stream: DataFrame, key: str, ts: str, sink: str, checkpoint: str) -> None:

@@ -1,0 +1,46 @@
+"""A table in two slots, one of which is in use, for batches that may be repeated."""
+
+from __future__ import annotations
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+
+def note(spark: SparkSession, folder: str) -> tuple[int, int] | None:
+    """(slot in use, batch that wrote it), None before the first batch."""
+    try:
+        row = spark.read.schema("slot int, batch long").parquet(f"{folder}/current").first()
+    except AnalysisException:
+        return None
+    return row["slot"], row["batch"]
+
+
+def before(spark: SparkSession, folder: str, schema: T.StructType, batch: int) -> DataFrame:
+    """The table as it was before ``batch``, also when that batch is repeated."""
+    found = note(spark, folder)
+    if found is None:
+        return spark.createDataFrame([], schema)
+    slot = found[0] if found[1] < batch else 1 - found[0]
+    try:
+        return spark.read.schema(schema).parquet(f"{folder}/slot{slot}")
+    except AnalysisException:  # the very first batch, repeated
+        return spark.createDataFrame([], schema)
+
+
+def replace(df: DataFrame, folder: str, batch: int) -> None:
+    """Write the table after ``batch`` to the slot not in use, then the note of it."""
+    spark = df.sparkSession
+    found = note(spark, folder)
+    slot = 0 if found is None else 1 - found[0] if found[1] < batch else found[0]
+    df.write.mode("overwrite").parquet(f"{folder}/slot{slot}")
+    told = spark.createDataFrame([(slot, batch)], "slot int, batch long").coalesce(1)
+    told.write.mode("overwrite").parquet(f"{folder}/current")
+
+
+def current(spark: SparkSession, folder: str) -> DataFrame:
+    """The table as the last batch left it."""
+    found = note(spark, folder)
+    if found is None:
+        raise FileNotFoundError(f"no table below {folder} yet")
+    return spark.read.parquet(f"{folder}/slot{found[0]}")
