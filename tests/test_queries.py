@@ -37,3 +37,31 @@ def test_keywords_are_not_part_of_the_template():
 def test_sample_and_preview_sizes(spark):
     assert QUERIES["preview"](spark, SF_DIR).count() == 20
     assert 20 < QUERIES["sample_rows"](spark, SF_DIR).count() < 200
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["attach_target", "fold_summary", "time_series_folds", "forward_join", "concat_folds", "split_label"],
+)
+def test_lines_are_read_twice_at_most(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    assert 1 <= plan.count("l_orderkey#") and plan.count("Relation [l_orderkey") <= 2
+
+
+@pytest.mark.parametrize(
+    "name, column",
+    [
+        ("lookback_join", "o_orderdate"),
+        ("attach_target", "o_orderdate"),
+        ("make_anchors", "o_orderdate"),
+        ("zone_stats", "ts"),
+    ],
+)
+def test_time_bounds_reach_the_scan(spark, name, column):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    pushed = [p for p in plan.split("PushedFilters: ")[1:]]
+    assert any(f"LessThan({column}," in p.split("]")[0] for p in pushed)

@@ -33,33 +33,31 @@ def month_starts(df: DataFrame, date_col: str) -> DataFrame:
 
 def make_anchors(tx: DataFrame, dates: Sequence[str]) -> DataFrame:
     """Customer and prediction date pairs with a purchase before that date."""
-    first = tx.where(F.col("date") < _day(max(dates))).groupBy("customer_id").agg(F.min("date").alias("_first"))
+    earlier = F.col("timestamp") < F.lit(max(dates)).cast("timestamp_ntz")
+    first = tx.where(earlier).groupBy("customer_id").agg(F.min("date").alias("_first"))
     later = F.filter(S.dates_array(dates), lambda p: p > F.col("_first"))
     return first.select("customer_id", F.explode(later).alias("prediction_date"))
 
 
-def _day(date: str, shift: int = 0) -> Column:
-    """A literal day, so that a bound by it reaches the scan."""
-    return F.lit(dt.date.fromisoformat(date) + dt.timedelta(days=shift))
+def _between(df: DataFrame, dates: Sequence[str], low: int, high: int) -> DataFrame:
+    """The rows that any window [p + low days, p + high days) of the dates can hold.
 
+    Plain literals, on the stored time where ``df`` has it, so that the bound reaches the scan.
+    """
 
-def _lookback_bound(dates: Sequence[str], days: int) -> Column:
-    return (F.col("date") >= _day(min(dates), -days)) & (F.col("date") < _day(max(dates)))
-
+    def midnight(date: str, shift: int) -> Column:
+        day = dt.date.fromisoformat(date) + dt.timedelta(days=shift)
+        return F.lit(dt.datetime.combine(day, dt.time())).cast("timestamp_ntz")
 
-def _forward_bound(dates: Sequence[str], days: int) -> Column:
-    return (F.col("date") >= _day(min(dates))) & (F.col("date") < _day(max(dates), days))
+    at = F.col("timestamp" if "timestamp" in df.columns else "date").cast("timestamp_ntz")
+    return df.where((at >= midnight(min(dates), low)) & (at < midnight(max(dates), high)))
 
 
-def _lookback_dates(dates: Sequence[str], days: int, date: Column) -> Column:
+def _window_dates(dates: Sequence[str], low: int, high: int, date: Column) -> Column:
+    """The dates p with ``date`` on the days [p + low, p + high)."""
     return F.filter(
-        S.dates_array(dates), lambda p: (date < p) & (date >= F.date_sub(p, days))
-    )
-
-
-def _forward_dates(dates: Sequence[str], days: int, date: Column) -> Column:
-    return F.filter(
-        S.dates_array(dates), lambda p: (date >= p) & (date < F.date_add(p, days))
+        S.dates_array(dates),
+        lambda p: (date >= F.date_add(p, low)) & (date < F.date_add(p, high)),
     )
 
 
@@ -83,8 +81,8 @@ def lookback_lines(
     if window == "timestamp":
         hit = _midnight_dates(dates, -days, -1, F.col("timestamp"))
     else:
-        hit = _lookback_dates(dates, days, F.col("date"))
-    return tx.where(_lookback_bound(dates, days)).withColumn("prediction_date", F.explode(hit))
+        hit = _window_dates(dates, -days, 0, F.col("date"))
+    return _between(tx, dates, -days, 0).withColumn("prediction_date", F.explode(hit))
 
 
 def forward_lines(
@@ -97,8 +95,8 @@ def forward_lines(
     if window == "timestamp":
         hit = _midnight_dates(dates, 0, days - 1, F.col("timestamp"))
     else:
-        hit = _forward_dates(dates, days, F.col("date"))
-    return tx.where(_forward_bound(dates, days)).withColumn("prediction_date", F.explode(hit))
+        hit = _window_dates(dates, 0, days, F.col("date"))
+    return _between(tx, dates, 0, days).withColumn("prediction_date", F.explode(hit))
 
 
 def _range_join(
@@ -216,25 +214,19 @@ KINDS = ["country", "invoice", "stock_code", "timestamp", "date"]
 
 
 def _per_value(
-    tx: DataFrame, dates: Sequence[str], days: int, window: str, target_days: int | None
+    tx: DataFrame, dates: Sequence[str], days: int, window: str, sums: dict[str, tuple[int, int]]
 ) -> DataFrame:
     """(keys, kind, value, n, amount, first, last): one reading of the lines.
 
     A line counts under its country, invoice, stock code, time and date for each
-    prediction date whose look-back window holds it, and with ``target_days`` under
-    the kind ``target`` for each date whose target window holds it.
+    prediction date whose look-back window holds it, and under the name of each of
+    ``sums`` for the dates whose window [p + low, p + high) of days holds it.
     """
-    back, ahead = _lookback_dates(dates, days, F.col("date")), None
-    bound = _lookback_bound(dates, days)
-    if window == "timestamp":
-        back = _midnight_dates(dates, -days, -1, F.col("timestamp"))
-    if target_days:
-        ahead = _forward_dates(dates, target_days, F.col("date"))
-        bound = (F.col("date") >= _day(min(dates), -days)) & (
-            F.col("date") < _day(max(dates), target_days)
-        )
+
+    def dates_of(low: int, high: int) -> Column:
         if window == "timestamp":
-            ahead = _midnight_dates(dates, 0, target_days - 1, F.col("timestamp"))
+            return _midnight_dates(dates, low, high - 1, F.col("timestamp"))
+        return _window_dates(dates, low, high, F.col("date"))
 
     def marks(hit: Column, kinds: dict[str, Column]) -> Column:
         each = F.array(
@@ -255,12 +247,18 @@ def _per_value(
             )
         )
 
-    all_marks = marks(back, {k: F.col(k) for k in KINDS})
-    if ahead is not None:
-        all_marks = F.concat(all_marks, marks(ahead, {"target": F.lit(None)}))
+    all_marks = [marks(dates_of(-days, 0), {k: F.col(k) for k in KINDS})]
+    all_marks += [marks(dates_of(*w), {name: F.lit(None)}) for name, w in sums.items()]
+    low = min(-days, *(w[0] for w in sums.values()), 0)
+    high = max(0, 0, *(w[1] for w in sums.values()))
     return (
-        tx.where(bound)
-        .select("customer_id", F.col("date").alias("_day"), "purchase_amount", F.inline(all_marks))
+        _between(tx, dates, low, high)
+        .select(
+            "customer_id",
+            F.col("date").alias("_day"),
+            "purchase_amount",
+            F.inline(F.concat(*all_marks)),
+        )
         .groupBy(*KEYS, "kind", "value")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -276,17 +274,18 @@ def customer_features(
     dates: Sequence[str],
     days: int = 90,
     window: str = "date",
-    target_days: int | None = None,
+    sums: dict[str, tuple[int, int]] | None = None,
 ) -> DataFrame:
-    """All feature columns, and with ``target_days`` the target, in one reading of the lines.
+    """All feature columns, and the amounts of further windows, in one reading of the lines.
 
     One aggregate per counted value feeds all distinct counts, the mode, the elapsed
-    days, the per-date statistics and the target. The per-invoice statistics take a
-    second, smaller aggregate, because an invoice counts as a whole from its first
-    day on; with ``window="timestamp"`` the lines are cut first instead. ``target``
-    is NULL without a purchase.
+    days, the per-date statistics and the amounts of ``sums``, which are NULL without
+    a purchase. The per-invoice statistics take a second, smaller aggregate, because
+    an invoice counts as a whole from its first day on; with ``window="timestamp"``
+    the lines are cut first instead.
     """
-    per_value = _per_value(tx, dates, days, window, target_days)
+    sums = sums or {}
+    per_value = _per_value(tx, dates, days, window, sums)
 
     def of(kind: str, c: Column) -> Column:
         return F.when((F.col("kind") == kind) & F.col("value").isNotNull(), c)
@@ -302,7 +301,7 @@ def customer_features(
             S.mean_of(F.sum(amount), F.count(amount)).alias(f"{prefix}_mean"),
         ]
 
-    back = F.col("kind") != "target"
+    back = F.col("kind").isin(KINDS)
     cut_lines_first = window == "timestamp"
     main = per_value.groupBy(*KEYS).agg(
         F.max_by("value", of("country", F.struct("n", "last", "value"))).alias("country_mode"),
@@ -321,18 +320,21 @@ def customer_features(
         F.sum(of("date", F.col("amount"))).cast("double").alias("purchase_amount_sum"),
         *stats("date"),
         *(stats("invoice") if cut_lines_first else []),
-        F.sum(F.when(~back, F.col("amount"))).cast("double").alias("target"),
+        *[
+            F.sum(F.when(F.col("kind") == name, F.col("amount"))).cast("double").alias(name)
+            for name in sums
+        ],
         F.count_if(back).alias("_back"),
     )
-    # A customer with lines in the target window alone has no features.
-    main = main.where("_back > 0").drop("_back", *(["target"] if not target_days else []))
+    # A customer with lines in other windows alone has no features.
+    main = main.where("_back > 0").drop("_back")
     if cut_lines_first:
         return main
     invoices = second_level_stats(
         invoice_summary(tx), "invoice_amount", "purchase_amount_by_invoice", dates, days
     )
     out = assemble(main, invoices)
-    return out.select(*[c for c in out.columns if c != "target"], *(["target"] if target_days else []))
+    return out.select(*[c for c in out.columns if c not in sums], *sums)
 
 
 def target_sum(anchors: DataFrame, tx: DataFrame, dates: Sequence[str], days: int = 30) -> DataFrame:
@@ -399,13 +401,22 @@ def concat_folds(
     tx: DataFrame, dates: Sequence[str], feature_days: int = 90, target_days: int = 30
 ) -> DataFrame:
     """Stacked data sets of several dates from one plan; customers without a target are left out."""
-    rows = customer_features(tx, dates, feature_days, target_days=target_days)
+    rows = customer_features(tx, dates, feature_days, sums={"target": (0, target_days)})
     return rows.where(F.col("target").isNotNull())
 
 
 def training_set(
-    tx: DataFrame, dates: Sequence[str], feature_days: int = 90, target_days: int = 30
+    tx: DataFrame,
+    dates: Sequence[str],
+    feature_days: int = 90,
+    target_days: int = 30,
+    baseline_days: int | None = None,
 ) -> DataFrame:
-    """Features with the forward target, 0 where the customer buys nothing."""
-    rows = customer_features(tx, dates, feature_days, target_days=target_days)
-    return rows.fillna(0.0, ["target"])
+    """Features with the forward target, 0 where the customer buys nothing.
+
+    ``baseline_days`` adds ``prev_month_amount``, the naive forecast of ``baseline_join``.
+    """
+    sums = {"target": (0, target_days)}
+    if baseline_days:
+        sums["prev_month_amount"] = (-baseline_days, 0)
+    return customer_features(tx, dates, feature_days, sums=sums).fillna(0.0, list(sums))

@@ -146,8 +146,9 @@ def param_sweep(
     nums: list[str],
     label: str,
     grid: Sequence[dict[str, Any]],
+    together: int = 4,
 ) -> DataFrame:
-    """One fit per setting; (trial, settings, rmse on ``test``), best first.
+    """One fit per setting, ``together`` at a time; (trial, settings, rmse on ``test``), best first.
 
     Only the scores, one number per trial, come back to the driver.
     """
@@ -155,10 +156,15 @@ def param_sweep(
     encoders = one_hot(cats, nums).fit(train)
     # The encoded rows are read once per boosting round of every trial.
     fit_rows, test_rows = encoders.transform(train).persist(), encoders.transform(test).persist()
-    scores = []
-    for trial, params in enumerate(grid, start=1):
-        model = GBTRegressor(featuresCol="features", labelCol=label, seed=42, **params).fit(fit_rows)
-        scores.append((trial, str(params), float(evaluator.evaluate(model.transform(test_rows)))))
+
+    def score(trial: int) -> tuple[int, str, float]:
+        params = grid[trial - 1]
+        trees = GBTRegressor(featuresCol="features", labelCol=label, seed=42, **params)
+        rmse = float(evaluator.evaluate(trees.fit(fit_rows).transform(test_rows)))
+        return trial, str(params), rmse
+
+    with ThreadPoolExecutor(together) as pool:
+        scores = list(pool.map(score, range(1, len(grid) + 1)))
     fit_rows.unpersist()
     test_rows.unpersist()
     spark = train.sparkSession

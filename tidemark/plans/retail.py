@@ -385,12 +385,10 @@ def _(t: Tables):
 
 def valid_folds(t: Tables):
     """Validation rows of every fold with two naive forecasts."""
-    tx = t.clean()
-    rows = U.training_set(tx, DATES).select(*U.KEYS, "purchase_amount_sum", "target")
+    kept = [*U.KEYS, "purchase_amount_sum", "target", "prev_month_amount"]
+    rows = U.training_set(t.clean(), DATES, baseline_days=30).select(*kept)
     folds = U.time_series_folds(rows, FOLDS).where("role = 'valid'")
-    return U.baseline_join(folds, U.previous_amount(tx, DATES)).withColumn(
-        "third", F.col("purchase_amount_sum") / 3
-    )
+    return folds.withColumn("third", F.col("purchase_amount_sum") / 3)
 
 
 VALID_SQL = """
