@@ -1,17 +1,20 @@
 """Token ids in files, compressed by an adaptive context-mixing range coder.
 
-An id's 16 bits are coded as four nibbles. Three models predict each nibble from what
-the block has shown so far: order 0 by the nibbles before it, orders 1 and 2 also by
-the one and the two ids before it. A model's prediction is a row of 16 counts; the
-rows are mixed, longer contexts weighing more, and a range coder codes the nibble with
-the mixture. Every block starts from empty models and has a checksum, so that each can
-be decoded alone.
-
-Many blocks of a file are coded in step, as lanes of numpy arrays: a step does one
-nibble of each lane.
+Two models predict the next id of a block: what came last after the same id (order 1)
+and after the same two ids (order 2). An id that neither predicts is coded by its rank
+among all ids, which rises each time it comes (order 0). So an id is one of 19 symbols,
+"as order 2 says", "as order 1 says" or the size class of its rank, and the rank's lower
+bits. The symbol's probabilities are mixed from three adaptive rows of counts, chosen
+by how often order 2 has been right here, how often order 1 has, and by the symbol
+before; a range coder codes it. Every block starts from empty models and has a checksum,
+so that each can be decoded alone.
+
+Many blocks of a file are coded in step, as lanes of numpy arrays: a step does one id
+of each lane.
 
 ``write_ids`` sorts documents by id over range partitions and writes files of bounded
 size to one shared folder, each with its table of documents; ``read_ids`` decodes them.
+Ids must be below 65535.
 
 Defined results: a null or empty text is its end id alone; rows without an id come
 first; rows that repeat an id are ordered by their text; no documents give no file;
@@ -35,99 +38,108 @@ from tidemark.llm.tokens import crc32, encoder
 from tidemark.llm.warc import file_system
 
 END_ID = 2
-BLOCK = 8192
+#: Ids in one block; a small file has smaller blocks, so that there are lanes to step.
+BLOCK, LEAST_BLOCK, LANES = 8192, 512, 128
 #: Ids in one file, which also bounds the lanes that are coded in step.
 FILE_TOKENS = 6_000_000
 MAGIC = b"TMIDS1\0\0"
 #: Words that an encoder remembers beside the coder's models.
 REMEMBERED = 400_000
-# Rows of 16 counts: of order 0 (1 + 16 + 256 + 4096 places), and hashed ones.
-ROWS_0, ROW_BITS = 4369, 13
-STEP_0, STEP_1, STEP_2 = 3, 6, 10
-FULL = 255 - max(STEP_0, STEP_1, STEP_2)
+# Symbols: two predictions and 17 size classes of ranks, in rows of 24.
+SYMBOLS, ROW = 19, 24
+STEP, FULL = 24, 8000
+#: Entries of the tables of predictions, as a power of two, and the highest confidence.
+SLOT_BITS, SURE = 13, 7
+NOTHING = 0xFFFF
 LOW, HIGH = np.uint64(1 << 32), np.uint64(48)
-_FIRST = (0, 1, 17, 273)
-#: Running sums of a row's counts, by the weight of its order, and one for each value.
-_UPTO = np.triu(np.ones((16, 16), np.float32))
-_SUMS = [_UPTO * np.float32(w) for w in (1, 3, 6)]
-_ONES = np.arange(1, 17, dtype=np.float32)
+_UPTO = np.triu(np.ones((ROW, ROW), np.float32))
+#: Rows of counts per lane: by the confidence in order 2, in order 1 (twice: whether it
+#: says the same as order 2), and by the symbol before.
+ROWS = (SURE + 1) + 2 * (SURE + 1) + SYMBOLS
 
 
 class Lanes:
-    """Models of many blocks, and the mixing of their predictions."""
+    """Models of many blocks."""
 
-    def __init__(self, n: int) -> None:
+    def __init__(self, n: int, ranks: bool) -> None:
         self.n = n
-        self.rows = [
-            np.zeros(n * ROWS_0, np.complex128),  # 16 bytes each
-            np.zeros(n << ROW_BITS, np.complex128),
-        ]
-        self.counts = [r.view(np.uint8) for r in self.rows]
-        self.at_0 = np.arange(n, dtype=np.int64) * ROWS_0
-        self.at_12 = np.arange(n, dtype=np.int64) << ROW_BITS
+        self.said = [np.full(n << SLOT_BITS, NOTHING, np.uint32) for _ in range(2)]
+        self.rows = np.zeros((n * ROWS, ROW), np.uint16)
+        self.rows[:, :SYMBOLS] = 1
+        self.id_at = np.tile(np.arange(1 << 16, dtype=np.uint16), n)
+        #: Only coding needs the way back from an id to its rank.
+        self.rank_of = self.id_at.copy() if ranks else None
+        lane = np.arange(n)
+        self.slot_at, self.row_at, self.rank_at = lane << SLOT_BITS, lane * ROWS, lane << 16
+        self.cell_at = lane * ROW
         self.last = np.zeros((2, n), np.uint32)
-        self.line = np.arange(n) * 16
-        self.found = [np.zeros(n, np.int64) for _ in range(3)]
-        self.got = np.zeros((3, n), np.complex128)
+        self.symbol = np.full(n, SYMBOLS - 1)
 
-    def begin(self, n: int) -> None:
-        """A new id in the first n lanes."""
+    def begin(self, n: int) -> np.ndarray:
+        """Predictions for the next id in the first n lanes; the mixed running sums."""
         self.n = n
         one = (self.last[0, :n] + np.uint32(1)) * np.uint32(0x9E3779B1)
-        two = one ^ ((self.last[1, :n] + np.uint32(1)) * np.uint32(0x85EBCA77)) ^ np.uint32(0xC2B2AE3D)
-        self.context = one, two
-        self.path = np.zeros(n, np.uint32)
+        two = (one ^ ((self.last[1, :n] + np.uint32(1)) * np.uint32(0x85EBCA77))) * np.uint32(0x2C1B3C6D)
+        shift = np.uint32(32 - SLOT_BITS)
+        self.slots = [self.slot_at[:n] + (one >> shift), self.slot_at[:n] + (two >> shift)]
+        self.found = [said.take(slot, mode="clip") for said, slot in zip(self.said, self.slots)]
+        self.guess = [f & np.uint32(NOTHING) for f in self.found]
+        first, second = (f >> np.uint32(16) for f in self.found)
+        same = self.guess[0] == self.guess[1]
+        base = self.row_at[:n]
+        self.used = [
+            base + second,
+            base + ((SURE + 1) + 2 * first.astype(np.int64) + same),
+            base + (3 * (SURE + 1) + self.symbol[:n]),
+        ]
+        mixed = self.rows.take(self.used[0], axis=0, mode="clip")
+        mixed += self.rows.take(self.used[1], axis=0, mode="clip")
+        mixed += self.rows.take(self.used[2], axis=0, mode="clip")
+        return mixed.astype(np.float32) @ _UPTO  # whole numbers below 2**24: exact
 
-    def mixed(self, k: int) -> np.ndarray:
-        """Running sums of the mixed weights of the 16 values of nibble k."""
-        n = self.n
-        place = self.path + np.uint32(_FIRST[k])
-        salt = place * np.uint32(0x27D4EB2F)
-        self.found[0][:n] = self.at_0[:n] + place
-        for order in (1, 2):
-            hashed = (self.context[order - 1] ^ salt) * np.uint32(0x2C1B3C6D)
-            hashed >>= np.uint32(32 - ROW_BITS)
-            np.add(self.at_12[:n], hashed, out=self.found[order][:n])
-        for order in range(3):
-            # "clip" spares a check: all places are inside.
-            self.rows[min(order, 1)].take(
-                self.found[order][:n], out=self.got[order, :n], mode="clip"
-            )
-        counts = self.got.view(np.uint8).reshape(3, -1, 16)[:, :n]
-        sums = counts[0].astype(np.float32) @ _SUMS[0]
-        sums += counts[1].astype(np.float32) @ _SUMS[1]
-        sums += counts[2].astype(np.float32) @ _SUMS[2]
-        sums += _ONES
-        return sums  # whole numbers below 2**24: exact
-
-    def learn(self, nibble: np.ndarray) -> None:
-        """Counts the nibble that came in all three models."""
+    def learn(self, symbol: np.ndarray, ids: np.ndarray) -> None:
         n = self.n
-        cell = self.line[:n] + nibble
-        for order, step in enumerate((STEP_0, STEP_1, STEP_2)):
-            counts = self.counts[min(order, 1)]
-            new = self.got[order].view(np.uint8)[cell]
-            new += np.uint8(step)
-            row = self.found[order][:n]
-            counts[(row << 4) + nibble] = new
+        flat = self.rows.ravel()
+        for row in self.used:
+            cell = row * ROW + symbol
+            new = flat[cell] + np.uint16(STEP)
+            flat[cell] = new
             if int(new.max()) > FULL:
-                lines = counts.reshape(-1, 16)
-                lines[row[new > FULL]] >>= 1
-        self.path = self.path << np.uint32(4) | nibble.astype(np.uint32)
-
-    def end(self) -> None:
-        self.last[1, : self.n] = self.last[0, : self.n]
-        self.last[0, : self.n] = self.path
-
-
-def part_of(sums: np.ndarray, cell: np.ndarray, nibble: np.ndarray):
-    """(sum below the nibble, its own weight), both as 64-bit integers."""
+                full = row[new > FULL]
+                # Every symbol stays possible.
+                self.rows[full, :SYMBOLS] = (self.rows[full, :SYMBOLS] >> 1) | 1
+        for said, slot, found, guess in zip(self.said, self.slots, self.found, self.guess):
+            more = np.minimum(found + np.uint32(1 << 16), np.uint32(SURE << 16 | NOTHING))
+            said[slot] = np.where(guess == ids, more & np.uint32(0xFFFF0000) | ids, ids)
+        self.symbol[:n] = symbol
+        self.last[1, :n] = self.last[0, :n]
+        self.last[0, :n] = ids
+
+    def promote(self, lanes: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """The ids of the ranks; each changes places with the one at half its rank."""
+        here = self.rank_at[lanes] + rank
+        there = self.rank_at[lanes] + (rank >> 1)
+        ids, other = self.id_at[here], self.id_at[there]
+        self.id_at[here], self.id_at[there] = other, ids
+        if self.rank_of is not None:
+            self.rank_of[self.rank_at[lanes] + other] = rank
+            self.rank_of[self.rank_at[lanes] + ids] = rank >> 1
+        return ids
+
+
+def part_of(sums: np.ndarray, cell: np.ndarray, symbol: np.ndarray):
+    """(sum below the symbol, its own weight), both as 64-bit integers."""
     flat = sums.ravel()
     upto = flat[cell]
-    below = np.where(nibble > 0, flat[np.maximum(cell - 1, 0)], np.float32(0))
+    below = np.where(symbol > 0, flat[np.maximum(cell - 1, 0)], np.float32(0))
     return below.astype(np.uint64), (upto - below).astype(np.uint64)
 
 
+def size_class(rank: np.ndarray) -> np.ndarray:
+    """Number of bits of a rank."""
+    return np.frexp(rank.astype(np.float64))[1].astype(np.int64)
+
+
 def blocks_of(ids: np.ndarray, block: int) -> list[np.ndarray]:
     """Blocks of one length; only the last can be shorter."""
     return [ids[a : a + block] for a in range(0, len(ids), block)]
@@ -136,48 +148,57 @@ def blocks_of(ids: np.ndarray, block: int) -> list[np.ndarray]:
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """The code of each block. Blocks must not rise in length."""
     n, size = len(blocks), len(blocks[0])
-    lanes = Lanes(n)
+    if max(int(b.max()) for b in blocks) >= NOTHING:
+        raise ValueError(f"ids must be below {NOTHING}")
+    lanes = Lanes(n, ranks=True)
     ids = np.zeros((size, n), np.uint32)
     for k, b in enumerate(blocks):
         ids[: len(b), k] = b
     active = np.array([len(b) for b in blocks])
-    out = np.zeros((n, 2 * size + 8), np.uint16)
+    out = np.zeros((n, 3 * size + 8), np.uint16)
     used = np.zeros(n, np.int64)
     low, width = np.zeros(n, np.uint64), np.full(n, (1 << 48) - 1, np.uint64)
 
-    def put(rows: np.ndarray) -> None:
-        """Moves the top 16 of 48 bits out; a carry goes into the words before."""
-        out[rows, used[rows]] = (low[rows] >> np.uint64(32)).astype(np.uint16)
-        used[rows] += 1
-        low[rows] = (low[rows] & np.uint64(0xFFFFFFFF)) << np.uint64(16)
-
-    def carry(rows: np.ndarray) -> None:
+    def settle(m: int) -> None:
+        """Carries into the words before, and moves out the top 16 of 48 bits of narrow lanes."""
+        rows = np.flatnonzero(low[:m] >> HIGH)
         low[rows] &= np.uint64((1 << 48) - 1)
         back = 1
         while len(rows):
             out[rows, used[rows] - back] += 1
             rows = rows[out[rows, used[rows] - back] == 0]
             back += 1
+        put(np.flatnonzero(width[:m] < LOW))
+
+    def put(rows: np.ndarray) -> None:
+        if len(rows):
+            out[rows, used[rows]] = (low[rows] >> np.uint64(32)).astype(np.uint16)
+            used[rows] += 1
+            low[rows] = (low[rows] & np.uint64(0xFFFFFFFF)) << np.uint64(16)
+            width[rows] <<= np.uint64(16)
 
     for t in range(size):
         m = int(np.count_nonzero(active > t)) if active[-1] <= t else n
-        lanes.begin(m)
-        for k in range(4):
-            nibble = (ids[t, :m] >> np.uint32(12 - 4 * k)) & np.uint32(15)
-            sums = lanes.mixed(k)
-            below, weight = part_of(sums, lanes.line[:m] + nibble, nibble)
-            unit = width[:m] // sums[:, 15].astype(np.uint64)
-            low[:m] += unit * below
-            width[:m] = unit * weight
-            over = np.flatnonzero(low[:m] >> HIGH)
-            if len(over):
-                carry(over)
-            short = np.flatnonzero(width[:m] < LOW)
-            if len(short):
-                put(short)
-                width[short] <<= np.uint64(16)
-            lanes.learn(nibble)
-        lanes.end()
+        now = ids[t, :m]
+        sums = lanes.begin(m)
+        symbol = np.where(lanes.guess[1] == now, 0, np.where(lanes.guess[0] == now, 1, 2))
+        missed = np.flatnonzero(symbol == 2)
+        rank = lanes.rank_of[lanes.rank_at[missed] + now[missed]].astype(np.int64)
+        bits = size_class(rank)
+        symbol[missed] = 2 + bits
+        below, weight = part_of(sums, lanes.cell_at[:m] + symbol, symbol)
+        unit = width[:m] // sums[:, -1].astype(np.uint64)
+        low[:m] += unit * below
+        width[:m] = unit * weight
+        settle(m)
+        # The bits below the highest one of the rank, as they are.
+        raw = np.maximum(bits - 1, 0).astype(np.uint64)
+        unit = width[missed] >> raw
+        low[missed] += unit * (rank - (np.int64(1) << raw.astype(np.int64)) * (bits > 0)).astype(np.uint64)
+        width[missed] = unit
+        settle(m)
+        lanes.promote(missed, rank)
+        lanes.learn(symbol, now)
     for _ in range(3):
         put(np.arange(n))
     return [out[k, : used[k]].astype("<u2").tobytes() for k in range(n)]
@@ -186,7 +207,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
 def decode_blocks(codes: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     """The ids of each block; sizes must not rise."""
     n, size = len(codes), sizes[0]
-    lanes = Lanes(n)
+    lanes = Lanes(n, ranks=False)
     longest = max(map(len, codes)) // 2
     words = np.zeros((n, longest + 1), np.uint16)
     for k, c in enumerate(codes):
@@ -198,32 +219,44 @@ def decode_blocks(codes: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     width = np.full(n, (1 << 48) - 1, np.uint64)
     active = np.array(sizes)
     ids = np.zeros((size, n), np.uint32)
+
+    def settle(m: int) -> None:
+        rows = np.flatnonzero(width[:m] < LOW)
+        if len(rows):
+            past[rows] = past[rows] << np.uint64(16) | words[rows, used[rows]]
+            used[rows] = np.minimum(used[rows] + 1, longest)
+            width[rows] <<= np.uint64(16)
+
     for t in range(size):
         m = int(np.count_nonzero(active > t)) if active[-1] <= t else n
-        lanes.begin(m)
-        for k in range(4):
-            sums = lanes.mixed(k)
-            total = sums[:, 15].astype(np.uint64)
-            unit = width[:m] // total
-            target = np.minimum(past[:m] // unit, total - np.uint64(1)).astype(np.float32)
-            # How many running sums are not over the target, as set bits of 16 bytes.
-            set_ = np.bitwise_count((sums <= target[:, None]).view(np.uint64))
-            nibble = (set_[:, 0] + set_[:, 1]).astype(np.int64)
-            below, weight = part_of(sums, lanes.line[:m] + nibble, nibble)
-            past[:m] -= unit * below
-            width[:m] = unit * weight
-            short = np.flatnonzero(width[:m] < LOW)
-            if len(short):
-                past[short] = past[short] << np.uint64(16) | words[short, used[short]]
-                used[short] = np.minimum(used[short] + 1, longest)
-                width[short] <<= np.uint64(16)
-            lanes.learn(nibble)
-        ids[t, :m] = lanes.path
-        lanes.end()
+        sums = lanes.begin(m)
+        total = sums[:, -1].astype(np.uint64)
+        unit = width[:m] // total
+        target = np.minimum(past[:m] // unit, total - np.uint64(1)).astype(np.float32)
+        # How many running sums are not over the target, as set bits of 24 bytes.
+        set_ = np.bitwise_count((sums <= target[:, None]).view(np.uint64))
+        symbol = (set_[:, 0] + set_[:, 1] + set_[:, 2]).astype(np.int64)
+        below, weight = part_of(sums, lanes.cell_at[:m] + symbol, symbol)
+        past[:m] -= unit * below
+        width[:m] = unit * weight
+        settle(m)
+        missed = np.flatnonzero(symbol >= 2)
+        bits = symbol[missed] - 2
+        raw = np.maximum(bits - 1, 0).astype(np.uint64)
+        unit = width[missed] >> raw
+        rest = np.minimum(past[missed] // unit, (np.uint64(1) << raw) - np.uint64(1))
+        past[missed] -= unit * rest
+        width[missed] = unit
+        settle(m)
+        rank = rest.astype(np.int64) + (np.int64(1) << raw.astype(np.int64)) * (bits > 0)
+        now = np.where(symbol == 0, lanes.guess[1], lanes.guess[0])
+        now[missed] = lanes.promote(missed, rank)
+        ids[t, :m] = now
+        lanes.learn(symbol, now)
     return [np.ascontiguousarray(ids[:s, k]) for k, s in enumerate(sizes)]
 
 
-def file_bytes(table: pa.Table, ids: np.ndarray, block: int = BLOCK) -> bytes:
+def file_bytes(table: pa.Table, ids: np.ndarray, block: int | None = None) -> bytes:
     """A file: its table of documents (id, n_tokens), then blocks with their checksums.
 
     Layout, little-endian: magic; bytes of the table (u32); number of blocks (u32); the
@@ -234,7 +267,7 @@ def file_bytes(table: pa.Table, ids: np.ndarray, block: int = BLOCK) -> bytes:
     with pa.ipc.new_stream(sink, table.schema) as writer:
         writer.write_table(table)
     head = sink.getvalue().to_pybytes()
-    parts = blocks_of(ids, block)
+    parts = blocks_of(ids, block or min(BLOCK, max(LEAST_BLOCK, len(ids) // LANES)))
     codes = encode_blocks(parts) if parts else []
     entries = [struct.pack("<3I", len(p), len(c), crc32(p)) for p, c in zip(parts, codes)]
     return b"".join([MAGIC, struct.pack("<2I", len(head), len(codes)), head, *entries, *codes])
