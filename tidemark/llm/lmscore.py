@@ -16,7 +16,8 @@ shorter one. How the counts get to the texts:
    documents are scored by successor search.
 
 Chunks and shards are bounded, and their numbers follow the input; raise both sizes
-with the executors' memory, so that lists stay long. N-grams meet by 64-bit hashes.
+with the executors' memory, so that lists stay long. Words meet by 64-bit hashes, longer
+n-grams by ``HASH_BITS``.
 
 Defined results: a null or empty text is its end alone; a first word has no context; no
 training text gives every word the probability one; rows that repeat are scored (and
@@ -39,12 +40,17 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bytes_of, saved
 
 ORDER = 3
-CHUNK_TOKENS = 2_000_000
-SHARD_GRAMS = 2_000_000
+CHUNK_TOKENS = 1_000_000
+SHARD_GRAMS = 1_000_000
 MU = (256.0, 4.0)
 END = xxhash.xxh64_intdigest(b"\n")
 #: Quantised log10 probabilities: 16 bits from 0 down to this.
 LEAST = -32.0
+#: Bits of the hashes by which 2- and 3-grams meet; single words have 64. Of n distinct
+#: ones a share of n / 2**bits meets a stranger: give more than 10**11 of them more bits.
+HASH_BITS = 48
+_REST = np.uint64(64 - HASH_BITS)
+_KEPT = np.uint64(((1 << HASH_BITS) - 1) << (64 - HASH_BITS))
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -241,29 +247,24 @@ class Trie:
         rank = suffix - self.pointers[0].get(b).astype(np.int64)
         return self.ids[1].find(self.room.get(prefix).astype(np.int64) + rank)
 
-    def log10(self, first, a, b, c) -> np.ndarray:
-        """Of words c after (a, b); ``first``: how many words of context are there."""
-        found = np.full(len(c), -1)
-        two, three = np.flatnonzero(first >= 1), np.flatnonzero(first >= 2)
-        found[two] = self.bigram(b[two], c[two])
-        out = restored(self.prob[0][c])
-        out[two] = np.where(
-            found[two] >= 0,
-            restored(self.prob[1][np.maximum(found[two], 0)]) if len(self.prob[1]) else 0.0,
-            restored(self.back[0][b[two]]) + out[two],
-        )
-        context = self.bigram(a[three], b[three])
-        known = np.flatnonzero(context >= 0)
-        three, context = three[known], context[known]
-        entry = np.full(len(three), -1)
-        both = np.flatnonzero(found[three] >= 0)
-        at = three[both]
-        entry[both] = self.trigram(context[both], b[at], found[at])
-        out[three] = np.where(
-            entry >= 0,
-            restored(self.prob[2][np.maximum(entry, 0)]) if len(self.prob[2]) else 0.0,
-            restored(self.back[1][context]) + out[three] if len(context) else 0.0,
-        )
+    def after_one(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(entries, log10 probabilities) of b after a."""
+        entry = self.bigram(a, b)
+        out = restored(self.back[0][a]) + restored(self.prob[0][b])
+        known = np.flatnonzero(entry >= 0)
+        out[known] = restored(self.prob[1][entry[known]])
+        return entry, out
+
+    def after_two(self, b, prefix, suffix, shorter) -> np.ndarray:
+        """log10 probabilities of c after (a, b), from the entries of (a, b) and of (b, c)
+        and the log10 probability of c after b."""
+        out = shorter.copy()
+        known = np.flatnonzero(prefix >= 0)
+        out[known] += restored(self.back[1][prefix[known]])
+        both = known[suffix[known] >= 0]
+        entry = self.trigram(prefix[both], b[both], suffix[both])
+        both, entry = both[entry >= 0], entry[entry >= 0]
+        out[both] = restored(self.prob[2][entry])
         return out
 
 
@@ -279,7 +280,7 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 def chunks(docs: DataFrame, learn: Column, text: str, id_col: str, chunk_tokens: int) -> DataFrame:
-    """(chunk, ids, learn, sizes, words, stream, n): documents as places in sorted word hashes."""
+    """(chunk, ids, learn, sizes, words, stream, n): documents as places in a list of word hashes."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def gather(batches):
@@ -290,10 +291,12 @@ def chunks(docs: DataFrame, learn: Column, text: str, id_col: str, chunk_tokens:
         def row():
             hashes = np.fromiter(map(xxhash.xxh64_intdigest, place), np.uint64, len(place))
             hashes[0] = END
-            order = np.argsort(hashes, kind="stable")
+            # Frequent words first: their places are small numbers.
+            tokens = np.concatenate(stream)
+            order = np.argsort(-np.bincount(tokens, minlength=len(hashes)), kind="stable")
             to = np.empty(len(order), np.uint32)
             to[order] = np.arange(len(order))
-            tokens = to[np.concatenate(stream)]
+            tokens = to[tokens]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([part << 32 | number], pa.int64()),
@@ -351,6 +354,8 @@ class Grams:
     counts: np.ndarray  # in learning documents, aligned with hashes
     by_key: np.ndarray  # place of each key's n-gram among the hashes
     keys: np.ndarray  # sorted: left * size + right
+    ends: np.ndarray  # tokens at which one ends
+    which: np.ndarray  # and its key
 
 
 class Chunk:
@@ -359,8 +364,12 @@ class Chunk:
     def __init__(self, learn: bytes, sizes: bytes, words: bytes, stream: bytes) -> None:
         self.learn = np.frombuffer(learn, np.uint8).astype(bool)
         self.sizes = np.frombuffer(sizes, "<u4").astype(np.int64)
-        self.words = np.frombuffer(words, np.uint64)
-        self.tokens = unpacked(stream).astype(np.int64)
+        by_count = np.frombuffer(words, np.uint64)
+        order = np.argsort(by_count, kind="stable")
+        self.words = by_count[order]  # sorted hashes
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.tokens = place[unpacked(stream)]
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.learnt = np.repeat(self.learn, self.sizes)
         #: Words of the same document before each token.
@@ -370,7 +379,8 @@ class Chunk:
         size = len(self.words)
         every = np.arange(size)
         n = np.bincount(self.tokens, self.learnt, size).astype(np.int64)
-        found = [Grams(self.words, n, every, every)]
+        tokens = np.arange(len(self.tokens))
+        found = [Grams(self.words, n, every, every, tokens, self.tokens)]
         ids, hashes = self.tokens, self.words
         for order in range(2, ORDER + 1):
             # A longer n-gram is a shorter one and the next word.
@@ -382,10 +392,11 @@ class Chunk:
             hashed = (hashes[left] * _M1 ^ (self.words[right] + _M2)) * _M2
             hashed ^= hashed >> np.uint64(29)
             hashed *= _M1
+            hashed &= _KEPT
             by_hash = np.argsort(hashed, kind="stable")
             by_key = np.empty_like(by_hash)
             by_key[by_hash] = np.arange(len(by_hash))
-            found.append(Grams(hashed[by_hash], n[by_hash], by_key, distinct))
+            found.append(Grams(hashed[by_hash], n[by_hash], by_key, distinct, ends, inverse))
             ids = np.full(len(self.tokens), -1)
             ids[ends] = inverse
             hashes = hashed
@@ -408,7 +419,9 @@ def sent_grams(stored: DataFrame, shards: int) -> DataFrame:
                     rows = [
                         (
                             s,
-                            EliasFano.of(g.hashes[a:b] - g.hashes[a]).to_bytes(),
+                            EliasFano.of(
+                                (g.hashes[a:b] - g.hashes[a]) >> (_REST if level else np.uint64(0))
+                            ).to_bytes(),
                             g.hashes[a].tobytes() + packed(g.counts[a:b]),
                         )
                         for s, (a, b) in enumerate(zip(borders[:-1], borders[1:]))
@@ -439,7 +452,7 @@ def summed(table: pa.Table) -> pa.Table:
     for level in np.unique(levels):
         at = np.flatnonzero(levels == level)
         hashes = [
-            EliasFano.from_bytes(rows["grams"][i]).all()
+            (EliasFano.from_bytes(rows["grams"][i]).all() << (_REST if level else np.uint64(0)))
             + np.frombuffer(rows["counts"][i], np.uint64, 1)
             for i in at
         ]
@@ -469,21 +482,29 @@ def summed(table: pa.Table) -> pa.Table:
     )
 
 
-def trie_of(chunk: Chunk, grams: list[Grams], totals: list[np.ndarray], v: int, n: int, mu) -> Trie:
+def suffixes(chunk: Chunk, grams: list[Grams]) -> np.ndarray:
+    """The 2-gram that each 3-gram ends with, by key."""
+    at_token = np.empty(len(chunk.tokens), np.int64)
+    at_token[grams[1].ends] = grams[1].which
+    out = np.empty(len(grams[2].keys), np.int64)
+    out[grams[2].which] = at_token[grams[2].ends]
+    return out
+
+
+def trie_of(
+    chunk: Chunk, grams: list[Grams], suffix: np.ndarray, totals: list[np.ndarray], v: int, n: int, mu
+) -> Trie:
     """The smoothed model of the n-grams that the chunk shares with the learning texts."""
     size = len(chunk.words)
     one = totals[0].astype(float)
     p1 = (one + 0.5) / (n + 0.5 * (v + 1))
     two = totals[1][grams[1].by_key]  # by key
     three = totals[2][grams[2].by_key]
-    kept2 = np.flatnonzero(two)
-    keys2 = grams[1].keys
-    a, b = keys2 // size, keys2 % size
+    kept2, kept3 = np.flatnonzero(two), np.flatnonzero(three)
+    a, b = grams[1].keys // size, grams[1].keys % size
     p2 = (two + mu[0] * p1[b]) / (one[a] + mu[0])
-    keys3 = grams[2].keys[three > 0]
-    prefix, c = keys3 // size, keys3 % size
-    suffix = np.searchsorted(keys2, b[prefix] * size + c)
-    p3 = (three[three > 0] + mu[1] * p2[suffix]) / (two[prefix] + mu[1])
+    prefix, suffix = grams[2].keys[kept3] // size, suffix[kept3]
+    p3 = (three[kept3] + mu[1] * p2[suffix]) / (two[prefix] + mu[1])
     to = np.cumsum(two > 0) - 1  # entries among the kept ones
     return Trie.build(
         size,
@@ -494,6 +515,19 @@ def trie_of(chunk: Chunk, grams: list[Grams], totals: list[np.ndarray], v: int,
     )
 
 
+def token_logs(chunk: Chunk, grams: list[Grams], suffix: np.ndarray, trie: Trie) -> np.ndarray:
+    """log10 probability of each token: each distinct n-gram is searched once, in order."""
+    size = len(chunk.words)
+    a, b = grams[1].keys // size, grams[1].keys % size
+    entry, two = trie.after_one(a, b)
+    prefix = grams[2].keys // size
+    three = trie.after_two(b[prefix], entry[prefix], entry[suffix], two[suffix])
+    out = restored(trie.prob[0])[chunk.tokens]
+    out[grams[1].ends] = two[grams[1].which]
+    out[grams[2].ends] = three[grams[2].which]
+    return out
+
+
 def scored(
     docs: DataFrame,
     learn: Column,
@@ -523,6 +557,7 @@ def scored(
         row = own.to_pylist()[0]
         chunk = Chunk(row["learn"], row["sizes"], row["words"], row["stream"])
         grams = chunk.grams()
+        suffix = suffixes(chunk, grams)
         got: dict[int, list] = {level: [] for level in range(ORDER)}
         for a in sorted(answers.to_pylist(), key=lambda a: a["shard"]):
             got[a["level"]].append(unpacked(a["totals"]))
@@ -532,10 +567,8 @@ def scored(
         ]
         t = chunk.tokens
         with tempfile.NamedTemporaryFile(suffix=".trie") as file:
-            trie_of(chunk, grams, counts, v, n, mu).save(file)
-            trie = Trie.open(file.name)
-            earlier = [np.maximum(np.arange(len(t)) - k, 0) for k in (2, 1)]
-            logs = trie.log10(chunk.before, t[earlier[0]], t[earlier[1]], t)
+            trie_of(chunk, grams, suffix, counts, v, n, mu).save(file)
+            logs = token_logs(chunk, grams, suffix, Trie.open(file.name))
         one = counts[0].astype(float)
         base = np.log10((one + 0.5) / (n + 0.5 * (v + 1)))
         by_doc = [
