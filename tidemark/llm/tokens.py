@@ -17,7 +17,7 @@ from itertools import chain
 
 import numpy as np
 
-REMEMBERED = 1_000_000
+REMEMBERED = 1_600_000
 #: Characters of texts that are encoded together.
 TOGETHER = 1 << 20
 TOKENIZER = "byte_bpe_50k.json"
