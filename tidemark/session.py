@@ -15,6 +15,8 @@ BASE_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows may be whole objects: batches to Python are bounded by bytes too.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
     # Streaming state on disk: it may hold one row for each of very many entities.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
