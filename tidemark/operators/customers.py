@@ -228,37 +228,27 @@ def _per_value(
             return _midnight_dates(dates, low, high - 1, F.col("timestamp"))
         return _window_dates(dates, low, high, F.col("date"))
 
-    def marks(hit: Column, kinds: dict[str, Column]) -> Column:
-        each = F.array(
-            *[
-                F.struct(F.lit(k).alias("kind"), v.cast("string").alias("value"))
-                for k, v in kinds.items()
-            ]
-        )
-        return F.flatten(
-            F.transform(
-                hit,
-                lambda p: F.transform(
-                    each,
-                    lambda m: F.struct(
-                        p.alias("prediction_date"), m["kind"].alias("kind"), m["value"].alias("value")
-                    ),
-                ),
-            )
+    def marks(hit: Column, role: str) -> Column:
+        return F.transform(
+            hit, lambda p: F.struct(p.alias("prediction_date"), F.lit(role).alias("role"))
         )
 
-    all_marks = [marks(dates_of(-days, 0), {k: F.col(k) for k in KINDS})]
-    all_marks += [marks(dates_of(*w), {name: F.lit(None)}) for name, w in sums.items()]
+    def cell(kind: Column, value: Column) -> Column:
+        return F.struct(kind.alias("kind"), value.cast("string").alias("value"))
+
+    hits = F.concat(
+        marks(dates_of(-days, 0), "back"), *[marks(dates_of(*w), name) for name, w in sums.items()]
+    )
     low = min(-days, *(w[0] for w in sums.values()), 0)
     high = max(0, 0, *(w[1] for w in sums.values()))
+    marked = _between(tx, dates, low, high).select(
+        "customer_id", "date", "purchase_amount", *KINDS[:-1], F.inline(hits)
+    )
+    each = F.when(
+        F.col("role") == "back", F.array(*[cell(F.lit(k), F.col(k)) for k in KINDS])
+    ).otherwise(F.array(cell(F.col("role"), F.lit(None))))
     return (
-        _between(tx, dates, low, high)
-        .select(
-            "customer_id",
-            F.col("date").alias("_day"),
-            "purchase_amount",
-            F.inline(F.concat(*all_marks)),
-        )
+        marked.select(*KEYS, F.col("date").alias("_day"), "purchase_amount", F.inline(each))
         .groupBy(*KEYS, "kind", "value")
         .agg(
             F.count(F.lit(1)).alias("n"),
