@@ -17,6 +17,7 @@ table; extra columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -64,9 +65,16 @@ def text_features(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
-_CLASS = np.array(
-    [1 if 65 <= c <= 90 else 2 if 48 <= c <= 57 else 3 if 33 <= c <= 126 and not chr(c).isalnum() else 0 for c in range(256)]
-)
+def _class(c: int) -> int:
+    """Of a byte: 1 upper case, 2 digit, 3 symbol, 0 any other."""
+    if 65 <= c <= 90:
+        return 1
+    if 48 <= c <= 57:
+        return 2
+    return 3 if 33 <= c <= 126 and not chr(c).isalnum() else 0
+
+
+_CLASS = np.array([_class(c) for c in range(256)])
 
 
 def meta_features(values: Sequence) -> tuple[np.ndarray, np.ndarray]:
@@ -272,8 +280,6 @@ def train(
     )
 
     def fit(batches):
-        import pickle
-
         views, y, folds = [[], []], [], []
         for batch in batches:
             for v in (0, 1):
@@ -286,8 +292,6 @@ def train(
         model = co_train(views, np.array(y, int), np.array(folds, int), rounds, sure)
         yield pa.RecordBatch.from_pylist([{"model": pickle.dumps(model)}])
 
-    import pickle
-
     # The sample is bounded, and so is the model.
     row = sample.repartition(1).mapInArrow(fit, "model binary").first()
     return pickle.loads(row["model"]) if row else Model(None, None, 0.0, 1.0)
