@@ -192,6 +192,10 @@ def judged(rows: DataFrame, hosts: DataFrame) -> DataFrame:
 
 
 def kept(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """The rows of ``docs`` that the rules keep. Texts are read twice, never shuffled for counts."""
-    rows = measured(docs, text, host)
+    """The rows of ``docs`` that the rules keep.
+
+    Rows are written once with their measures, so that texts are measured once; the
+    count per host reads the measures alone, and no text is shuffled.
+    """
+    rows = saved(measured(docs, text, host), "measured")
     return judged(rows, host_verdicts(rows)).filter("kept").select("row.*")
