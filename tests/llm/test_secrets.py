@@ -1,6 +1,7 @@
 import base64
 import bz2
 import gzip
+import lzma
 import random
 import re
 import urllib.parse
@@ -58,6 +59,40 @@ def test_layers(name, inner):
     assert TOKEN[12:40] not in S.redact(text)
 
 
+def wrapped(coded, width=76, end="\n"):
+    return end.join(coded[k : k + width] for k in range(0, len(coded), width))
+
+
+urlsafe = lambda x: base64.urlsafe_b64encode(x.encode()).decode()
+JSON = '{"note":"café ~~~???>>>","password":"abcdef0123456789XYZ", "more": "words that come after it, to fill lines"}'
+RUNS = {
+    "url alphabet": urlsafe(JSON),
+    "url alphabet unpadded": urlsafe(JSON).rstrip("="),
+    "mime": wrapped(b64(JSON)),
+    "pem": wrapped(b64(JSON), 64, "\r\n"),
+    "escaped line ends": wrapped(b64(JSON), 64, "\\n"),
+    "indented": wrapped(b64(JSON), 64, "\n    "),
+    "gzip in lines": wrapped(b64(gzip.compress((JSON + str(list(range(200)))).encode(), mtime=0)), 64),
+    "xz in lines": wrapped(b64(lzma.compress((JSON + str(list(range(200)))).encode()))),
+    "after a path": "some/path-of/files_" + b64(JSON),
+    "zlib after a path": "some/path-of/file_" + b64(zlib.compress(JSON.encode())),
+    "two runs": urlsafe("public value xy").rstrip("=") + "_" + urlsafe(JSON),
+}
+
+
+@pytest.mark.parametrize("name", RUNS)
+@pytest.mark.parametrize("around", [("see: ", " end"), ("-----BEGIN A CERTIFICATE-----\n", "\n-----END A-----\n")])
+def test_base64_runs_are_decoded_whole(name, around):
+    text = around[0] + RUNS[name] + around[1]
+    base, found = S.spans_of(text)
+    mapped = [s for s in found if s not in base and s[0] == "assign"]
+    assert mapped and all(len(around[0]) <= a < b <= len(text) - len(around[1]) for _, a, b in mapped)
+    if not re.search("gzip|xz|zlib|path|two", name):
+        (_, a, b) = mapped[0]
+        letters = re.sub(r"\\n|\s", "", text[a:b]).translate(str.maketrans("-_", "+/"))
+        assert b'password":"abcdef0123456789XYZ' in base64.b64decode(letters + "=" * (-len(letters) % 4))
+
+
 def test_base64_spans_are_the_groups_around():
     text = "x " + b64("abc" + TOKEN)
     _, found = S.spans_of(text)

@@ -18,7 +18,6 @@ extra columns are ignored, or passed through by ``redacted``.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -27,7 +26,9 @@ import zlib
 from bisect import bisect_left
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,10 +47,21 @@ ASSIGN_LENGTH, ACCESS_LENGTH = 8, 16
 URL_ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+")
 ONE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
-#: At least 16 characters, of the standard or the URL alphabet.
-BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+#: Letters of both alphabets, 16 at least; then lines of nothing but letters, up to the
+#: padding or the end of the string that holds them.
+BREAK = r"(?:\r?\n|(?:\\r)?\\n)[ \t]*"
+BASE64 = re.compile(
+    rf"""[A-Za-z0-9+/_-]{{16,}}(?:{BREAK}[A-Za-z0-9+/_-]+(?=={{0,2}}[ \t]*(?:[\r\n"'`<),;\]}}]|\\[nr]|\Z)))*={{0,2}}"""
+)
+LINE, LINE_BREAK = re.compile(r"[A-Za-z0-9+/_-]+"), re.compile(BREAK)
+STANDARD = str.maketrans("-_", "+/")
+#: No secret, and nothing that encodes one, has fewer printable characters in a row.
+PRINTABLE = re.compile(rb"[\x20-\x7e]{14}")
+#: ASCII in 32-bit and 16-bit units, of either byte order.
+WIDE = tuple((re.compile(rb"(?:[\t\n\r\x20-\x7e]" + rb"\0" * n + rb"){4,}"), n + 1) for n in (3, 1))
+#: Where compressed bytes may begin.
+MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\0|x[\x01\x5e\x9c\xda]")
 MAX_LAYER_CHARS = 1 << 24
-MAX_PIECES = 1 << 16
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -205,49 +217,144 @@ def readable(data: bytes) -> str | None:
     return text if text and not re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text) else None
 
 
-def base64_text(layer: Layer, start: int, letters: int, plain: str) -> Layer:
-    """Decoded text, in pieces that stand for the four-letter groups they came from.
+def lenient(data: bytes) -> str:
+    """The bytes as text; each byte that is not UTF-8 is a lone surrogate."""
+    return data.decode("utf-8", "surrogateescape")
+
+
+def shown(text: str) -> str:
+    """``lenient`` text with a replacement character for each lone surrogate."""
+    return re.sub("[\udc80-\udcff]", "\ufffd", text)
+
+
+def byte_ends(text: str) -> np.ndarray:
+    """Where each character's bytes end in what ``lenient`` was given."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    sizes = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
+    return np.cumsum(np.where((codes >= 0xDC80) & (codes <= 0xDCFF), 1, sizes))
+
+
+def narrowed(data: bytes) -> bytes:
+    """The bytes with each run of wide ASCII characters as plain ones."""
+    for pattern, width in WIDE:
+        data = pattern.sub(lambda m, width=width: m.group()[::width], data)
+    return data
+
+
+class Letters:
+    """Base64 letters on some lines of a layer, with the padding after them."""
+
+    def __init__(self, layer: Layer, lines: list[tuple[int, int]], stop: int) -> None:
+        self.layer, self.stop = layer, stop
+        self.starts = [a for a, _ in lines]
+        self.at = [0, *accumulate(b - a for a, b in lines)][:-1]
+        self.text = "".join(layer.text[a:b] for a, b in lines)
+
+    def _place(self, i: int) -> int:
+        k = bisect_left(self.at, i + 1) - 1
+        return self.starts[k] + i - self.at[k]
+
+    def span(self, start: int, end: int) -> tuple[int, int]:
+        return self.layer.span(self._place(start), self._place(end - 1) + 1)
+
+    def rest(self, start: int) -> tuple[int, int]:
+        """From a letter to the end of the padding."""
+        return self.layer.span(self._place(start), self.stop)
+
+
+class Base64Text(Layer):
+    """Decoded text; a character stands for the four-letter groups that it came from.
 
-    Over ``MAX_PIECES`` groups, a piece stands for several of them.
+    ``skip`` letters come before the first group. Places are found when asked for.
     """
-    group = 3 * max(1, -(-letters // (4 * MAX_PIECES)))
-    at, pieces, done, first, from_byte = [], [], 0, 0, 0
-    sizes = [1] * len(plain) if plain.isascii() else [len(c.encode()) for c in plain]
-    for k, size in enumerate(sizes):
-        done += size
-        if done - from_byte >= group or k + 1 == len(plain):
-            a, b = start + from_byte // 3 * 4, start + min(letters, -(-done // 3) * 4)
-            at.append(first)
-            pieces.append((*layer.span(a, b), 0))
-            first, from_byte = k + 1, done
-    return Layer(plain, at, pieces)
 
+    def __init__(self, letters: Letters, skip: int, text: str) -> None:
+        self.letters, self.skip, self.text = letters, skip, shown(text)
+        self.ends = None if text.isascii() else byte_ends(text)
+
+    def _place(self, i: int) -> tuple[int, int]:
+        first, last = i, i + 1
+        if self.ends is not None:
+            first, last = int(self.ends[i - 1]) if i else 0, int(self.ends[i])
+        end = self.skip + -(-last // 3) * 4
+        return self.letters.span(self.skip + first // 3 * 4, min(len(self.letters.text), end))
+
+    def sub(self, start: int, end: int) -> list[tuple[int, tuple[int, int, int]]]:
+        return [(i - start, (*self._place(i), 0)) for i in range(start, end)]
 
-def base64_layers(layer: Layer, room: Callable[[], int]):
-    """(layer or None, span) of each base64 run that holds text or compressed text.
 
-    None: what it holds has no room.
+def letter_blocks(layer: Layer):
+    """Lists of letters to decode: lines that were wrapped as one, then each on its own.
+
+    The lines of a wrapped block are of one width; the last may be shorter, and the
+    first longer or, if two others follow, shorter, since it shares its line.
     """
     for m in BASE64.finditer(layer.text):
-        run = m.group().rstrip("=")
-        if len(run) % 4 == 1:
-            continue
-        altchars = b"-_" if re.search(r"[-_]", run) else b"+/"
-        try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4), altchars, validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        span = layer.span(m.start(), m.end())
-        plain = readable(data)
-        if plain is not None:
-            fits = len(plain) <= room()
-            yield (base64_text(layer, m.start(), len(run), plain) if fits else None), span
-            continue
+        lines, at = [], m.start()
+        while line := LINE.match(layer.text, at, m.end()):
+            lines.append(line.span())
+            gap = LINE_BREAK.match(layer.text, line.end(), m.end())
+            at = gap.end() if gap else m.end()
+        widths, i = [b - a for a, b in lines], 0
+        while i < len(lines):
+            j = i + 1
+            armour = layer.text.endswith("-----", *lines[i])  # the line before a PEM block
+            if not armour and j < len(lines) and (
+                widths[j] <= widths[i] or (j + 1 < len(lines) and widths[j + 1] <= widths[j])
+            ):
+                j += 1
+                while j < len(lines) and widths[j] <= widths[j - 1] == widths[i + 1]:
+                    j += 1
+            block = lines[i:j]
+            stop = m.end() if j == len(lines) else block[-1][1]
+            tries = [Letters(layer, block, stop)]
+            if len(block) > 1:
+                tries += [Letters(layer, [x], x[1]) for x in block if x[1] - x[0] >= 16]
+            yield tries
+            i = j
+
+
+def base64_layers(layer: Layer, room: Callable[[], int]):
+    """(layer or None, span) of the text or compressed text in each base64 run.
+
+    A run that is not text as a whole may begin with letters of something else, so that
+    all four alignments are decoded. None: what it holds has no room.
+    """
+    for tries in letter_blocks(layer):
+        for letters in tries:
+            whole_text = False
+            for skip in range(4):
+                run = letters.text[skip:]
+                run = run[: len(run) - (len(run) % 4 == 1)]
+                if not run:
+                    break
+                data = base64.b64decode(run.translate(STANDARD) + "=" * (-len(run) % 4))
+                plain = readable(data) if skip == 0 else None
+                whole_text = plain is not None
+                if whole_text or PRINTABLE.search(data):
+                    text = plain or lenient(data)
+                    fits = len(text) <= room()
+                    yield Base64Text(letters, skip, text) if fits else None, letters.rest(skip)
+                if whole_text:
+                    break
+                yield from byte_layers(data, lambda at: letters.rest(skip + at // 3 * 4), room)
+            if whole_text:
+                break
+
+
+def byte_layers(data: bytes, span_from: Callable[[int], tuple[int, int]], room: Callable[[], int]):
+    """(layer or None, span) of wide text and compressed text in bytes."""
+    thin = narrowed(data)
+    if thin != data and PRINTABLE.search(thin):
+        text, span = shown(lenient(thin)), span_from(0)
+        yield Layer(text, [0], [(*span, 0)]) if len(text) <= room() else None, span
+    for start in sorted({0, *(m.start() for m in MAGIC.finditer(data))}):
+        span = span_from(start)
         try:
             # Bytes in bytes shrink by a header each, or the room for them runs out.
-            left = room()
-            while (opened := inflated(data, left)) is not None and opened != data:
-                data, plain, left = opened, readable(opened), left - len(opened)
+            inner, left = data[start:], room()
+            while (opened := inflated(inner, left)) is not None and opened != inner:
+                inner, plain, left = opened, readable(opened), left - len(opened)
                 if plain is not None:
                     yield Layer(plain, [0], [(*span, 0)]), span
                     break
