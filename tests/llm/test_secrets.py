@@ -1,9 +1,11 @@
 import base64
 import bz2
 import gzip
+import io
 import lzma
 import random
 import re
+import tarfile
 import urllib.parse
 import zlib
 
@@ -93,6 +95,65 @@ def test_base64_runs_are_decoded_whole(name, around):
         assert b'password":"abcdef0123456789XYZ' in base64.b64decode(letters + "=" * (-len(letters) % 4))
 
 
+NOISE = random.Random(7).randbytes(1_500_000)
+gz = lambda x: gzip.compress(x, 1, mtime=0)
+
+
+def archive(name, data):
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w") as f:
+        info = tarfile.TarInfo(name)
+        info.size = len(data)
+        f.addfile(info, io.BytesIO(data))
+    return out.getvalue()
+
+
+LINE = TOKEN.encode()
+BYTES = {
+    "latin-1 letter": b"caf\xe9 " + LINE,
+    "control byte": b"\x1b[31m\0" + LINE,
+    "utf-16": TOKEN.encode("utf-16"),
+    "utf-16 big end": TOKEN.encode("utf-16-be"),
+    "utf-32": TOKEN.encode("utf-32"),
+    "tar in gzip": gz(archive("a.txt", LINE)),
+    "gzip in tar in gzip": gz(archive("a.gz", gz(LINE))),
+    "latin-1 in zlib": zlib.compress(b"caf\xe9 " + LINE),
+    "two gzip members": gz(b"first") + gz(LINE),
+    "members with zeros between": gz(b"first") + bytes(600) + gz(LINE),
+    "two bz2 members": bz2.compress(b"first") + bz2.compress(LINE),
+    "two xz members": lzma.compress(b"first") + lzma.compress(LINE),
+    "cut gzip": gz(LINE + NOISE[:300_000])[:200_000],
+    "after 20 MB": gz(bytes(20_000_000) + LINE),
+    "over a window's end": gz(bytes((1 << 20) - 20) + LINE + bytes(1 << 20)),
+    "long gzip in gzip": gz(gz(NOISE + LINE) + b"end"),
+}
+
+
+@pytest.mark.parametrize("name", BYTES)
+def test_all_bytes_are_scanned(name, monkeypatch):
+    monkeypatch.setattr(S, "WINDOW", 1 << 20, raising=False)
+    text = f"x {b64(BYTES[name])} y"
+    base, found = S.spans_of(text)
+    new = [s for s in found if s not in base]
+    assert "assign" in {k for k, _, _ in new} and "unopened" not in {k for k, _, _ in new}
+    assert all(2 <= a < b <= len(text) - 2 for _, a, b in new)
+
+
+def test_a_bad_escape_is_the_only_one_lost():
+    url = "%E9" + LAYERS["url"](TOKEN).replace("t", "%74") + "%ff"
+    entity = "&#9999999;" + LAYERS["entity"](TOKEN)
+    for text in (url, entity):
+        base, found = S.spans_of(f"x {text} y")
+        kind, a, b = next(s for s in found if s[0] == "assign" and s not in base)
+        assert a == 2 + text.index("%74" if text is url else "&#116;")
+
+
+def test_long_base64_has_spans_as_fine_as_short_one():
+    text = b64("words " * 100_000 + TOKEN + " words" * 100_000)
+    kind, a, b = next(s for s in S.spans_of(text)[1] if s[0] == "hex")
+    assert b - a < 60
+
+
 def test_base64_spans_are_the_groups_around():
     text = "x " + b64("abc" + TOKEN)
     _, found = S.spans_of(text)

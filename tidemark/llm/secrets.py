@@ -6,9 +6,15 @@ until none is new. A layer keeps, for each of its characters, the range of the
 original text it came from, so that every finding has a span in the original.
 A layer whose content was seen at the same span is not opened again.
 
-Decoded layers of one document may hold ``MAX_LAYER_CHARS`` characters and four
-times its own length in all. What would go beyond (a decompression bomb) is not opened but reported itself, as
-a span of the kind ``unopened``, so that nothing is passed over in silence.
+Bytes need not be clean text: all ASCII in them is scanned, since no secret, encoded or
+not, holds anything else.
+Decompressed bytes are scanned in overlapping windows of bounded size, all members and
+however many, each with what is encoded in it.
+
+Two guards make every text end. Layers with escapes decoded in place may hold
+``MAX_LAYER_CHARS`` characters and four times the length of what they were found in (a
+chain of escapes is decoded a link at a time), and decompressed bytes ``MAX_INFLATED``.
+What would go beyond is reported as a span of the kind ``unopened``.
 
 Defined results: a null or empty text has no span; text is scanned whole, however
 long; rows that repeat give equal results; an empty table gives an empty table;
@@ -24,8 +30,8 @@ import lzma
 import re
 import zlib
 from bisect import bisect_left
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass, field
 from itertools import accumulate
 
 import numpy as np
@@ -55,13 +61,17 @@ BASE64 = re.compile(
 )
 LINE, LINE_BREAK = re.compile(r"[A-Za-z0-9+/_-]+"), re.compile(BREAK)
 STANDARD = str.maketrans("-_", "+/")
-#: No secret, and nothing that encodes one, has fewer printable characters in a row.
-PRINTABLE = re.compile(rb"[\x20-\x7e]{14}")
+#: No secret, and nothing that encodes one, is shorter or has other bytes in it.
+ASCII = re.compile(rb"[\t\n\r\x20-\x7e]{14,}")
 #: ASCII in 32-bit and 16-bit units, of either byte order.
 WIDE = tuple((re.compile(rb"(?:[\t\n\r\x20-\x7e]" + rb"\0" * n + rb"){4,}"), n + 1) for n in (3, 1))
 #: Where compressed bytes may begin.
 MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\0|x[\x01\x5e\x9c\xda]")
 MAX_LAYER_CHARS = 1 << 24
+MAX_INFLATED = 1 << 36
+#: Decompressed bytes that are scanned together, and those that the next ones repeat.
+WINDOW, OVERLAP = 1 << 22, 1 << 16
+BLOCK = 1 << 16
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -155,17 +165,10 @@ def replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
 
 
 def url_parts(m: re.Match) -> list[tuple[str, int, int]]:
-    """One part per character of the escaped UTF-8; none if it is not UTF-8."""
-    try:
-        text = bytes.fromhex(m.group().replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return []
-    parts, at = [], m.start()
-    for c in text:
-        end = at + 3 * len(c.encode())
-        parts.append((c, at, end))
-        at = end
-    return parts
+    """One part per character of the escaped UTF-8, or per byte that is not UTF-8."""
+    text = lenient(bytes.fromhex(m.group().replace("%", "")))
+    ends = (m.start() + 3 * byte_ends(text)).tolist()
+    return list(zip(shown(text), [m.start(), *ends], ends))
 
 
 def unicode_parts(m: re.Match) -> list[tuple[str, int, int]]:
@@ -179,33 +182,120 @@ def unicode_parts(m: re.Match) -> list[tuple[str, int, int]]:
             high, start, _ = parts.pop()
             code = 0x10000 + ((ord(high) - 0xD800) << 10) + code - 0xDC00
         if code > 0x10FFFF:
-            return []
+            code = 0xFFFD
         parts.append((chr(code), start, end))
     return [(c if not 0xD800 <= ord(c) < 0xE000 else "�", a, b) for c, a, b in parts]
 
 
-def inflated(data: bytes, room: int) -> bytes | None:
-    """Decompressed gzip, zlib, bzip2 or xz bytes; None if it is none of them.
+class Feed:
+    """Blocks of bytes, taken one by one; what is put back comes first."""
+
+    def __init__(self, blocks: Iterable[bytes]) -> None:
+        self.blocks, self.held, self.taken, self.cut = iter(blocks), b"", 0, False
+
+    def take(self) -> bytes:
+        out, self.held = self.held or next(self.blocks, b""), b""
+        self.taken += len(out)
+        return out
+
+    def put_back(self, data: bytes) -> None:
+        self.held = data + self.held
+        self.taken -= len(data)
+
 
-    Raises OverflowError where the output would be longer than ``room`` bytes.
+def opener_of(head: bytes):
+    """What decompresses the gzip, zlib, bzip2 or xz bytes that begin so; None if they are none."""
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if len(head) > 2 and head[0] & 15 == 8 and (head[0] << 8 | head[1]) % 31 == 0:
+        return zlib.decompressobj()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor() if head[:6] == b"\xfd7zXZ\0" else None
+
+
+def pulled(opener, block: bytes) -> Iterator[bytes]:
+    """What a decompressor makes of one more block, in pieces of bounded size."""
+    limit, more = 1 << 20, True
+    while more and not opener.eof:
+        out = opener.decompress(block, limit)
+        if hasattr(opener, "needs_input"):
+            block, more = b"", not opener.needs_input
+        else:
+            block = opener.unconsumed_tail
+            more = bool(block) or len(out) == limit
+        if out:
+            yield out
+
+
+def inflated(feed: Feed) -> Iterator[bytes]:
+    """Decompressed bytes of all members that follow each other, as far as they can be read.
+
+    ``feed.cut`` tells that the last one goes on behind the feed's end.
     """
-    if data[:2] == b"\x1f\x8b":
-        opener = zlib.decompressobj(31)
-    elif len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0:
-        opener = zlib.decompressobj()
-    elif data[:3] == b"BZh":
-        opener = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\0":
-        opener = lzma.LZMADecompressor()
-    else:
-        return None
-    try:
-        out = opener.decompress(data, room + 1)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        return None
-    if len(out) > room:
-        raise OverflowError
-    return out
+    while True:
+        head = feed.take()
+        while len(head) < 6 and (more := feed.take()):
+            head += more
+        if feed.taken > len(head):  # members may have zeros between them
+            while head and not (head := head.lstrip(b"\0")):
+                head = feed.take()
+        feed.put_back(head)
+        opener = opener_of(head)
+        if opener is None:
+            return
+        try:
+            while not opener.eof:
+                block = feed.take()
+                if not block:
+                    feed.cut = True
+                    return
+                yield from pulled(opener, block)
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            return
+        feed.put_back(opener.unused_data)
+
+
+def blocks_of(data: bytes, start: int) -> Iterator[bytes]:
+    for k in range(start, len(data), BLOCK):
+        yield data[k : k + BLOCK]
+
+
+def skipped(blocks: Iterable[bytes], n: int) -> Iterator[bytes]:
+    """The blocks without their first n bytes."""
+    for block in blocks:
+        if n < len(block):
+            yield block[n:]
+        n = max(0, n - len(block))
+
+
+def windows(blocks: Iterable[bytes]) -> Iterator[tuple[int, bytes, bool]]:
+    """(place, bytes, whether others follow): the blocks in overlapping windows."""
+    held, at = bytearray(), 0
+    for block in blocks:
+        held += block
+        while len(held) > WINDOW:
+            yield at, bytes(held[:WINDOW]), True
+            del held[: WINDOW - OVERLAP]
+            at += WINDOW - OVERLAP
+    yield at, bytes(held), False
+
+
+@dataclass
+class Room:
+    """What is left of the guards, and the windows that were scanned."""
+
+    chars: int
+    inflated: int
+    seen: set = field(default_factory=set)
+
+    def metered(self, blocks: Iterable[bytes]) -> Iterator[bytes]:
+        """The blocks; raises OverflowError where they are too many."""
+        for block in blocks:
+            self.inflated -= len(block)
+            if self.inflated < 0:
+                raise OverflowError
+            yield block
 
 
 def readable(data: bytes) -> str | None:
@@ -222,6 +312,16 @@ def lenient(data: bytes) -> str:
     return data.decode("utf-8", "surrogateescape")
 
 
+def texts_of(data: bytes) -> Iterator[tuple[int, str]]:
+    """(place, text): all of the bytes if they are clean text, else what is ASCII in them."""
+    text = readable(data)
+    if text is not None:
+        yield 0, text
+    else:
+        for m in ASCII.finditer(data):
+            yield m.start(), m.group().decode()
+
+
 def shown(text: str) -> str:
     """``lenient`` text with a replacement character for each lone surrogate."""
     return re.sub("[\udc80-\udcff]", "\ufffd", text)
@@ -265,22 +365,24 @@ class Letters:
 class Base64Text(Layer):
     """Decoded text; a character stands for the four-letter groups that it came from.
 
-    ``skip`` letters come before the first group. Places are found when asked for.
+    ``skip`` letters come before the first group, and ``first`` bytes before the text.
+    Places are found when asked for.
     """
 
-    def __init__(self, letters: Letters, skip: int, text: str) -> None:
-        self.letters, self.skip, self.text = letters, skip, shown(text)
+    def __init__(self, letters: Letters, skip: int, first: int, text: str) -> None:
+        self.letters, self.skip, self.first, self.text = letters, skip, first, text
         self.ends = None if text.isascii() else byte_ends(text)
 
     def _place(self, i: int) -> tuple[int, int]:
-        first, last = i, i + 1
+        a, b = i, i + 1
         if self.ends is not None:
-            first, last = int(self.ends[i - 1]) if i else 0, int(self.ends[i])
-        end = self.skip + -(-last // 3) * 4
-        return self.letters.span(self.skip + first // 3 * 4, min(len(self.letters.text), end))
+            a, b = int(self.ends[i - 1]) if i else 0, int(self.ends[i])
+        start, end = (a + self.first) // 3 * 4, -(-(b + self.first) // 3) * 4
+        return self.letters.span(self.skip + start, min(len(self.letters.text), self.skip + end))
 
     def sub(self, start: int, end: int) -> list[tuple[int, tuple[int, int, int]]]:
-        return [(i - start, (*self._place(i), 0)) for i in range(start, end)]
+        step = 1 + (end - start >> 20)  # a piece for each character would take too much room
+        return [(i - start, (*self.span(i, min(i + step, end)), 0)) for i in range(start, end, step)]
 
 
 def letter_blocks(layer: Layer):
@@ -314,13 +416,13 @@ def letter_blocks(layer: Layer):
             i = j
 
 
-def base64_layers(layer: Layer, room: Callable[[], int]):
+def base64_layers(holder: Layer, room: Room):
     """(layer or None, span) of the text or compressed text in each base64 run.
 
     A run that is not text as a whole may begin with letters of something else, so that
     all four alignments are decoded. None: what it holds has no room.
     """
-    for tries in letter_blocks(layer):
+    for tries in letter_blocks(holder):
         for letters in tries:
             whole_text = False
             for skip in range(4):
@@ -329,12 +431,11 @@ def base64_layers(layer: Layer, room: Callable[[], int]):
                 if not run:
                     break
                 data = base64.b64decode(run.translate(STANDARD) + "=" * (-len(run) % 4))
-                plain = readable(data) if skip == 0 else None
-                whole_text = plain is not None
-                if whole_text or PRINTABLE.search(data):
-                    text = plain or lenient(data)
-                    fits = len(text) <= room()
-                    yield Base64Text(letters, skip, text) if fits else None, letters.rest(skip)
+                for at, text in texts_of(data):
+                    whole_text = skip == 0 and len(text.encode()) == len(data)
+                    room.chars += 4 * len(text)
+                    layer = Base64Text(letters, skip, at, text)
+                    yield layer, layer.span(0, len(text))
                 if whole_text:
                     break
                 yield from byte_layers(data, lambda at: letters.rest(skip + at // 3 * 4), room)
@@ -342,21 +443,52 @@ def base64_layers(layer: Layer, room: Callable[[], int]):
                 break
 
 
-def byte_layers(data: bytes, span_from: Callable[[int], tuple[int, int]], room: Callable[[], int]):
-    """(layer or None, span) of wide text and compressed text in bytes."""
+def byte_layers(
+    data: bytes,
+    span_from: Callable[[int], tuple[int, int]],
+    room: Room,
+    source: Callable[[], Iterator[bytes]] | None = None,
+    at: int = 0,
+):
+    """(layer or None, span) of wide text and compressed text in bytes.
+
+    ``source`` opens the stream in which ``data`` is the window at ``at``, if others
+    follow: compressed bytes that go on behind the window are read from there.
+    """
+
+    def plain(data: bytes, span: tuple[int, int]):
+        for _, text in texts_of(data):
+            room.chars += 4 * len(text)
+            yield Layer(text, [0], [(*span, 0)]), span
+
     thin = narrowed(data)
-    if thin != data and PRINTABLE.search(thin):
-        text, span = shown(lenient(thin)), span_from(0)
-        yield Layer(text, [0], [(*span, 0)]) if len(text) <= room() else None, span
+    if thin != data:
+        yield from plain(thin, span_from(0))
+    done = 0
     for start in sorted({0, *(m.start() for m in MAGIC.finditer(data))}):
+        if start < done or (source and start and start >= len(data) - OVERLAP):
+            continue  # read already, or in the next window too
         span = span_from(start)
+
+        def here(start=start) -> Feed:
+            return Feed(blocks_of(data, start))
+
+        def further(start=start) -> Feed:
+            return Feed(skipped(source(), at + start))
+
         try:
-            # Bytes in bytes shrink by a header each, or the room for them runs out.
-            inner, left = data[start:], room()
-            while (opened := inflated(inner, left)) is not None and opened != inner:
-                inner, plain, left = opened, readable(opened), left - len(opened)
-                if plain is not None:
-                    yield Layer(plain, [0], [(*span, 0)]), span
+            for opened in (here, further) if source else (here,):
+                feed = opened()
+                for place, window, more in windows(room.metered(inflated(feed))):
+                    done = max(done, start + feed.taken) if window and opened is here else done
+                    key = (hashlib.sha1(window).digest(), span)
+                    if not window or key in room.seen:
+                        continue
+                    room.seen.add(key)
+                    yield from plain(window, span)
+                    again = (lambda opened=opened: inflated(opened())) if more else None
+                    yield from byte_layers(window, lambda _, span=span: span, room, again, place)
+                if not feed.cut:
                     break
         except OverflowError:
             yield None, span
@@ -368,40 +500,47 @@ def changed_span(layer: Layer) -> tuple[int, int]:
     return min(a for a, _ in decoded), max(b for _, b in decoded)
 
 
-def layers_in(layer: Layer, room: Callable[[], int]):
+def layers_in(layer: Layer, room: Room):
     """(layer or None, span) of all that is encoded in one layer."""
     escapes = (("%", URL_ESCAPES, url_parts), ("\\", UNICODE_ESCAPES, unicode_parts))
     for mark, pattern, decode in (*escapes, ("&#", UNICODE_ESCAPES, unicode_parts)):
         if mark in layer.text and (child := replaced(layer, pattern, decode)):
-            yield child if len(child.text) <= room() else None, changed_span(child)
+            fits = len(child.text) <= room.chars
+            if fits:
+                room.chars -= len(child.text)
+            yield child if fits else None, changed_span(child)
     yield from base64_layers(layer, room)
 
 
-def spans_of(text: str, max_chars: int = MAX_LAYER_CHARS) -> tuple[list, list]:
-    """(base, all): the text's own spans, and these with the mapped ones of all layers."""
+def spans_of(text: str, max_chars: int | None = None) -> tuple[list, list]:
+    """(base, all): the text's own spans, and these with the mapped ones of all layers.
+
+    ``max_chars`` bounds layers and decompressed bytes further, beside four times the text.
+    """
 
     def ordered(spans):
         return sorted(set(spans), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
     base = scan(text)
-    found = list(base)
-    left = max_chars + 4 * len(text)
-    work, seen = [whole(text)] if text else [], set()
+    found = set(base)
+    own = 4 * len(text)
+    room = Room(MAX_LAYER_CHARS + own, MAX_INFLATED)
+    if max_chars is not None:
+        room = Room(max_chars + own, max_chars + own)
+    # One layer of each depth is held at a time.
+    work, seen = [layers_in(whole(text), room)] if text else [], set()
     while work:
-        layer = work.pop()
-        for child, span in layers_in(layer, lambda: left):
-            if child is None:
-                found.append(("unopened", *span))
-                continue
-            if not child.text:
-                continue
+        child, span = next(work[-1], (None, None))
+        if span is None:
+            work.pop()
+        elif child is None:
+            found.add(("unopened", *span))
+        elif child.text:
             key = (hashlib.sha1(child.text.encode("utf-8", "replace")).digest(), span)
-            if key in seen:
-                continue
-            seen.add(key)
-            left -= len(child.text)
-            found += [(kind, *child.span(a, b)) for kind, a, b in scan(child.text)]
-            work.append(child)
+            if key not in seen:
+                seen.add(key)
+                found.update((kind, *child.span(a, b)) for kind, a, b in scan(child.text))
+                work.append(layers_in(child, room))
     return ordered(base), ordered(found)
 
 
