@@ -7,7 +7,7 @@ import pytest
 
 from tests.llm.data import TEXTS, documents, empty
 from tidemark.llm import packing as P
-from tidemark.llm.tokens import Encoder
+from tidemark.llm.tokens import Encoder, tokenizer_path
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +30,19 @@ def test_ids_equal_the_library(encoder):
         assert a.tolist() == want and b.tolist() == want
 
 
+def test_added_tokens_are_those_of_a_fresh_tokenizer():
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(tokenizer_path())
+    rng = random.Random(5)
+    parts = ["<|endoftext|>", "<|endof", "text|>", " ", "\n", "word", " the", "é"]
+    texts = ["a <|endoftext|> b", "a<|endoftext|>b", "<|endoftext|>", "a <|endof text|> b"]
+    texts += ["".join(rng.choices(parts, k=rng.randrange(1, 12))) for _ in range(500)]
+    want = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 220, 50256, 275]
+    assert [ids.tolist() for ids in Encoder().batches(texts)] == want
+
+
 @pytest.mark.parametrize("n", [1, 7, 8, 9, 16, 17])
 def test_only_the_first_piece_is_short(n):
     got = P.cut(n, 8)

@@ -4,7 +4,8 @@ A byte-level vocabulary's pre-tokenizer starts a token at each single space or l
 end between two words, and never lets one reach over it. So a text whose words stand
 one space or one line end apart is cut there, each word with the character before it
 is given to the library once per worker, and the words' ids are strung together. Any
-other text is given to the library whole. The memory for words is bounded and starts
+other text, and one that holds the string of an added token, such as an end-of-text
+mark, is given to the library whole. The memory for words is bounded and starts
 anew when it is full.
 """
 
@@ -46,14 +47,14 @@ def words_of(text: str) -> list[str] | None:
 
 
 class Encoder:
-    """Encodes with a vocabulary file; special tokens' strings are ordinary text."""
+    """Encodes with a vocabulary file, as the library does with its defaults."""
 
     def __init__(self, path: str | None = None, remembered: int = REMEMBERED) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or tokenizer_path())
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.remembered = remembered
         vocabulary = self.tokenizer.get_vocab()
         # A token of the byte alphabet has one character per byte.
@@ -94,7 +95,7 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text; new words of all texts are learnt together."""
-        cut = [words_of(t) for t in texts]
+        cut = [None if any(x in t for x in self.added) else words_of(t) for t in texts]
         words = list(chain.from_iterable(w for w in cut if w))
         at = list(map(self.place.get, words))
         if None in at:
