@@ -91,6 +91,46 @@ def test_scores_equal_brute_force(spark, sizes):
         assert abs(a[6] - b[6]) < 5e-4 * a[2]
 
 
+def test_a_stranger_with_the_same_hash_is_not_a_known_3_gram(monkeypatch):
+    """At few bits 3-grams that were not learnt get counts, and so do some whose 2-grams have none."""
+    monkeypatch.setattr(M, "HASH_BITS", 12)
+    monkeypatch.setattr(M, "_KEPT", np.uint64(0xFFF << 52), raising=False)
+    rng = np.random.default_rng(1)
+    words = np.sort(rng.integers(1, 2**63, 60).astype(np.uint64))
+    sizes = np.full(40, 20, "<u4")
+    tokens = rng.integers(0, 60, 800).astype(np.uint32)
+    learn = (np.arange(40) % 4 > 0).astype(np.uint8)
+    chunk = M.Chunk(learn.tobytes(), sizes.tobytes(), words.tobytes(), M.packed(tokens))
+    grams = chunk.grams()
+    suffix = M.suffixes(chunk, grams)
+    totals = []
+    for g in grams:  # what the shards answer
+        _, place = np.unique(g.hashes, return_inverse=True)
+        totals.append(np.bincount(place, g.counts).astype(np.int64)[place])
+    two, three = totals[1][grams[1].by_key], totals[2][grams[2].by_key]
+    stranger = (three > 0) & ((two[grams[2].keys // 60] == 0) | (two[suffix] == 0))
+    assert stranger.any()
+    v, n = int((grams[0].counts > 0).sum()), int(grams[0].counts.sum())
+    trie = M.trie_of(chunk, grams, suffix, totals, v, n, (8.0, 2.0))
+    ids = trie.ids[1].all()
+    assert (ids[1:] > ids[:-1]).all()
+    kept = (three > 0) & ~stranger
+    a, b = grams[1].keys // 60, grams[1].keys % 60
+    entry = trie.bigram(a, b)
+    prefix = grams[2].keys // 60
+    found = trie.trigram(entry[prefix[kept]], b[prefix[kept]], entry[suffix[kept]])
+    assert found.tolist() == list(range(kept.sum()))
+    assert np.isfinite(M.token_logs(chunk, grams, suffix, trie)).all()
+
+
+def test_longer_grams_meet_by_all_bits():
+    words = np.arange(1, 200, dtype=np.uint64) << np.uint64(40)
+    tokens = np.random.default_rng(2).integers(0, 199, 5000).astype(np.uint32)
+    chunk = M.Chunk(b"\1", np.array([5000], "<u4").tobytes(), words.tobytes(), M.packed(tokens))
+    for g in chunk.grams()[1:]:
+        assert (g.hashes & np.uint64(0xFFFF)).any()
+
+
 def test_nothing_to_learn_from(spark):
     rows = M.scored(documents(spark), F.lit(False)).collect()
     assert {(r["base_score"], r["score"], r["train_tokens"], r["n_known"]) for r in rows} == {(0.0, 0.0, 0, 0)}

@@ -16,8 +16,8 @@ shorter one. How the counts get to the texts:
    documents are scored by successor search.
 
 Chunks and shards are bounded, and their numbers follow the input; raise both sizes
-with the executors' memory, so that lists stay long. Words meet by 64-bit hashes, longer
-n-grams by ``HASH_BITS``.
+with the executors' memory, so that lists stay long. Words and longer n-grams meet by
+64-bit hashes.
 
 Defined results: a null or empty text is its end alone; a first word has no context; no
 training text gives every word the probability one; rows that repeat are scored (and
@@ -46,11 +46,8 @@ MU = (256.0, 4.0)
 END = xxhash.xxh64_intdigest(b"\n")
 #: Quantised log10 probabilities: 16 bits from 0 down to this.
 LEAST = -32.0
-#: Bits of the hashes by which 2- and 3-grams meet; single words have 64. Of n distinct
-#: ones a share of n / 2**bits meets a stranger: give more than 10**11 of them more bits.
-HASH_BITS = 48
-_REST = np.uint64(64 - HASH_BITS)
-_KEPT = np.uint64(((1 << HASH_BITS) - 1) << (64 - HASH_BITS))
+#: Bits of the hashes by which 2- and 3-grams meet; single words have 64.
+HASH_BITS = 64
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -392,7 +389,7 @@ class Chunk:
             hashed = (hashes[left] * _M1 ^ (self.words[right] + _M2)) * _M2
             hashed ^= hashed >> np.uint64(29)
             hashed *= _M1
-            hashed &= _KEPT
+            hashed &= np.uint64((1 << HASH_BITS) - 1 << 64 - HASH_BITS)
             by_hash = np.argsort(hashed, kind="stable")
             by_key = np.empty_like(by_hash)
             by_key[by_hash] = np.arange(len(by_hash))
@@ -419,9 +416,7 @@ def sent_grams(stored: DataFrame, shards: int) -> DataFrame:
                     rows = [
                         (
                             s,
-                            EliasFano.of(
-                                (g.hashes[a:b] - g.hashes[a]) >> (_REST if level else np.uint64(0))
-                            ).to_bytes(),
+                            EliasFano.of(g.hashes[a:b] - g.hashes[a]).to_bytes(),
                             g.hashes[a].tobytes() + packed(g.counts[a:b]),
                         )
                         for s, (a, b) in enumerate(zip(borders[:-1], borders[1:]))
@@ -452,8 +447,7 @@ def summed(table: pa.Table) -> pa.Table:
     for level in np.unique(levels):
         at = np.flatnonzero(levels == level)
         hashes = [
-            (EliasFano.from_bytes(rows["grams"][i]).all() << (_REST if level else np.uint64(0)))
-            + np.frombuffer(rows["counts"][i], np.uint64, 1)
+            EliasFano.from_bytes(rows["grams"][i]).all() + np.frombuffer(rows["counts"][i], np.uint64, 1)
             for i in at
         ]
         borders = np.cumsum([len(h) for h in hashes])[:-1]
@@ -500,6 +494,8 @@ def trie_of(
     p1 = (one + 0.5) / (n + 0.5 * (v + 1))
     two = totals[1][grams[1].by_key]  # by key
     three = totals[2][grams[2].by_key]
+    # A learnt 3-gram has learnt parts: one without them has met a stranger's hash.
+    three = np.where((two[grams[2].keys // size] > 0) & (two[suffix] > 0), three, 0)
     kept2, kept3 = np.flatnonzero(two), np.flatnonzero(three)
     a, b = grams[1].keys // size, grams[1].keys % size
     p2 = (two + mu[0] * p1[b]) / (one[a] + mu[0])
