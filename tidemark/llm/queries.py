@@ -8,7 +8,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import cotrain, decontaminate, hostrules, langid, lmscore, packing, rangecoder, secrets, simhash, sqltext, warc
+from tidemark.llm import (
+    cotrain,
+    decontaminate,
+    filteraudit,
+    hostrules,
+    langid,
+    lmscore,
+    packing,
+    rangecoder,
+    secrets,
+    simhash,
+    sqltext,
+    warc,
+)
 from tidemark.llm.common import saved
 
 
@@ -134,6 +147,10 @@ def op10_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_warc_transactions": op2_warc_transactions,
@@ -145,10 +162,12 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_range_coded_ids": op9_range_coded_ids,
     "op10_host_quality_rules": op10_host_quality_rules,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 SQL = {
     "op2_warc_transactions": sqltext.REVISITS.strip(),
     "op6_benchmark_decontamination": sqltext.DECONTAMINATION.strip(),
     "op10_host_quality_rules": sqltext.HOST_RULES.strip(),
+    "op13_filter_audit": sqltext.FILTER_AUDIT.strip(),
 }

@@ -91,3 +91,41 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN original END AS refers_to
 FROM p JOIN o USING (payload_digest)
 """
+
+FILTER_AUDIT = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, {WORDS} AS w FROM documents
+), fails AS (
+  SELECT doc_id, part, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+    100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS c,
+    regexp_matches(text, '[#$%&*|]') AS d,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e
+  FROM w
+), marks AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, [a, b, c, d, e] AS bad, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    count(*) AS n
+  FROM fails LEFT JOIN marks USING (doc_id) GROUP BY ALL
+), orders AS (
+  SELECT '' AS o UNION ALL
+  SELECT o || x FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS v(x) WHERE NOT contains(o, x)
+), steps AS (
+  SELECT o, k, ascii(o[k]) - 64 AS own, [ascii(x) - 64 FOR x IN string_split(o[1 : k - 1], '') IF x <> ''] AS before
+  FROM orders, range(1, 6) AS r(k) WHERE length(o) = 5
+), m AS (
+  SELECT part, o, k, own, n, good, toxic, bad[own] AS here,
+    len([1 FOR x IN before IF bad[x]]) > 0 AS gone, len([1 FOR x IN bad IF x]) = 1 AS once
+  FROM steps, f
+), found AS (
+  SELECT part, o AS filter_order, CAST(k AS INTEGER) AS step, own,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND NOT here), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND here), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (gone AND here), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (here AND once), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND here AND good), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND here AND toxic), 0) AS BIGINT) AS toxic_lost
+  FROM m GROUP BY part, o, k, own
+)
+SELECT * EXCLUDE (own), CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM found
+"""
