@@ -141,8 +141,8 @@ def all_orders(cells: DataFrame) -> DataFrame:
     )
     spark = cells.sparkSession
     limit, needed = int(spark.conf.get(ROW_LIMIT)), PREFIXES * parts.count()
-    if 0 <= limit < needed:
-        spark.conf.set(ROW_LIMIT, str(needed))
+    if 0 <= limit <= needed:
+        spark.conf.set(ROW_LIMIT, str(needed + 1))
     steps = saved(spark.sql(ORDERS, args={"letters": LETTERS}, parts=parts), "orders")
     letter = F.substring("filter_order", F.col("step"), F.lit(1))
     shapley = steps.groupBy("part", letter.alias("letter")).agg(F.sum("removed").alias("shapley"))

@@ -16,6 +16,7 @@ from tidemark.llm import (
     langid,
     lmscore,
     packing,
+    piecebpe,
     rangecoder,
     secrets,
     simhash,
@@ -147,6 +148,17 @@ def op10_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_sentencepiece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piecebpe.Model(spark)
+    rows = piecebpe.decoded(piecebpe.encoded(table(spark, sf_dir, "documents"), model), model)
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        F.expr("octet_length(ids) DIV 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("data", 256).alias("decoded_sha256"),
+    )
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filteraudit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -162,6 +174,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_range_coded_ids": op9_range_coded_ids,
     "op10_host_quality_rules": op10_host_quality_rules,
+    "op11_sentencepiece_bpe": op11_sentencepiece_bpe,
     "op13_filter_audit": op13_filter_audit,
 }
 
