@@ -32,7 +32,7 @@ def test_query_equals_sql(spark, con, name):
 def test_all_are_registered():
     names = set(entry.queries())
     assert {"pipeline", *Q.QUERIES} <= names
-    assert {int(n[2:].split("_")[0]) for n in Q.QUERIES} == set(range(1, 11)) | {11, 13}
+    assert {int(n[2:].split("_")[0]) for n in Q.QUERIES} == set(range(1, 11)) | {11, 12, 13}
     assert set(Q.SQL) <= set(entry.oracle_sql())
 
 

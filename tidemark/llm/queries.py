@@ -15,6 +15,7 @@ from tidemark.llm import (
     hostrules,
     langid,
     lmscore,
+    merkle,
     packing,
     piecebpe,
     rangecoder,
@@ -159,6 +160,29 @@ def op11_sentencepiece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    # Tampering adds one to n_chars; a decimal has room for it.
+    more = (F.col("n_chars").cast("decimal(38,0)") + 1).cast("decimal(38,0)")
+    claimed = merkle.leaf_of(*fields[:3], more, fields[4])
+    leaves = docs.select(
+        F.col("lang").alias("part"),
+        F.col("doc_id").alias("id"),
+        merkle.leaf_of(*fields).alias("leaf"),
+        F.when(remainder(7) == 0, claimed).alias("claimed"),
+    )
+    return merkle.checked(merkle.proofs(leaves)).select(
+        F.col("id").alias("doc_id"),
+        merkle.text_of(F.col("leaf")).alias("leaf"),
+        "subroot",
+        "root",
+        F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"),
+        F.col("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filteraudit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -175,6 +199,7 @@ QUERIES = {
     "op9_range_coded_ids": op9_range_coded_ids,
     "op10_host_quality_rules": op10_host_quality_rules,
     "op11_sentencepiece_bpe": op11_sentencepiece_bpe,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -182,5 +207,6 @@ SQL = {
     "op2_warc_transactions": sqltext.REVISITS.strip(),
     "op6_benchmark_decontamination": sqltext.DECONTAMINATION.strip(),
     "op10_host_quality_rules": sqltext.HOST_RULES.strip(),
+    "op12_merkle_manifest": sqltext.MERKLE.strip(),
     "op13_filter_audit": sqltext.FILTER_AUDIT.strip(),
 }

