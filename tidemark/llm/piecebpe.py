@@ -24,8 +24,10 @@ from __future__ import annotations
 import base64
 import struct
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
@@ -33,7 +35,7 @@ from pyspark.sql.types import BinaryType
 VOCABULARY = "byte_bpe_50k.tiktoken"
 MAX_VOCABULARY = 64 << 20
 #: Pre-tokens that a worker remembers; longer ones are encoded anew each time.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 REMEMBERED_LENGTH = 64
 #: Not of the byte alphabet, so no token has this name.
 UNKNOWN = "⁇"
@@ -104,13 +106,23 @@ class Codec:
 
         self.model = SentencePieceProcessor(model_proto=model)
         self.cut = regex.compile(pattern).findall
-        self.character = {b: c for b, c in enumerate(byte_alphabet())}
-        inverse = {c: b for b, c in self.character.items()}
-        pieces = [self.model.id_to_piece(k) for k in range(self.model.get_piece_size() - 1)]
-        self.whole = {piece: k for k, piece in enumerate(pieces)}
-        self.bytes_of = np.array([bytes(map(inverse.__getitem__, p)) for p in pieces], object)
+        self.character = dict(enumerate(byte_alphabet()))
         self.known: dict[str, bytes] = {}
 
+    def pieces(self) -> list[str]:
+        return [self.model.id_to_piece(k) for k in range(self.model.get_piece_size() - 1)]
+
+    @cached_property
+    def whole(self) -> dict[str, int]:
+        """The id of each piece."""
+        return {piece: k for k, piece in enumerate(self.pieces())}
+
+    @cached_property
+    def bytes_of(self) -> np.ndarray:
+        """The bytes of each id."""
+        inverse = {c: b for b, c in self.character.items()}
+        return np.array([bytes(map(inverse.__getitem__, p)) for p in self.pieces()], object)
+
     def learn(self, words: list[str]) -> dict[str, bytes]:
         """The ids of each word, as little-endian unsigned 32-bit integers."""
         mapped = [w.encode().decode("latin-1").translate(self.character) for w in words]
@@ -158,15 +170,14 @@ class Model:
 
 def mapped(model: Model, step: str):
     """A column function that applies a method of the codec to each value."""
-    import pandas as pd
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         apply = getattr(model.codec(), step)
         for values in batches:
-            yield pd.Series([apply(v) for v in values], dtype=object)
+            yield pa.array([apply(v.as_py()) for v in values], pa.binary())
 
-    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, BinaryType())
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, BinaryType())
 
 
 def encoded(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
