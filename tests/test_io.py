@@ -1,5 +1,4 @@
 import datetime as dt
-import os
 import time
 
 import pytest
@@ -10,7 +9,6 @@ from pyspark.sql import types as T
 from tidemark.sources import readers, sinks
 from tidemark.streaming import categorize as SC
 from tidemark.streaming import latest as SL
-from tidemark.streaming import slots
 from tidemark.operators.chat import keyword_scorer
 from tidemark.session import freeze, shared_dir
 
@@ -115,13 +113,58 @@ def test_tables_views_and_required_columns(spark):
     bad = spark.createDataFrame([(None, D(2026, 1, 2))], "c string, t timestamp_ntz")
     with pytest.raises(Exception, match="must not be NULL"):
         sinks.append(bad, "chatbot.cats", required=["c"])
-    sinks.save_view(spark.table("chatbot.cats").where("c = 'x'"), "only_x")
-    assert spark.table("only_x").count() == 1
     sinks.save_table(spark.range(3), "chatbot.numbers")
     sinks.save_table(spark.range(4), "chatbot.numbers")
     assert spark.table("chatbot.numbers").count() == 4
 
 
+def test_a_view_is_there_in_another_session(spark):
+    sinks.ensure_schema(spark, "views")
+    sinks.save_table(spark.range(5), "views.numbers")
+    sinks.save_view(spark, "views.few", "SELECT * FROM views.numbers WHERE id < 2")
+    assert spark.newSession().table("views.few").count() == 2
+    sinks.save_view(spark, "views.few", "SELECT id, id + 1 AS next FROM views.numbers")
+    assert spark.newSession().table("views.few").columns == ["id", "next"]
+    # A view follows its table, also when that is replaced.
+    sinks.save_table(spark.range(7), "views.numbers")
+    assert spark.newSession().table("views.few").count() == 7
+
+
+def tables_of(spark, db):
+    return {t.name for t in spark.catalog.listTables(db)}
+
+
+def test_a_write_that_fails_leaves_the_old_table(spark):
+    sinks.ensure_schema(spark, "swap")
+    sinks.save_table(spark.range(100), "swap.t")
+    # Most tasks write their rows; the one with the last row fails.
+    broken = spark.range(0, 100, 1, 8).select(
+        F.when(F.col("id") == 99, F.raise_error(F.lit("half-way"))).otherwise(F.col("id")).cast("long").alias("id")
+    )
+    with pytest.raises(Exception, match="half-way"):
+        sinks.save_table(broken, "swap.t")
+    assert spark.table("swap.t").count() == 100 and tables_of(spark, "swap") == {"t"}
+    with pytest.raises(Exception, match="half-way"):
+        sinks.save_table(broken, "swap.new")
+    assert tables_of(spark, "swap") == {"t"}
+
+
+def test_replacing_a_table(spark):
+    sinks.ensure_schema(spark, "swap2")
+    sinks.save_table(spark.range(3), "swap2.t")
+    # From itself, with other columns.
+    sinks.save_table(spark.table("swap2.t").selectExpr("id", "id * 2 AS twice"), "swap2.t")
+    assert sorted(map(tuple, spark.table("swap2.t").collect())) == [(0, 0), (1, 2), (2, 4)]
+    with pytest.raises(Exception, match="already exists"):
+        sinks.save_table(spark.range(1), "swap2.t", replace=False)
+    # A swap that ended between its two steps is undone first.
+    spark.sql("ALTER TABLE swap2.t RENAME TO swap2.t__replaced")
+    broken = spark.range(1).select(F.raise_error(F.lit("again")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="again"):
+        sinks.save_table(broken, "swap2.t")
+    assert spark.table("swap2.t").count() == 3 and tables_of(spark, "swap2") == {"t"}
+
+
 PREDICTIONS = (
     "customer_id string, prediction_date date, "
     "predicted_target struct<value:double,lower_bound:double,upper_bound:double>"
@@ -185,33 +228,53 @@ def test_all_actions_see_the_same_json_lines(spark, tmp_path):
             action()
 
 
-def test_rerun_of_a_day_does_not_duplicate(spark, tmp_path):
-    path = str(tmp_path / "daily")
+CHAT = "timestamp timestamp_ntz, userEmail string, userMessage string, chatbotMessage string"
+FEATS = "entity_id string, feature_timestamp timestamp_ntz, v int"
+
+
+def days_of(spark, table):
+    return {str(r.day): r["count"] for r in spark.table(table).groupBy("day").count().collect()}
+
+
+def test_rerun_of_a_day_does_not_duplicate(spark):
+    sinks.ensure_schema(spark, "daily")
     rows = [(D(2026, 1, 1, h), f"u{h}", "tion", "x") for h in range(3)]
     rows += [(D(2026, 1, 2, h), f"u{h}", "tion", "x") for h in range(2)]
-    chat = spark.createDataFrame(
-        rows, "timestamp timestamp_ntz, userEmail string, userMessage string, chatbotMessage string"
-    )
+    chat = spark.createDataFrame(rows, CHAT)
     scorer = keyword_scorer({"a": "tion"})
     for run in ("2026-01-01 20:00:00", "2026-01-02 20:00:00", "2026-01-02 20:00:00"):
-        SC.daily_increment(chat, run, scorer, path)
-    counts = dict(map(tuple, spark.read.parquet(path).groupBy("day").count().collect()))
-    assert counts == {dt.date(2026, 1, 1): 3, dt.date(2026, 1, 2): 2}
+        SC.daily_increment(chat, run, scorer, "daily.done")
+    assert days_of(spark, "daily.done") == {"2026-01-01": 3, "2026-01-02": 2}
 
 
-FEATS = "entity_id string, feature_timestamp timestamp_ntz, v int"
-
-
-def test_a_rerun_without_rows_clears_its_day(spark, tmp_path):
-    path = str(tmp_path / "daily")
-    schema = "timestamp timestamp_ntz, userEmail string, userMessage string, chatbotMessage string"
-    chat = spark.createDataFrame([(D(2026, 1, d, 1), "u", "tion", "x") for d in (1, 2)], schema)
+def test_a_rerun_without_rows_clears_its_day(spark):
+    sinks.ensure_schema(spark, "daily2")
+    chat = spark.createDataFrame([(D(2026, 1, d, 1), "u", "tion", "x") for d in (1, 2)], CHAT)
     scorer = keyword_scorer({"a": "tion"})
     for run in ("2026-01-01 20:00:00", "2026-01-02 20:00:00"):
-        SC.daily_increment(chat, run, scorer, path)
-    SC.daily_increment(chat.limit(0), "2026-01-02 20:00:00", scorer, path)
-    days = [r.day for r in spark.read.parquet(path).select("day").collect()]
-    assert days == [dt.date(2026, 1, 1)]
+        SC.daily_increment(chat, run, scorer, "daily2.done")
+    SC.daily_increment(chat.limit(0), "2026-01-02 20:00:00", scorer, "daily2.done")
+    assert days_of(spark, "daily2.done") == {"2026-01-01": 1}
+    # A first run without rows makes an empty table.
+    SC.daily_increment(chat.limit(0), "2026-01-02 20:00:00", scorer, "daily2.none")
+    assert days_of(spark, "daily2.none") == {}
+
+
+def test_two_days_in_one_run(spark):
+    sinks.ensure_schema(spark, "daily3")
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+
+    def save(rows, days):
+        df = spark.createDataFrame(rows, "t timestamp_ntz, v int")
+        sinks.overwrite_days(df, "daily3.t", "t", days)
+
+    save([(D(2026, 1, d), d) for d in (1, 2, 3)], ["2026-01-01", "2026-01-02", "2026-01-03"])
+    # Day 2 changes, day 3 has nothing more, day 1 is not of this run.
+    save([(D(2026, 1, 2, 5), 8), (D(2026, 1, 2, 6), 9), (D(2026, 1, 1), 7)], ["2026-01-02", "2026-01-03"])
+    assert sorted(r.v for r in spark.table("daily3.t").collect()) == [1, 8, 9]
+    assert {r[0] for r in spark.sql("SHOW PARTITIONS daily3.t").collect()} == {"day=2026-01-01", "day=2026-01-02"}
+    assert spark.conf.get(mode) == before
 
 
 def arrivals(spark, folder, schema):
@@ -232,40 +295,35 @@ def test_stream_keeps_the_newest_version(spark, tmp_path):
 
     def sync():
         SL.sync_once(stream(), "entity_id", "feature_timestamp", sink, check)
-        return {r.entity_id: r.v for r in SL.read_latest_view(spark, sink).collect()}
+        view = SL.read_latest_view(spark, sink, "entity_id", "feature_timestamp")
+        return {r.entity_id: r.v for r in view.collect()}
 
     with pytest.raises(FileNotFoundError):
-        SL.read_latest_view(spark, sink)
-    arrive(("a", D(2024, 1, 2), 1), ("b", D(2024, 1, 1), 2), ("a", D(2024, 1, 1), 0))
+        SL.read_latest_view(spark, sink, "entity_id", "feature_timestamp")
+    arrive(("a", D(2024, 1, 2), 1), ("b", D(2024, 1, 1), 2), ("a", D(2024, 1, 1), 0), ("c", None, 4))
     assert sync() == {"a": 1, "b": 2}
     arrive(("a", D(2024, 1, 1, 12), 9), ("9999", D(2024, 1, 3), 5), ("b", D(2024, 1, 5), 6))
     assert sync() == {"a": 1, "b": 6, "9999": 5}
     assert sync() == {"a": 1, "b": 6, "9999": 5}
 
 
-def test_the_view_does_not_grow_with_the_batches(spark, tmp_path):
+def test_a_batch_writes_what_it_touches(spark, tmp_path):
+    """Of 20 batches, the first has 2,000 entities, the others one or two."""
     source, sink, check = (str(tmp_path / n) for n in ("in", "view", "check"))
     arrive, stream = arrivals(spark, source, FEATS)
-    for k in range(20):
-        arrive(("a", D(2024, 1, 1) + dt.timedelta(hours=k), k), ("b", D(2023, 1, 1), k % 3))
+    arrive(*[(f"e{k}", D(2023, 1, 1), k) for k in range(2000)])
+    for k in range(1, 20):
+        late = ("e5", D(2022, 1, 1), -k)
+        arrive((f"e{k % 3}", D(2024, 1, 1) + dt.timedelta(hours=k), k), *[late] * (k % 2))
     SL.sync_once(stream(), "entity_id", "feature_timestamp", sink, check)
-    assert sorted(os.listdir(sink)) == ["current", "slot0", "slot1"]
-    for slot in ("slot0", "slot1"):
-        assert spark.read.parquet(f"{sink}/{slot}").count() == 2
-    assert {r.entity_id: r.v for r in SL.read_latest_view(spark, sink).collect()} == {"a": 19, "b": 2}
-
-
-def test_a_repeated_batch_finds_the_table_before_it(spark, tmp_path):
-    folder = str(tmp_path / "t")
-    schema = spark.range(1).schema
-    for batch, n in ((0, 1), (1, 2), (1, 3)):
-        assert slots.before(spark, folder, schema, batch).count() == (0 if batch == 0 else 1)
-        slots.replace(spark.range(n), folder, batch)
-    assert slots.current(spark, folder).count() == 3
-    assert slots.before(spark, folder, schema, 2).count() == 3
-
-
-CHAT = "timestamp timestamp_ntz, userEmail string, userMessage string, chatbotMessage string"
+    log = spark.read.parquet(sink)
+    written = {r.batch_id: r["count"] for r in log.groupBy("batch_id").count().collect()}
+    assert written[0] == 2000 and sum(written.values()) == 2000 + 19 + 10
+    size = {b: sum(f.stat().st_size for f in (tmp_path / "view" / f"batch_id={b}").glob("*.parquet")) for b in written}
+    assert max(v for b, v in size.items() if b) < size[0] / 5
+    view = SL.read_latest_view(spark, sink, "entity_id", "feature_timestamp").collect()
+    got = {r.entity_id: r.v for r in view}
+    assert len(view) == 2000 and [got[f"e{k}"] for k in (0, 1, 2, 5)] == [18, 19, 17, 5]
 
 
 def test_stream_categorize_keeps_every_row(spark, tmp_path):
@@ -279,24 +337,34 @@ def test_stream_categorize_keeps_every_row(spark, tmp_path):
 
     # One time and address, two messages; and one row that comes twice.
     arrive(
-        (D(2026, 1, 5), "a", "jazz", "x"),
-        (D(2026, 1, 5), "a", "jazz", "x"),
+        (D(2026, 1, 5, 0, 0, 0, 123456), "a", "jazz", "x"),
+        (D(2026, 1, 5, 0, 0, 0, 123456), "a", "jazz", "x"),
         (D(2026, 1, 5), "a", "other", "x"),
         (D(2026, 1, 5, 1), "b", "none", None),
+        (None, "n", "jazz", "x"),
+        (None, "n", "jazz", "x"),
     )
-    first = [("a", "その他"), ("a", "音楽"), ("b", "その他")]
+    first = [("a", "その他"), ("a", "音楽"), ("b", "その他"), ("n", "音楽")]
     assert run() == first
-    # A repeat in a later batch, a row within the watermark, and one that is late.
+    # A repeat in a later batch, a row within the watermark, and two that are late and equal.
     arrive(
         (D(2026, 1, 5, 1), "b", "none", None),
         (D(2026, 1, 4, 12), "c", "jazz", "x"),
         (D(2026, 1, 1), "d", "jazz", "x"),
+        (D(2026, 1, 1), "d", "jazz", "x"),
     )
     assert run() == sorted([*first, ("c", "音楽")])
-    assert [r.userEmail for r in SC.read_late(spark, sink).collect()] == ["d"]
+    assert [r.userEmail for r in SC.read_late(spark, sink).collect()] == ["d", "d"]
+    times = {r.timestamp for r in SC.read_categories(spark, sink).where("userEmail = 'a'").collect()}
+    assert times == {D(2026, 1, 5), D(2026, 1, 5, 0, 0, 0, 123456)}
     arrive((D(2026, 2, 1), "e", "jazz", "x"))
     run()
-    assert slots.current(spark, f"{sink}/seen").count() == 1
+    # The watermark has passed all but the last row and the one without a time.
+    state = spark.read.format("statestore").option("stateVarName", "seen").load(check)
+    assert state.count() <= 2
+    arrive((D(2026, 1, 5, 1), "b", "none", None))
+    run()
+    assert sorted(r.userEmail for r in SC.read_late(spark, sink).collect()) == ["b", "d", "d"]
 
 
 def test_shared_dir_is_below_the_checkpoint_folder_or_the_warehouse(spark, tmp_path):

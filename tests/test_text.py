@@ -7,6 +7,9 @@ import pytest
 from tidemark.operators import artworks as A
 from tidemark.operators import chat as H
 from tidemark.operators import evaluation as V
+from tidemark.operators import scheduled as J
+
+D = dt.datetime
 
 PAIRS = [
     ("the cat sat on the mat", "the cat sat on the mat"),
@@ -145,3 +148,37 @@ def test_score_objects(spark):
 
 def test_prompt_has_every_category():
     assert all(c in H.PROMPT for c in H.CATEGORIES) and H.OTHER in H.PROMPT
+
+
+def test_scheduled_sql_equals_the_dataframe_form(spark):
+    chat = spark.createDataFrame(
+        [
+            (D(2026, 1, 2, h), f"u{h}", m, "yes")
+            for h, m in enumerate(["a", None, "it's __chatbotMessage__", "d"])
+        ]
+        + [(D(2026, 1, 1, 23, 59), "u8", "b", "no"), (D(2026, 1, 3), "u9", "c", "no")],
+        "timestamp timestamp_ntz, userEmail string, userMessage string, chatbotMessage string",
+    )
+    run = "2026-01-02 20:00:00"
+    want = H.build_prompt(H.daily_rows(chat, run)).collect()
+    got = J.scheduled_prompts(chat, run)
+    # A query holds the variables as they were when it was made.
+    other = J.scheduled_prompts(chat, "2026-01-01 20:00:00", "x", "UTC")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want)) and len(want) == 4
+    assert [r.prompt for r in other.collect()] == []
+    assert J.scheduled_prompts(chat, "2026-01-04 01:00:00", "x", "UTC").first().prompt == "x"
+
+
+def test_hostile_values_stay_values(spark):
+    spark.range(3).write.mode("overwrite").saveAsTable("precious")
+    evil = ["'; DROP TABLE precious; --", "' OR '1' = '1", "{chat} :word", '"""', "\\'"]
+    rows = [(f"u{k}", w) for k, w in enumerate(evil)]
+    chat = spark.createDataFrame(rows, "userEmail string, userMessage string")
+    for user, word in rows:
+        assert [r.userEmail for r in J.messages_of(chat, user, word).collect()] == [user]
+        assert J.messages_of(chat, word, user).collect() == []
+    timed = chat.selectExpr("TIMESTAMP_NTZ'2026-01-02 01:00:00' AS timestamp", "*", "'bot' AS chatbotMessage")
+    for word in evil:
+        got = J.scheduled_prompts(timed, "2026-01-02 20:00:00", word + "__userMessage__")
+        assert {r.prompt for r in got.collect()} == {word + w for w in evil}
+    assert spark.table("precious").count() == 3

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import chat as H
 from tidemark.operators import evaluation as V
-from tidemark.plans.adapters import CATEGORIZED, CHAT, KEYWORDS, RUN_TS, Tables
+from tidemark.operators import scheduled as J
+from tidemark.plans.adapters import CATEGORIZED, CHAT, KEYWORDS, RUN_TS, Tables, database
 from tidemark.plans.registry import query, with_ctes
-from tidemark.session import shared_dir
 from tidemark.streaming import categorize as SC
 
 SCORER = H.keyword_scorer(KEYWORDS)
@@ -51,11 +51,41 @@ def _(t: Tables):
     "daily_increment", with_ctes(CATEGORIZED, select=f"SELECT * FROM categorized {RUN_DAY}")
 )
 def _(t: Tables):
-    """Written by the job, which runs twice, and read back."""
-    target = shared_dir(t.spark, "daily")
+    """Written to a table by the job, which runs twice, and read back."""
+    target = f"{database(t)}.categorized"
     for _run in range(2):
         SC.daily_increment(t.chat(), RUN_TS, SCORER, target)
-    return t.spark.read.parquet(target).drop("day")
+    return t.spark.table(target).drop("day")
+
+
+@query(
+    "scheduled_prompts",
+    with_ctes(
+        CHAT,
+        select=f"""
+SELECT conv_id, turn, "timestamp", replace(replace('{TEMPLATE_SQL}', '{H.USER_MARK}', "userMessage"),
+  '{H.BOT_MARK}', "chatbotMessage") AS prompt
+FROM chat {RUN_DAY}""",
+    ),
+)
+def _(t: Tables):
+    """The scheduled job's SQL, with a session variable for the template and one for the day."""
+    rows = J.scheduled_prompts(t.chat(), RUN_TS)
+    return rows.select("conv_id", "turn", "timestamp", "prompt")
+
+
+@query(
+    "parametrised_search",
+    with_ctes(
+        CHAT,
+        select="""
+SELECT conv_id, turn, "timestamp" FROM chat
+WHERE "userEmail" = 'user7@example.com' AND contains(lower("userMessage"), 'en')""",
+    ),
+)
+def _(t: Tables):
+    found = J.messages_of(t.chat(), "user7@example.com", "EN")
+    return found.select("conv_id", "turn", "timestamp")
 
 
 @query(

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.evaluation import aggregate_metrics
-from tidemark.plans.adapters import RUN_TS, Tables
+from tidemark.plans.adapters import RUN_TS, Tables, database
 from tidemark.plans.registry import query
 from tidemark.plans.retail import predictions
 from tidemark.session import shared_dir
@@ -33,13 +31,6 @@ def exported(t: Tables) -> str:
     return folder
 
 
-def database(t: Tables) -> str:
-    """A new schema of the catalog; its name is not used twice."""
-    name = f"tidemark_{uuid.uuid4().hex}"
-    sinks.ensure_schema(t.spark, name)
-    return name
-
-
 @query("write_csv_export", ORDER_SQL)
 def _(t: Tables):
     return t.spark.read.schema(CSV).option("header", True).csv(exported(t))
@@ -50,13 +41,18 @@ def _(t: Tables):
     return readers.read_csv_shards(t.spark, exported(t) + "/*.csv", CSV)
 
 
-@query("read_first_shard", ORDER_SQL + " ORDER BY o_orderkey LIMIT 100")
+#: Which sixteenth of the range of keys an order is in.
+SHARD = "(o_orderkey * 16) {div} ((SELECT max(o_orderkey) FROM orders) + 1)"
+
+
+@query("read_first_shard", f"{ORDER_SQL} WHERE {SHARD.format(div='//')} = 0")
 def _(t: Tables):
-    """The first of two files holds the first hundred orders."""
+    """One write makes a shard of each sixteenth of the keys; the first is read."""
     folder = shared_dir(t.spark, "shards")
-    first = orders(t).orderBy("o_orderkey").limit(100)
-    sinks.write_csv(first.coalesce(1), folder + "/a")
-    sinks.write_csv(orders(t).coalesce(1), folder + "/b")
+    most = t.raw("orders").agg(F.max("o_orderkey") + 1).scalar()
+    part = F.floor(F.col("o_orderkey") * 16 / most).cast("int")
+    rows = orders(t).withColumn("shard", F.lpad(part.cast("string"), 2, "0"))
+    rows.repartition(16, "shard").write.partitionBy("shard").option("header", True).csv(folder)
     return readers.read_first_shard(t.spark, folder + "/*/*.csv", CSV)
 
 
@@ -123,7 +119,7 @@ def _(t: Tables):
     for run, rows in (("run1", results.limit(1)), ("run2", results)):
         rows.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.text(f"{root}/{run}")
     # The last folder by name; its file has a name of Spark's.
-    last = readers.list_files(t.spark, f"{root}/*/part-*.txt")[-1]
+    last = readers.last_file(t.spark, f"{root}/*/part-*.txt")
     name = last.rpartition("/")[2]
     schema = "aggregationMetric string, " + ", ".join(f"{m} struct<score:double>" for m in metrics)
     found = readers.read_latest(t.spark, root, name, schema)
@@ -135,16 +131,20 @@ def _(t: Tables):
     )
 
 
-@query("list_objects", "SELECT page_id, CAST(strlen(html) AS BIGINT) AS size FROM pages")
+@query(
+    "list_objects",
+    """
+SELECT page_id % 64 AS folder, CAST(sum(strlen(html) + 1) AS BIGINT) AS size FROM pages GROUP BY 1""",
+)
 def _(t: Tables):
-    """The pages as stored objects, one folder each, listed without being read."""
+    """The pages as stored objects in 64 folders, listed without being read."""
     root = shared_dir(t.spark, "objects")
-    rows = t.raw("pages").select("page_id", F.col("html").alias("value"))
-    rows.write.partitionBy("page_id").option("lineSep", "\x00").text(root)
+    rows = t.raw("pages").select((F.col("page_id") % 64).alias("folder"), F.col("html").alias("value"))
+    rows.write.partitionBy("folder").option("lineSep", "\x00").text(root)
     found = readers.list_objects(t.spark, root, "part-*")
-    page = F.regexp_extract("uri", r"page_id=(\d+)", 1).cast("long")
-    # The line end that the writer adds is a byte of the file.
-    return found.select(page.alias("page_id"), (F.col("size") - 1).alias("size"))
+    folder = F.regexp_extract("uri", r"folder=(\d+)", 1).cast("long").alias("folder")
+    # A page has its bytes and the line end that the writer adds.
+    return found.groupBy(folder).agg(F.sum("size").alias("size"))
 
 
 @query("create_typed_table", ORDER_SQL)
@@ -173,10 +173,12 @@ def _(t: Tables):
 
 @query("replace_view", ORDER_SQL + " WHERE o_orderstatus = 'F'")
 def _(t: Tables):
-    name = f"orders_{uuid.uuid4().hex}"
-    sinks.save_view(orders(t), name)
-    sinks.save_view(orders(t).where("o_orderstatus = 'F'"), name)
-    return t.spark.table(name)
+    """A stored view, made twice, and read in another session."""
+    db = database(t)
+    sinks.save_table(orders(t), f"{db}.orders")
+    sinks.save_view(t.spark, f"{db}.done", f"SELECT * FROM {db}.orders")
+    sinks.save_view(t.spark, f"{db}.done", f"SELECT * FROM {db}.orders WHERE o_orderstatus = 'F'")
+    return t.spark.newSession().table(f"{db}.done")
 
 
 @query("insert_select", f"{ORDER_SQL} WHERE o_orderstatus = 'F' UNION ALL {ORDER_SQL}")

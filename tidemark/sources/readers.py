@@ -3,20 +3,39 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match a glob, through the file system of the path, sorted; no content is read."""
+def listed(spark: SparkSession, pattern: str) -> DataFrame:
+    """(path) of the files that match a glob, through the file system of the path.
+
+    No content is read, and the list stays where Spark has it. An error when nothing matches.
+    """
     try:
         listing = spark.read.format("binaryFile").load(pattern).select("path")
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
-            return []
+            raise FileNotFoundError(f"no files match {pattern}") from problem
         raise
-    return sorted(r["path"] for r in listing.collect())
+    return listing
+
+
+def _one_file(spark: SparkSession, pattern: str, pick: Column) -> str:
+    path = listed(spark, pattern).agg(pick).first()[0]
+    if path is None:
+        raise FileNotFoundError(f"no files match {pattern}")
+    return path
+
+
+def first_file(spark: SparkSession, pattern: str) -> str:
+    """The first path that matches a glob, in the order of the paths."""
+    return _one_file(spark, pattern, F.min("path"))
+
+
+def last_file(spark: SparkSession, pattern: str) -> str:
+    return _one_file(spark, pattern, F.max("path"))
 
 
 def _csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> DataFrame:
@@ -60,17 +79,14 @@ def read_csv_typed(
 
 def read_csv_shards(spark: SparkSession, glob: str, schema: T.StructType | str) -> DataFrame:
     """All files of a glob as one table; an error when nothing matches."""
-    if not list_files(spark, glob):
+    if listed(spark, glob).isEmpty():
         raise FileNotFoundError(f"no files match {glob}")
     return _csv(spark, glob, schema)
 
 
 def read_first_shard(spark: SparkSession, glob: str, schema: T.StructType | str) -> DataFrame:
     """Only the first file by name, for a quick look."""
-    files = list_files(spark, glob)
-    if not files:
-        raise FileNotFoundError(f"no files match {glob}")
-    return _csv(spark, files[0], schema)
+    return _csv(spark, first_file(spark, glob), schema)
 
 
 def read_jsonl(

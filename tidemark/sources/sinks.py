@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Sequence
 from typing import Any
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,11 +40,35 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
 
 
 def save_table(df: DataFrame, name: str, replace: bool = True) -> None:
-    df.write.mode("overwrite" if replace else "errorifexists").saveAsTable(name)
+    """``df`` as the table ``name``; an earlier table is replaced as a whole.
 
-
-def save_view(df: DataFrame, name: str) -> None:
-    df.createOrReplaceTempView(name)
+    The rows go to a table of another name, which then takes the old one's place in
+    the catalogue: readers find the old rows or the new ones, and a write that fails
+    leaves the old. The old table may be read by ``df`` itself. A swap that was cut
+    off between its two steps is undone by the next call.
+    """
+    spark, aside, fresh = df.sparkSession, f"{name}__replaced", f"{name}__{uuid.uuid4().hex}"
+    exists = spark.catalog.tableExists
+    if not exists(name) and exists(aside):
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+    if not replace:
+        df.write.mode("errorifexists").saveAsTable(name)
+        return
+    try:
+        df.write.saveAsTable(fresh)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    if exists(name):
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
+
+
+def save_view(spark: SparkSession, name: str, query: str) -> None:
+    """A view that the catalogue keeps, over stored tables, from the text of a query."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
 
 
 def append(df: DataFrame, name: str, required: Sequence[str] = ()) -> None:
@@ -69,10 +94,31 @@ def append_rows(spark: SparkSession, name: str, rows: Sequence[Sequence[Any]]) -
     append(spark.createDataFrame([tuple(r) for r in rows], schema), name)
 
 
-def overwrite_day(df: DataFrame, path: str, day: str, ts: str) -> None:
-    """Replace one day below ``path`` by the rows of ``df`` on it, also if there are none."""
-    rows = df.where(F.to_date(ts) == F.lit(day).cast("date"))
-    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/day={day}")
+def overwrite_days(df: DataFrame, name: str, ts: str, days: Sequence[str]) -> None:
+    """Replace these days of the table ``name``, which is partitioned by ``day``.
+
+    One insert writes all days (partitions that get rows are overwritten, others
+    stay); a day that got none is dropped from the table. What was written is known
+    from the write itself.
+    """
+    spark = df.sparkSession
+    wanted = [F.lit(d).cast("date") for d in days]
+    rows = df.withColumn("day", F.to_date(ts)).where(F.col("day").isin(*wanted))
+    if not spark.catalog.tableExists(name):
+        rows.limit(0).write.partitionBy("day").saveAsTable(name)
+    seen = Observation()
+    observed = rows.select(*spark.table(name).columns).observe(
+        seen, F.collect_set(F.col("day").cast("string")).alias("days")
+    )
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        observed.write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+    for day in set(days) - set(seen.get["days"]):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (day = DATE '{day}')")
 
 
 def project_predictions(df: DataFrame, run_ts: str) -> DataFrame:

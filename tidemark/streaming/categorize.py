@@ -3,26 +3,62 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tidemark.operators.chat import RUN_ZONE, Scorer, categorize, daily_rows, run_day_of
-from tidemark.sources.sinks import overwrite_day
-from tidemark.streaming import slots
+from tidemark.sources.sinks import overwrite_days
+
+BATCH = "batch_id"
 
 
 def daily_increment(
     chat: DataFrame, run_ts: str, scorer: Scorer, target: str, tz: str = RUN_ZONE
 ) -> None:
-    """Categorise the day before the run into ``target``; a rerun replaces that day, also
-    by nothing."""
+    """Categorise the day before the run into the table ``target``, partitioned by day; a
+    rerun replaces that day, also by nothing."""
     rows = categorize(daily_rows(chat, run_ts, tz), scorer)
-    overwrite_day(rows, target, run_day_of(run_ts, tz), "timestamp")
+    overwrite_days(rows, target, "timestamp", [run_day_of(run_ts, tz)])
 
 
-BATCH = "batch_id"
+class FirstOfEach(StatefulProcessor):
+    """Passes on the first of equal rows, and marks rows behind the watermark as late.
+
+    The state is one flag under the row itself; a timer clears it once the watermark has
+    passed the row's time, after which a repeat would be late anyway.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", T.StructType([T.StructField("yes", T.BooleanType())]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        known = None
+        for row in rows:
+            values = row.asDict()
+            at = values.pop("_at")
+            late = at is not None and at < watermark
+            if not late:
+                known = self.seen.exists() if known is None else known
+                if known:
+                    continue
+                known = True
+                self.seen.update((True,))
+                if at is not None:
+                    self.handle.registerTimer(at + 1)
+            yield Row(**values, _late=late)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.seen.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
 
 
 def stream_categorize(
@@ -33,37 +69,38 @@ def stream_categorize(
     watermark: dt.timedelta = dt.timedelta(days=1),
     once: bool = False,
 ) -> StreamingQuery:
-    """Categorise each new row once; folders ``rows``, ``late`` and ``seen`` below ``sink``.
+    """Categorise each new row once; folders ``rows`` and ``late`` below ``sink``.
 
-    A row is a repeat only if all its columns are equal to another's. A batch is
-    compared with the rows of the last ``watermark`` before the newest time of the
-    batches before it, which is all that is kept of them; older rows go to ``late``,
-    as they came. Nothing is lost. A repeated batch replaces its own folders.
+    A row is a repeat only if all its columns are equal to another's. Repeats are
+    found by keyed state, which is kept until the watermark has passed the row's
+    time; rows behind the watermark are told apart in the same pass and go to
+    ``late``, as they came. Nothing is lost. Rows without a time are never late, and
+    their state stays. A repeated batch replaces its own folders.
     """
-    schema = chat.schema
-    time = schema["timestamp"].dataType
+    names = chat.columns
+    found = (
+        chat.withColumn("_event", F.col("timestamp").cast("timestamp"))
+        .withWatermark("_event", f"{int(watermark.total_seconds() * 1000)} milliseconds")
+        # As a number, so that rows behind the watermark come through to be told apart.
+        .select(*names, F.unix_millis("_event").alias("_at"))
+        .groupBy(*names)
+        .transformWithState(
+            FirstOfEach(),
+            T.StructType([*chat.schema.fields, T.StructField("_late", T.BooleanType())]),
+            "append",
+            "eventTime",
+        )
+    )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        seen = slots.before(spark, f"{sink}/seen", schema, batch_id)
-        newest = seen.agg(F.max("timestamp")).first()[0]
-        horizon = None if newest is None else F.lit(newest - watermark).cast(time)
-        is_late = F.lit(False)
-        if horizon is not None:
-            is_late = F.coalesce(F.col("timestamp") < horizon, F.lit(False))
-        batch.where(is_late).write.mode("overwrite").parquet(f"{sink}/late/{BATCH}={batch_id}")
-        # Set difference compares whole rows, and NULL with NULL.
-        fresh = batch.where(~is_late).dropDuplicates().subtract(seen).persist()
-        done = categorize(fresh, scorer)
+        rows = batch.persist()
+        late = rows.where("_late").select(*names)
+        late.write.mode("overwrite").parquet(f"{sink}/late/{BATCH}={batch_id}")
+        done = categorize(rows.where("NOT _late").select(*names), scorer)
         done.write.mode("overwrite").parquet(f"{sink}/rows/{BATCH}={batch_id}")
-        kept = seen.unionByName(fresh)
-        last = kept.agg(F.max("timestamp")).first()[0]
-        if last is not None:
-            kept = kept.where(F.col("timestamp") >= F.lit(last - watermark).cast(time))
-        slots.replace(kept, f"{sink}/seen", batch_id)
-        fresh.unpersist()
-
-    writer = chat.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+        rows.unpersist()
+
+    writer = found.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.snapshots import latest_per_entity
-from tidemark.streaming import slots
+
+BATCH = "batch_id"
 
 
 def stream_latest(
@@ -19,27 +21,45 @@ def stream_latest(
     once: bool = False,
     interval: str = "1 minute",
 ) -> StreamingQuery:
-    """Merge each batch into the view of the newest row per entity below ``sink``.
+    """Log the newest row of each entity that a batch touches, below ``sink``.
 
-    The sink holds two versions at most, readers always find a whole one, and a
-    repeated batch changes nothing. An older version that comes late never wins.
+    The newest row per entity is the state of a streaming aggregate, one row in the
+    state store for each entity, so an older version that comes late never wins. A
+    batch writes only the entities it touches, to a folder of its own that a repeated
+    batch replaces; what it writes follows the batch, not the number of entities.
     ``once`` handles what is there and stops.
     """
+    whole = F.struct(*stream.columns)
+    newest = (
+        stream.where(F.col(ts).isNotNull())
+        .groupBy(F.col(key).alias("_key"))
+        # Largest time first, then the larger row, as ``latest_per_entity`` has it.
+        .agg(F.max(F.struct(F.col(ts).alias("ts"), whole.alias("row"))).alias("_newest"))
+        .select("_newest.row.*")
+    )
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        view = slots.before(batch.sparkSession, sink, batch.schema, batch_id)
-        rows = view.unionByName(batch.where(F.col(ts).isNotNull()))
-        slots.replace(latest_per_entity(rows, key, ts), sink, batch_id)
+    def log(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/{BATCH}={batch_id}")
 
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
+    writer = (
+        newest.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(log)
+    )
     if once:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=interval).start()
 
 
-def read_latest_view(spark: SparkSession, sink: str) -> DataFrame:
-    """The key-value view: the newest row per entity."""
-    return slots.current(spark, sink)
+def read_latest_view(spark: SparkSession, sink: str, key: str, ts: str) -> DataFrame:
+    """The key-value view: the newest row per entity of the log."""
+    try:
+        changes = spark.read.parquet(sink).drop(BATCH)
+    except AnalysisException as problem:
+        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise FileNotFoundError(f"no changes below {sink} yet") from problem
+        raise
+    return latest_per_entity(changes, key, ts)
 
 
 def sync_once(stream: DataFrame, key: str, ts: str, sink: str, checkpoint: str) -> None:
