@@ -221,3 +221,28 @@ def test_keyword_search_ignores_case(spark):
     df = spark.createDataFrame([(i, f"Big Query {i}") for i in range(9)], "t int, p string")
     out = C.keyword_search(df, "p", "bIG", "t", ["t"], 5)
     assert [r.t for r in out.collect()] == [8, 7, 6, 5, 4]
+
+
+def test_merged_sketches_find_the_mode(spark):
+    rows = [("a", f"c{k % (1 + d % 7)}", dt.date(1998, 1, 1) + dt.timedelta(days=d)) for d in range(90) for k in range(40)]
+    rows += [("b", None, dt.date(1998, 2, 1)), ("b", "x", dt.date(1998, 2, 1)), ("c", None, dt.date(1998, 2, 1))]
+    tx = spark.createDataFrame(rows, "customer_id string, country string, date date")
+    sketches = U.daily_sketches(tx, "country")
+    assert sketches.count() == 91
+    got = {(r.customer_id, str(r.prediction_date)): (r.mode, r.n) for r in U.approx_mode(sketches, ["1998-02-01", "1998-04-01"], 90).collect()}
+    counts: dict = {}
+    for c, v, d in rows:
+        for p in (dt.date(1998, 2, 1), dt.date(1998, 4, 1)):
+            if v and p - dt.timedelta(days=90) <= d < p:
+                key = c, str(p)
+                counts.setdefault(key, {}).setdefault(v, 0)
+                counts[key][v] += 1
+    assert got == {k: max(v.items(), key=lambda x: x[1]) for k, v in counts.items()}
+
+
+def test_sketches_of_many_values_keep_their_bound(spark):
+    """Of 2,000 values, one is a tenth of all: it is found, and its estimate is not too low."""
+    rows = [("a", f"v{k % 2000}" if k % 10 else "hot", dt.date(1998, 1, 1 + k % 28)) for k in range(20_000)]
+    tx = spark.createDataFrame(rows, "customer_id string, country string, date date")
+    (r,) = U.approx_mode(U.daily_sketches(tx, "country"), ["1998-02-01"], 90).collect()
+    assert r.mode == "hot" and 2000 <= r.n <= 2000 + 20_000 * 3.5 / 128

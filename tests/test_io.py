@@ -10,6 +10,7 @@ from tidemark.sources import readers, sinks
 from tidemark.streaming import categorize as SC
 from tidemark.streaming import latest as SL
 from tidemark.operators.chat import keyword_scorer
+from tidemark.operators.cleaning import sample_blocks
 from tidemark.session import freeze, shared_dir
 
 D = dt.datetime
@@ -373,3 +374,24 @@ def test_shared_dir_is_below_the_checkpoint_folder_or_the_warehouse(spark, tmp_p
     assert a != b and a.startswith(base) and b.startswith(base)
     frozen = freeze(spark.range(5).withColumn("u", F.rand()), "r")
     assert frozen.collect() == frozen.collect()
+
+
+def test_block_sample_opens_only_the_drawn_files(spark, tmp_path):
+    folder = tmp_path / "t"
+    spark.range(4000).repartition(40).withColumn("part", F.spark_partition_id()).write.parquet(str(folder))
+    drawn = sample_blocks(spark, str(folder), 0.25, seed=7)
+    rows = sorted(map(tuple, drawn.collect()))
+    used = {f.rpartition("/")[2] for f in drawn.select("_metadata.file_name").distinct().toPandas()["file_name"]}
+    assert 3 <= len(used) <= 18 and len({p for _, p in rows}) == len(used)
+    assert len(rows) == spark.read.parquet(str(folder)).where(F.col("part").isin(*{p for _, p in rows})).count()
+    # Files that are not drawn are broken now: nothing may open them.
+    for f in folder.glob("*.parquet"):
+        if f.name not in used:
+            f.write_bytes(b"x" * f.stat().st_size)
+            (folder / f".{f.name}.crc").unlink(missing_ok=True)
+    again = spark.read.schema("id long, part int").parquet(str(folder)).schema
+    assert sorted(map(tuple, sample_blocks(spark, str(folder), 0.25, seed=7, schema=again).collect())) == rows
+    assert sorted(map(tuple, drawn.collect())) == rows
+    other = sample_blocks(spark, str(folder), 0.25, seed=8, schema=again).select("_metadata.file_name")
+    with pytest.raises(Exception):  # noqa: B017
+        other.where("id >= 0").collect()

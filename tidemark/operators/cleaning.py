@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions import scalars as S
+from tidemark.functions.farmhash import farm_fingerprint
 
 # Object classes kept for image analysis.
 ARTWORK_CLASSES = ("Prints", "Drawings", "Paintings")
@@ -61,10 +63,43 @@ def sample_rows(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFra
     return df.sample(fraction=fraction, seed=seed)
 
 
-def hash_sample(df: DataFrame, column: str, mod: int = 10) -> DataFrame:
+def sample_blocks(
+    spark: SparkSession, path: str, fraction: float = 0.1, seed: int = 42, schema: StructType | None = None
+) -> DataFrame:
+    """A sample of whole files of a Parquet table: the others are not opened.
+
+    A file is drawn by a hash of its name and the seed, so that every reading sees the
+    same rows. The draw is a filter on the files' metadata, which Spark applies to the
+    listing, before the scan. Rows that were written together stay or go together, as in
+    any block sample; a table in few files gives a coarse one.
+    """
+    drawn = F.pmod(F.xxhash64("_metadata.file_name", F.lit(seed)), F.lit(1_000_000))
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path).where(drawn < round(fraction * 1_000_000))
+
+
+def time_text(ts: str) -> Column:
+    """A time as the warehouse writes it: UTC, with a fraction of 3 or 6 digits if there is one."""
+    text = F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return F.concat(F.regexp_replace(text, r"\.000000$|000$", ""), F.lit("+00"))
+
+
+def hash_sample(df: DataFrame, column: str, mod: int = 10, fingerprint: str = "md5") -> DataFrame:
     """About one row in ``mod``, chosen by the text of ``column``: repeatable, and
-    rows with equal values stay or go together."""
-    return df.where(S.stable_hash(column) % mod == 0)
+    rows with equal values stay or go together.
+
+    ``fingerprint="farm"`` takes the rows whose FarmHash fingerprint, without its sign, is
+    divisible by ``mod``, as the warehouse query does; times are written its way. A NULL
+    has no fingerprint there and goes.
+    """
+    if fingerprint == "md5":
+        return df.where(S.stable_hash(column) % mod == 0)
+    if fingerprint != "farm":
+        raise ValueError(f"no fingerprint {fingerprint}")
+    is_time = df.schema[column].dataType.typeName().startswith("timestamp")
+    text = time_text(column) if is_time else F.col(column).cast("string")
+    # The remainder first: the smallest integer has no absolute value.
+    return df.where(farm_fingerprint(text) % mod == 0)
 
 
 def filter_run_day(df: DataFrame, ts: str, run_ts: Column | str, tz: str) -> DataFrame:

@@ -184,6 +184,27 @@ def _(t: Tables):
     return U.mode_of(t.lines(), ["customer_id"], "country", "invoice_date", "country_mode")
 
 
+@query(
+    "approx_mode",
+    with_ctes(
+        FEATURES_CTE,
+        select="""
+SELECT customer_id, prediction_date, max(n) AS estimate, max(n) AS lines_of_mode
+FROM (SELECT customer_id, prediction_date, country, count(*) AS n FROM joined
+      WHERE country IS NOT NULL GROUP BY customer_id, prediction_date, country)
+GROUP BY customer_id, prediction_date""",
+    ),
+)
+def _(t: Tables):
+    """The estimate, and how many lines the estimated mode really has: as many as the true one."""
+    tx = t.clean()
+    found = U.approx_mode(U.daily_sketches(tx, "country"), DATES)
+    counts = U.lookback_lines(tx, DATES).groupBy(*U.KEYS, F.col("country").alias("mode"))
+    exact = counts.agg(F.count(F.lit(1)).alias("lines_of_mode"))
+    joined = found.withColumnRenamed("n", "estimate").join(exact, [*U.KEYS, "mode"])
+    return joined.select(*U.KEYS, "estimate", "lines_of_mode")
+
+
 @query("target_sum", with_ctes(FEATURES_CTE, select="SELECT * FROM targets"))
 def _(t: Tables):
     tx = t.clean()

@@ -19,7 +19,7 @@ from tidemark.plans.adapters import (
     zone_sql,
 )
 from tidemark.plans.registry import query, with_ctes
-from tidemark.session import freeze
+from tidemark.session import freeze, shared_dir
 
 
 def zones(t: Tables):
@@ -49,6 +49,77 @@ def _(t: Tables):
     return C.hash_sample(t.trips(), "pickup_datetime", 10)
 
 
+def farm_steps(source: str, text: str) -> list[str]:
+    """CTEs that give each row of ``source`` the fingerprint r of a text of 17 to 32 bytes,
+    by arithmetic modulo 2**64."""
+    m, k1, k2 = (f"{n}::UHUGEINT" for n in (2**64, 0xB492B66FBE98F273, 0x9AE16A3B2F90404F))
+
+    def word(at: str) -> str:
+        bytes_ = f"[ascii(s[{at} + k + 1])::UHUGEINT * (1::UHUGEINT << (8 * k)::UHUGEINT) FOR k IN range(8)]"
+        return f"list_reduce({bytes_}, lambda p, q: p + q)"
+
+    def turn(x: str, bits: int) -> str:
+        return f"(({x}) // {2**bits}::UHUGEINT + ({x}) % {2**bits}::UHUGEINT * {2 ** (64 - bits)}::UHUGEINT)"
+
+    def fold(x: str) -> str:
+        return f"xor({x}, {x} // {2**47}::UHUGEINT)"
+
+    return [
+        f"s0 AS (SELECT *, {text} AS s, ({k2} + (2 * strlen({text}))::UHUGEINT) % {m} AS f FROM {source})",
+        f"s1 AS (SELECT *, {word('0')} * {k1} % {m} AS a, {word('8')} AS b, "
+        f"{word('strlen(s) - 8')} * f % {m} AS c, {word('strlen(s) - 16')} * {k2} % {m} AS d FROM s0)",
+        f"s2 AS (SELECT *, ({turn(f'(a + b) % {m}', 43)} + {turn('c', 30)} + d) % {m} AS y, "
+        f"(a + {turn(f'(b + {k2}) % {m}', 18)} + c) % {m} AS z FROM s1)",
+        f"s3 AS (SELECT *, xor(y, z) * f % {m} AS x FROM s2)",
+        f"s4 AS (SELECT * REPLACE (xor(z, {fold('x')}) * f % {m} AS x) FROM s3)",
+        f"s5 AS (SELECT *, {fold('x')} * f % {m} AS r FROM s4)",
+    ]
+
+
+TIME_TEXT = (
+    "(regexp_replace(strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S.%f'), '\\.000000$|000$', '') || '+00')"
+)
+
+
+@query(
+    "fingerprint_sample",
+    with_ctes(
+        TRIPS,
+        *farm_steps("trips", TIME_TEXT),
+        select=f"""
+SELECT event_id, pickup_datetime FROM s5
+WHERE CASE WHEN r >= {2**63}::UHUGEINT THEN {2**64}::UHUGEINT - r ELSE r END % 10 = 0""",
+    ),
+)
+def _(t: Tables):
+    """The rows that the warehouse's own fingerprint picks."""
+    found = C.hash_sample(t.trips(), "pickup_datetime", 10, fingerprint="farm")
+    return found.select("event_id", "pickup_datetime")
+
+
+@query(
+    "sample_blocks",
+    """
+SELECT (SELECT count(*) FROM events) AS n_all, true AS some_but_not_all, true AS whole_files,
+  true AS the_same_again""",
+)
+def _(t: Tables):
+    """Trips written in 64 files, of which a quarter is drawn, twice."""
+    path = shared_dir(t.spark, "blocks")
+    t.trips().repartition(64, "event_id").withColumn("block", F.spark_partition_id()).write.parquet(path)
+    whole = t.spark.read.parquet(path).groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+    drawn = C.sample_blocks(t.spark, path, 0.25)
+    per_block = drawn.groupBy("block").agg(F.count(F.lit(1)).alias("got"))
+    again = C.sample_blocks(t.spark, path, 0.25).agg(F.count(F.lit(1))).scalar()
+    both = whole.join(per_block, "block", "left").withColumn("again", again)
+    return both.agg(
+        F.sum("n").alias("n_all"),
+        ((F.count("got") > 0) & (F.count("got") < F.count("n"))).alias("some_but_not_all"),
+        F.every(F.coalesce(F.col("got") == F.col("n"), F.lit(True))).alias("whole_files"),
+        (F.sum("got") == F.max("again")).alias("the_same_again"),
+    )
+
+
 @query("outlier_filter", with_ctes(PREPARED, select="SELECT * FROM prepared WHERE tip_amount < 50"))
 def _(t: Tables):
     return C.outlier_filter(C.prepare_trips(t.trips()), "tip_amount", 50)
