@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import customers as U
 from tidemark.operators import encode as E
-from tidemark.operators import metrics, models
+from tidemark.operators import boosting, metrics, models
 from tidemark.operators import trials as R
 from tidemark.operators.cleaning import exclude_placeholder, prepare_trips
 from tidemark.plans.adapters import (
@@ -16,11 +16,13 @@ from tidemark.plans.adapters import (
     FOLDS,
     PREPARED,
     PREPARED_IDS,
+    SPLITS,
     TRIPS,
     Tables,
     draw_sql,
 )
 from tidemark.plans.registry import query, with_ctes
+from tidemark.session import freeze
 
 CATS = ["payment_type", "day_of_week", "hour_of_day"]
 NUMS = ["passenger_count", "trip_distance"]
@@ -284,14 +286,50 @@ def _(t: Tables):
     return metrics.rmse(scored, "tip_amount", "prediction", ["data_type"])
 
 
+def in_dates(part: str) -> str:
+    return f"prediction_date IN ({', '.join(f"DATE '{d}'" for d in SPLITS[part])})"
+
+
+@query(
+    "train_leafwise",
+    with_ctes(
+        FEATURES_CTE,
+        select=f"""
+SELECT CASE WHEN {in_dates("TEST")} THEN 'TEST' ELSE 'VALIDATE' END AS data_type, count(*) AS cnt,
+  round(sqrt(avg(power(target - coalesce(prev_month_amount, 0), 2))), 6) AS rmse_prev, true AS better
+FROM training LEFT JOIN previous USING (customer_id, prediction_date)
+WHERE NOT {in_dates("TRAIN")} GROUP BY 1""",
+    ),
+)
+def _(t: Tables):
+    """Leaf-wise trees on the customers' features, stopped early: is their error below that of
+    last month's amount on the dates they have not seen?"""
+    from tidemark.plans.retail import NUMERIC
+
+    rows = freeze(U.training_set(t.clean(), DATES, baseline_days=30), "customers")
+    train, valid = (rows.where(in_dates(part)) for part in ("TRAIN", "VALIDATE"))
+    settings = boosting.Settings(
+        rounds=10, leaves=15, row_fraction=0.8, row_every=5, column_fraction=0.9, l2=1.0, patience=3
+    )
+    model = boosting.fit_boosted(train, valid, NUMERIC, "target", settings)
+    part = F.when(F.expr(in_dates("TEST")), "TEST").otherwise("VALIDATE")
+    scored = model.transform(rows.where(f"NOT {in_dates('TRAIN')}")).withColumn("data_type", part)
+    errors = metrics.rmse_of(
+        scored, "target", {"rmse_prev": "prev_month_amount", "rmse": "prediction"}, ["data_type"]
+    )
+    sizes = scored.groupBy("data_type").agg(F.count(F.lit(1)).alias("cnt"))
+    better = (F.col("rmse") < F.col("rmse_prev")).alias("better")
+    return errors.join(sizes, "data_type").select("data_type", "cnt", "rmse_prev", better)
+
+
 @query("param_sweep")
 def _(t: Tables):
-    """The depths of the sweep, and drawn settings."""
-    rows = trip_parts(t)
-    train, test = (rows.where(f"data_type = '{k}'") for k in ("train", "test"))
+    """The depths of the sweep and 20 drawn settings; each fit stops early on the validation rows."""
+    rows = freeze(trip_parts(t), "sweep")
+    train, valid, test = (rows.where(f"data_type = '{k}'") for k in ("train", "valid", "test"))
     grid = [{"maxDepth": d, "maxIter": ROUNDS} for d in (3, 6, 9)]
-    grid += [{**s, "maxIter": ROUNDS} for s in models.search_settings(2)]
-    return models.param_sweep(train, test, CATS, NUMS, "tip_amount", grid)
+    grid += [{**s, "maxIter": ROUNDS} for s in models.search_settings(20)]
+    return models.param_sweep(train, test, CATS, NUMS, "tip_amount", grid, valid=valid)
 
 
 def fold_models(t: Tables):

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.chat import RUN_ZONE, Scorer, categorize, daily_rows, run_day_of
 from tidemark.sources.sinks import overwrite_days
@@ -25,42 +23,6 @@ def daily_increment(
     overwrite_days(rows, target, "timestamp", [run_day_of(run_ts, tz)])
 
 
-class FirstOfEach(StatefulProcessor):
-    """Passes on the first of equal rows, and marks rows behind the watermark as late.
-
-    The state is one flag under the row itself; a timer clears it once the watermark has
-    passed the row's time, after which a repeat would be late anyway.
-    """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getValueState("seen", T.StructType([T.StructField("yes", T.BooleanType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        known = None
-        for row in rows:
-            values = row.asDict()
-            at = values.pop("_at")
-            late = at is not None and at < watermark
-            if not late:
-                known = self.seen.exists() if known is None else known
-                if known:
-                    continue
-                known = True
-                self.seen.update((True,))
-                if at is not None:
-                    self.handle.registerTimer(at + 1)
-            yield Row(**values, _late=late)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.seen.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
 def stream_categorize(
     chat: DataFrame,
     scorer: Scorer,
@@ -72,38 +34,46 @@ def stream_categorize(
     """Categorise each new row once; folders ``rows`` and ``late`` below ``sink``.
 
     A row is a repeat only if all its columns are equal to another's. Repeats are
-    found by keyed state, which is kept until the watermark has passed the row's
-    time; rows behind the watermark are told apart in the same pass and go to
-    ``late``, as they came. Nothing is lost. Rows without a time are never late, and
-    their state stays. A repeated batch replaces its own folders.
+    dropped by Spark's state, which a row leaves once the watermark has passed it.
+    Rows not after the newest time of the batches before, less ``watermark``, go to
+    ``late``, as they came. What Spark drops as late is never newer than that, since
+    its own watermark is of the same or an earlier batch, so nothing is lost. A row
+    without a time is never late, and repeats rows of its own batch alone. A repeated
+    batch replaces its own folders.
     """
     names = chat.columns
-    found = (
-        chat.withColumn("_event", F.col("timestamp").cast("timestamp"))
-        .withWatermark("_event", f"{int(watermark.total_seconds() * 1000)} milliseconds")
-        # As a number, so that rows behind the watermark come through to be told apart.
-        .select(*names, F.unix_millis("_event").alias("_at"))
-        .groupBy(*names)
-        .transformWithState(
-            FirstOfEach(),
-            T.StructType([*chat.schema.fields, T.StructField("_late", T.BooleanType())]),
-            "append",
-            "eventTime",
-        )
-    )
+    timed = chat.withColumn("_event", F.col("timestamp").cast("timestamp"))
+    delay = f"{int(watermark.total_seconds() * 1000)} milliseconds"
+    first = timed.withWatermark("_event", delay).dropDuplicatesWithinWatermark(names)
+    # The rows as they came stand beside the first of each, in one query.
+    both = first.withColumn("_first", F.lit(True)).unionByName(timed.withColumn("_first", F.lit(False)))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist()
-        late = rows.where("_late").select(*names)
-        late.write.mode("overwrite").parquet(f"{sink}/late/{BATCH}={batch_id}")
-        done = categorize(rows.where("NOT _late").select(*names), scorer)
+        batch = batch.persist()
+        before = _newest(batch.sparkSession, sink, batch_id - 1)
+        late = F.lit(False)
+        if before is not None:
+            late = F.coalesce(F.unix_micros("_event") <= before - watermark // dt.timedelta(microseconds=1), late)
+        missed = batch.where(~F.col("_first") & late).select(*names)
+        missed.write.mode("overwrite").parquet(f"{sink}/late/{BATCH}={batch_id}")
+        done = categorize(batch.where(F.col("_first") & ~late).select(*names), scorer)
         done.write.mode("overwrite").parquet(f"{sink}/rows/{BATCH}={batch_id}")
-        rows.unpersist()
+        # One row: the newest time up to this batch.
+        newest = batch.agg(F.greatest(F.max(F.unix_micros("_event")), F.lit(before).cast("long")).alias("newest"))
+        newest.write.mode("overwrite").parquet(f"{sink}/times/{BATCH}={batch_id}")
+        batch.unpersist()
 
-    writer = found.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    writer = both.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def _newest(spark: SparkSession, sink: str, batch_id: int) -> int | None:
+    """The newest time up to a batch, in microseconds; None before the first batch."""
+    if batch_id < 0:
+        return None
+    return spark.read.schema("newest long").parquet(f"{sink}/times/{BATCH}={batch_id}").first()[0]
+
+
 def read_categories(spark: SparkSession, sink: str) -> DataFrame:
     """The categorised rows of all batches."""
     return spark.read.parquet(f"{sink}/rows").drop(BATCH)
