@@ -97,12 +97,12 @@ def _(t: Tables):
         """
 levels AS (
   SELECT country_mode, dense_rank() OVER (ORDER BY country_mode) - 1 AS code
-  FROM (SELECT DISTINCT country_mode FROM features WHERE prediction_date = DATE '1998-03-01'
+  FROM (SELECT DISTINCT country_mode FROM all_features WHERE prediction_date = DATE '1998-03-01'
           AND record_cnt > 4 AND country_mode IS NOT NULL))
 """,
         select="""
 SELECT customer_id, prediction_date, country_mode, coalesce(code, -1) AS country_code
-FROM features LEFT JOIN levels USING (country_mode)""",
+FROM all_features LEFT JOIN levels USING (country_mode)""",
     ),
 )
 def _(t: Tables):
@@ -297,7 +297,7 @@ def in_dates(part: str) -> str:
         select=f"""
 SELECT CASE WHEN {in_dates("TEST")} THEN 'TEST' ELSE 'VALIDATE' END AS data_type, count(*) AS cnt,
   round(sqrt(avg(power(target - coalesce(prev_month_amount, 0), 2))), 6) AS rmse_prev, true AS better
-FROM training LEFT JOIN previous USING (customer_id, prediction_date)
+FROM labelled LEFT JOIN last_month USING (customer_id, prediction_date)
 WHERE NOT {in_dates("TRAIN")} GROUP BY 1""",
     ),
 )

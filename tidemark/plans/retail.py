@@ -8,7 +8,9 @@ from tidemark.operators import cleaning as C
 from tidemark.operators import customers as U
 from tidemark.operators import metrics, profile
 from tidemark.plans.adapters import (
+    ACTIVITY_COLUMNS,
     ANCHORS,
+    BASE_COLUMNS,
     CLEAN,
     DATES,
     FEATURES_CTE,
@@ -78,7 +80,7 @@ def _(t: Tables):
     return U.make_anchors(t.clean(), DATES)
 
 
-@query("lookback_join", with_ctes(FEATURES_CTE, select=f"SELECT {LINE} FROM joined"))
+@query("lookback_join", with_ctes(FEATURES_CTE, select=f"SELECT {LINE} FROM window_lines"))
 def _(t: Tables):
     tx = t.clean()
     joined = U.lookback_join(U.make_anchors(tx, DATES), tx, 90)
@@ -129,29 +131,29 @@ def _(t: Tables):
     return out.withColumn("date_amount", F.col("date_amount").cast("double"))
 
 
-@query("base_features", with_ctes(FEATURES_CTE, select="SELECT * FROM base"))
+@query("base_features", with_ctes(FEATURES_CTE, select=f"SELECT {BASE_COLUMNS} FROM facts"))
 def _(t: Tables):
     return U.base_features(U.lookback_lines(t.clean(), DATES, 90))
 
 
-@query("activity_features", with_ctes(FEATURES_CTE, select="SELECT * FROM activity"))
+@query("activity_features", with_ctes(FEATURES_CTE, select=f"SELECT {ACTIVITY_COLUMNS} FROM facts"))
 def _(t: Tables):
     return U.activity_features(U.lookback_lines(t.clean(), DATES, 90))
 
 
-@query("invoice_amount_stats", with_ctes(FEATURES_CTE, select="SELECT * FROM invoice_stats"))
+@query("invoice_amount_stats", with_ctes(FEATURES_CTE, select="SELECT * FROM spread_invoice"))
 def _(t: Tables):
     summary = U.invoice_summary(t.clean())
     return U.second_level_stats(summary, "invoice_amount", "purchase_amount_by_invoice", DATES)
 
 
-@query("date_amount_stats", with_ctes(FEATURES_CTE, select="SELECT * FROM date_stats"))
+@query("date_amount_stats", with_ctes(FEATURES_CTE, select="SELECT * FROM spread_date"))
 def _(t: Tables):
     summary = U.date_summary(t.clean())
     return U.second_level_stats(summary, "date_amount", "purchase_amount_by_date", DATES)
 
 
-@query("assemble_features", with_ctes(FEATURES_CTE, select="SELECT * FROM features"))
+@query("assemble_features", with_ctes(FEATURES_CTE, select="SELECT * FROM all_features"))
 def _(t: Tables):
     tx = t.clean()
     joined = U.lookback_lines(tx, DATES, 90)
@@ -164,7 +166,7 @@ def _(t: Tables):
     )
 
 
-@query("customer_features", with_ctes(FEATURES_CTE, select="SELECT * FROM features"))
+@query("customer_features", with_ctes(FEATURES_CTE, select="SELECT * FROM all_features"))
 def _(t: Tables):
     return U.customer_features(t.clean(), DATES)
 
@@ -190,7 +192,7 @@ def _(t: Tables):
         FEATURES_CTE,
         select="""
 SELECT customer_id, prediction_date, max(n) AS estimate, max(n) AS lines_of_mode
-FROM (SELECT customer_id, prediction_date, country, count(*) AS n FROM joined
+FROM (SELECT customer_id, prediction_date, country, count(*) AS n FROM window_lines
       WHERE country IS NOT NULL GROUP BY customer_id, prediction_date, country)
 GROUP BY customer_id, prediction_date""",
     ),
@@ -205,13 +207,13 @@ def _(t: Tables):
     return joined.select(*U.KEYS, "estimate", "lines_of_mode")
 
 
-@query("target_sum", with_ctes(FEATURES_CTE, select="SELECT * FROM targets"))
+@query("target_sum", with_ctes(FEATURES_CTE, select="SELECT * FROM next_month"))
 def _(t: Tables):
     tx = t.clean()
     return U.target_sum(U.make_anchors(tx, DATES), tx, DATES)
 
 
-@query("attach_target", with_ctes(FEATURES_CTE, select="SELECT * FROM training"))
+@query("attach_target", with_ctes(FEATURES_CTE, select="SELECT * FROM labelled"))
 def _(t: Tables):
     return U.training_set(t.clean(), DATES)
 
@@ -221,7 +223,7 @@ def _(t: Tables):
     with_ctes(
         FEATURES_CTE,
         select="""
-SELECT f.*, t.target FROM features f JOIN targets t USING (customer_id, prediction_date)
+SELECT f.*, t.target FROM all_features f JOIN next_month t USING (customer_id, prediction_date)
 WHERE t.target IS NOT NULL""",
     ),
 )
@@ -238,7 +240,7 @@ SELECT customer_id, prediction_date, target,
   CASE WHEN prediction_date <= DATE '1998-08-01' THEN 'TRAIN'
        WHEN prediction_date <= DATE '1998-10-01' THEN 'VALIDATE'
        WHEN prediction_date = DATE '1998-11-01' THEN 'TEST' END AS split_label
-FROM training""",
+FROM labelled""",
     ),
 )
 def _(t: Tables):
@@ -302,7 +304,7 @@ def _(t: Tables):
     return out.select(*U.KEYS, "record_cnt", "purchase_amount_sum", *stats)
 
 
-@query("previous_amount", with_ctes(FEATURES_CTE, select="SELECT * FROM previous"))
+@query("previous_amount", with_ctes(FEATURES_CTE, select="SELECT * FROM last_month"))
 def _(t: Tables):
     return U.previous_amount(t.clean(), DATES)
 
@@ -313,7 +315,7 @@ def _(t: Tables):
         FEATURES_CTE,
         select="""
 SELECT customer_id, prediction_date, target, coalesce(prev_month_amount, 0) AS prev_month_amount
-FROM training LEFT JOIN previous USING (customer_id, prediction_date)""",
+FROM labelled LEFT JOIN last_month USING (customer_id, prediction_date)""",
     ),
 )
 def _(t: Tables):
@@ -359,7 +361,7 @@ def _(t: Tables):
         select="""
 SELECT customer_id, prediction_date AS prediction_date_in_30d,
        prev_month_amount AS prev_month_amount_in_30d
-FROM previous""",
+FROM last_month""",
     ),
 )
 def _(t: Tables):
@@ -383,7 +385,7 @@ def folds_sql() -> str:
         folds_sql(),
         select="""
 SELECT customer_id, prediction_date, record_cnt, target, fold, role
-FROM training JOIN folds USING (prediction_date)""",
+FROM labelled JOIN folds USING (prediction_date)""",
     ),
 )
 def _(t: Tables):
@@ -396,7 +398,7 @@ def _(t: Tables):
     with_ctes(
         FEATURES_CTE,
         select="""
-SELECT f.*, t.target FROM features f JOIN targets t USING (customer_id, prediction_date)
+SELECT f.*, t.target FROM all_features f JOIN next_month t USING (customer_id, prediction_date)
 WHERE t.target IS NOT NULL""",
     ),
 )
@@ -415,8 +417,8 @@ def valid_folds(t: Tables):
 VALID_SQL = """
 valid AS (
   SELECT fold, target, coalesce(prev_month_amount, 0) AS prev, purchase_amount_sum / 3 AS third
-  FROM training JOIN folds USING (prediction_date)
-  LEFT JOIN previous USING (customer_id, prediction_date) WHERE role = 'valid'),
+  FROM labelled JOIN folds USING (prediction_date)
+  LEFT JOIN last_month USING (customer_id, prediction_date) WHERE role = 'valid'),
 scores AS (
   SELECT fold, round(sqrt(avg((target - prev) * (target - prev))), 6) AS rmse_prev,
          round(sqrt(avg((target - third) * (target - third))), 6) AS rmse
@@ -484,7 +486,7 @@ def corr_rows(group: str = "") -> str:
     "target_correlation",
     with_ctes(
         FEATURES_CTE,
-        "rows_ AS (SELECT * FROM training)",
+        "rows_ AS (SELECT * FROM labelled)",
         f"corrs AS (SELECT feature, round(c, 6) AS corr FROM ({corr_rows()}))",
         select="""
 (SELECT feature, corr, 'top' AS part FROM corrs ORDER BY corr DESC, feature LIMIT 10)
@@ -501,7 +503,7 @@ def _(t: Tables):
     with_ctes(
         FEATURES_CTE,
         folds_sql(),
-        "rows_ AS (SELECT * FROM training JOIN folds USING (prediction_date) WHERE role = 'train')",
+        "rows_ AS (SELECT * FROM labelled JOIN folds USING (prediction_date) WHERE role = 'train')",
         f"corrs AS ({corr_rows('fold')})",
         select="""
 SELECT feature, round(avg(abs(c)), 6) AS mean FROM corrs
@@ -517,7 +519,10 @@ def _(t: Tables):
 
 @query(
     "star_except",
-    with_ctes(FEATURES_CTE, select="SELECT * EXCLUDE (customer_id, prediction_date) FROM activity"),
+    with_ctes(
+        FEATURES_CTE,
+        select=f"SELECT * EXCLUDE (customer_id, prediction_date) FROM (SELECT {ACTIVITY_COLUMNS} FROM facts)",
+    ),
 )
 def _(t: Tables):
     return C.star_except(U.activity_features(U.lookback_lines(t.clean(), DATES, 90)), *U.KEYS)
