@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import encode, metrics, ordered, profile, trials
+from tidemark.operators import encode, metrics, ordered, profile, snapshots, trials
 
 
 @pytest.fixture(params=["one range", "many ranges"])
@@ -94,3 +94,56 @@ def test_null_and_distinct_counts(spark):
     assert {tuple(r) for r in profile.null_counts(df).collect()} == {("a", 1, 3), ("b", 1, 3)}
     assert {tuple(r) for r in profile.distinct_counts(df).collect()} == {("a", 1), ("b", 2)}
     assert profile.distinct_counts(df, approx=True).count() == 2
+
+
+def test_scans_keep_nulls_and_batches(spark):
+    """Values that are missing, and ranges that come in many batches."""
+    rng = random.Random(5)
+    rows = [(k, rng.choice([None, rng.randrange(-50, 50)])) for k in range(400)]
+    df = spark.createDataFrame(rows, "k int, v int")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, "7")
+    try:
+        for how, fold in (("sum", sum), ("max", lambda x: max(x, default=None))):
+            got = {r.k: r.b for r in ordered.scan_before(df, "k", "v", "b", how).collect()}
+            assert got == {k: fold([v for x, v in rows[:k] if v is not None]) for k, _ in rows}
+        with_time = df.selectExpr("k % 3 AS e", "k AS t", "v")
+        left = spark.range(400).selectExpr("id % 3 AS e", "id + 0.5 AS at")
+        feats = with_time.where("v IS NOT NULL").selectExpr("e AS entity", "double(t) AS t", "v")
+        got = {r["at"]: r.v for r in snapshots.pit_join(left, feats, "e", "entity", "at", "t").collect()}
+        for i in range(400):
+            below = [v for k, v in rows if k % 3 == i % 3 and k <= i and v is not None]
+            assert got[i + 0.5] == (below[-1] if below else None)
+    finally:
+        spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("what", ["describe", "pit_join", "metrics", "split", "front"])
+def test_rows_are_shuffled_once(spark, monkeypatch, what):
+    """Into ranges; what follows moves one row per range, column or key alone."""
+    written = []
+    real = ordered.freeze
+
+    def freeze(df, name):
+        written.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(ordered, "freeze", freeze)
+    df = spark.range(500).selectExpr("id % 9 AS e", "id AS t", "double(id % 50) AS v", "int(id % 2) AS y")
+    if what == "describe":
+        out = profile.describe(df, ["e", "v"])
+    elif what == "pit_join":
+        out = snapshots.pit_join(df.drop("y"), df.selectExpr("e AS f", "t AS ft", "y"), "e", "f", "t", "ft")
+    elif what == "metrics":
+        out = metrics.binary_metrics(df, "y", "v")
+    elif what == "split":
+        out = encode.head_tail_split(df, ["t"])
+    else:
+        out = trials.pareto_front(df, "v", "t")
+    assert len(written) == 1 and written[0].count("Exchange rangepartitioning") == 1
+    after = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in after and "Window [last(_inside" not in after
+    if what == "pit_join":
+        assert written[0].count("Exchange") == 1
+        # The totals of the ranges, their order, and their broadcast.
+        assert after.count("Exchange") == 3

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import drift, snapshots as N
-from tidemark.operators.ordered import RANGE, in_ranges
+from tidemark.operators.ordered import RANGE, last_so_far, scanned
 
 D = dt.datetime
 KEYS = ("zone", "entity_id", "ts", "ft")
@@ -95,7 +95,9 @@ def test_pit_join_splits_a_hot_key(spark, ranges):
     feats += [(f"z{k % 7}", base + dt.timedelta(hours=k), k) for k in range(30)]
     left, right = spark.createDataFrame(events, EVENTS), spark.createDataFrame(feats, FEATS)
     assert rows_of(N.pit_join(left, right, *KEYS)) == brute(events, feats)
-    dealt = in_ranges(left, "zone", "ts")
+    order = ["zone", "ts"]
+    dealt = scanned(left, order, order, "eid", "same", left.schema["eid"].dataType, last_so_far)
+    assert dealt.where("eid <> same").count() == 0
     if spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "false":
         assert dealt.where("zone = 'hot'").select(RANGE).distinct().count() > 1
 

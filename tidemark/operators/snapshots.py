@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.operators.cleaning import hash_sample
-from tidemark.operators.ordered import RANGE, in_ranges
+from tidemark.operators.ordered import RANGE, last_so_far, scanned, totals_before
 
 
 def union_years(parts: list[tuple[DataFrame, str, str]], ts: str) -> DataFrame:
@@ -136,30 +136,19 @@ def pit_join(
         F.struct(*left.columns).alias("_row"),
     )
     order = ["_key", "_t", "_side", "_salt"]
-    dealt = in_ranges(rows.unionByName(versions, allowMissingColumns=True), *order)
-    in_order = (
-        Window.partitionBy(RANGE)
-        .orderBy(*order, "_version")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    inside = dealt.withColumn("_inside", F.last("_version", ignorenulls=True).over(in_order)).where(
-        "_side = 1"
-    )
+    both = rows.unionByName(versions, allowMissingColumns=True)
+    kind = both.schema["_version"].dataType
+    dealt = scanned(both, order, [*order, "_version"], "_version", "_inside", kind, last_so_far)
     # One row per range, as many as the session has shuffle partitions.
-    before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        dealt.groupBy(RANGE)
-        .agg(
-            F.max_by(
-                "_version", F.when(F.col("_side") == 0, F.struct("_key", "_t", "_version"))
-            ).alias("_last")
-        )
-        .select(RANGE, F.last("_last", ignorenulls=True).over(before).alias("_carried"))
+    newest = F.max_by(
+        "_version", F.when(F.col("_side") == 0, F.struct("_key", "_t", "_version"))
     )
+    carried = totals_before(dealt, newest, lambda c: F.last(c, ignorenulls=True), "_carried")
     # The last version in the order is of an earlier key where the row's has none.
     found = F.coalesce("_inside", "_carried")
     return (
-        inside.join(F.broadcast(carried), RANGE, "left")
+        dealt.where("_side = 1")
+        .join(F.broadcast(carried), RANGE, "left")
         .select("_row", F.when(found["key"] == F.col("_key"), found["feat"]).alias("_feat"))
         .select("_row.*", "_feat.*")
     )
