@@ -57,3 +57,12 @@ def test_rows_of_all_kinds(spark):
     nothing = L.train(empty(spark), F.lit(True))
     assert {(r["lang"], r["score"]) for r in L.predicted(docs, nothing).collect()} == {(L.UNKNOWN, 0.0)}
     assert L.predicted(empty(spark), model).count() == 0
+
+
+def test_signs_that_are_no_letters(spark):
+    docs = spark.createDataFrame([("ab ab", "x"), ("cd", "y")], "text string, lang string")
+    model = L.train(docs, F.lit(True))
+    for text in ("² ½", "① ৴", "12 !?", "", " ", None):
+        assert model.predict(text) == (L.UNKNOWN, 0.0)
+    for text in ("²a", "ª", "東"):
+        assert model.predict(text)[0] in ("x", "y")

@@ -3,6 +3,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -135,3 +136,25 @@ def test_nothing_to_learn_from(spark):
     rows = M.scored(documents(spark), F.lit(False)).collect()
     assert {(r["base_score"], r["score"], r["train_tokens"], r["n_known"]) for r in rows} == {(0.0, 0.0, 0, 0)}
     assert M.scored(empty(spark), F.lit(True)).count() == 0
+
+
+def test_counts_beyond_32_bits():
+    """Totals of two chunks that add up to more than 2**32 come back whole."""
+    for values in ([], [0], [255, 256], [2**32 - 1], [2**32 + 5, 1], [2**63, 0]):
+        want = np.array(values, np.uint64)
+        assert (M.unpacked(M.packed(want)).astype(np.uint64) == want).all()
+    hashes = np.array([3, 9, 2**63], np.uint64)
+    rows = [(c, np.array([2**32 - 1, 7, 2**33 + c], np.int64)) for c in range(2)]
+    table = pa.table(
+        {
+            "shard": [0, 0],
+            "chunk": [c for c, _ in rows],
+            "level": pa.array([0, 0], pa.int32()),
+            "grams": [M.EliasFano.of(hashes - hashes[0]).to_bytes()] * 2,
+            "counts": [hashes[0].tobytes() + M.packed(n) for _, n in rows],
+        }
+    )
+    out = {(r["chunk"], r["level"]): r["totals"] for r in M.summed(table).to_pylist()}
+    want = [2**33 - 2, 14, 2**34 + 1]
+    assert M.unpacked(out[0, 0]).tolist() == want == M.unpacked(out[1, 0]).tolist()
+    assert np.frombuffer(out[-1, -1], np.int64).tolist() == [3, sum(want)]

@@ -29,7 +29,6 @@ UNKNOWN = "und"
 MAX_MATRIX = 256 * (1 << BITS) * 8
 #: N-grams that are looked up at once.
 CHUNK = 1 << 20
-LETTER = re.compile(r"[^\W\d_]")
 # Odd multipliers of the hash, one per character of an n-gram.
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 
@@ -126,7 +125,7 @@ class Model:
         return score / score.sum()
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.langs or text is None or not LETTER.search(text):
+        if not self.langs or text is None or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         p = self.posterior(text)
         best = int(p.argmax())

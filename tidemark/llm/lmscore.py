@@ -266,14 +266,22 @@ class Trie:
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Unsigned 32-bit integers, byte by byte of significance, compressed."""
-    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    """Unsigned integers, as many bytes wide as the largest needs, byte by byte of
+    significance, compressed."""
+    largest = int(values.max()) if len(values) else 0
+    width = max(1, -(-largest.bit_length() // 8))
+    whole = values.astype("<u4" if width <= 4 else "<u8")
+    planes = whole.view(np.uint8).reshape(len(values), whole.itemsize).T[:width]
+    body = zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    return bytes([width]) + body
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+    width = data[0]
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 4 if width <= 4 else 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u4" if width <= 4 else "<u8").ravel()
 
 
 def chunks(docs: DataFrame, learn: Column, text: str, id_col: str, chunk_tokens: int) -> DataFrame:
