@@ -96,6 +96,23 @@ def test_null_and_distinct_counts(spark):
     assert profile.distinct_counts(df, approx=True).count() == 2
 
 
+def test_distinct_counts_of_all_types(spark):
+    df = spark.sql(
+        """SELECT * FROM VALUES
+        (0.0D, -0.0D, 1.50, true, DATE'2024-01-01', TIMESTAMP'2024-01-01', TIMESTAMP_NTZ'2024-01-01', X'00', array(1), 'a'),
+        (-0.0D, double('NaN'), 1.5, null, DATE'2024-01-01', null, null, X'01', array(1), 'A'),
+        (1.0D, double('NaN'), null, false, null, TIMESTAMP'2024-01-02', null, X'00', null, 'a ')
+        AS t(d, n, m, b, day, at, wall, raw, list, `a b`)"""
+    )
+    want = {c: df.select(F.countDistinct(f"`{c}`")).first()[0] for c in df.columns}
+    assert {r.column_name: r.distinct_values for r in profile.distinct_counts(df).collect()} == want
+    assert want["d"] == want["n"] == 2
+    only = df.select("raw", "list")
+    assert {tuple(r) for r in profile.distinct_counts(only).collect()} == {("raw", 2), ("list", 1)}
+    none = {tuple(r) for r in profile.distinct_counts(df.limit(0)).collect()}
+    assert none == {(c, 0) for c in df.columns}
+
+
 def test_scans_keep_nulls_and_batches(spark):
     """Values that are missing, and ranges that come in many batches."""
     rng = random.Random(5)

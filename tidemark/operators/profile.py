@@ -25,11 +25,49 @@ def null_counts(df: DataFrame) -> DataFrame:
     )
 
 
+#: Types whose text tells their values apart; a time with a zone goes as a number.
+_PLAIN = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def distinct_counts(df: DataFrame, approx: bool = False) -> DataFrame:
-    """(column, distinct non-NULL values)."""
-    count = F.approx_count_distinct if approx else F.countDistinct
-    wide = df.agg(*[count(c).alias(c) for c in df.columns])
-    return wide.unpivot([], df.columns, "column_name", "distinct_values")
+    """(column, distinct non-NULL values).
+
+    Each row gives one narrow cell per column, which combine before the shuffle; no copy
+    of the row is made for each column. Columns that text does not tell apart (binary and
+    nested ones) are counted by Spark's own distinct count.
+    """
+    if approx:
+        wide = df.agg(*[F.approx_count_distinct(c).alias(c) for c in df.columns])
+        return wide.unpivot([], df.columns, "column_name", "distinct_values")
+    plain = [f.name for f in df.schema if isinstance(f.dataType, _PLAIN)]
+    names = df.sparkSession.createDataFrame([(c,) for c in plain], "column_name string")
+
+    def text(c: str) -> Column:
+        value, kind = F.col(f"`{c}`"), df.schema[c].dataType
+        if isinstance(kind, T.TimestampType):
+            value = F.unix_micros(value)
+        elif isinstance(kind, (T.DoubleType, T.FloatType)):
+            value = value + F.lit(0)  # zero has two signs, and is one value
+        return value.cast("string")
+
+    rest = [c for c in df.columns if c not in plain]
+    wide = df.agg(*[F.countDistinct(f"`{c}`").alias(c) for c in rest]) if rest else None
+    if not plain:
+        return wide.unpivot([], [f"`{c}`" for c in rest], "column_name", "distinct_values")
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), text(c).alias("value")) for c in plain])
+    counts = (
+        df.select(F.inline(cells))
+        .where("value IS NOT NULL")
+        .distinct()
+        .groupBy("column_name")
+        .agg(F.count(F.lit(1)).alias("distinct_values"))
+    )
+    out = names.join(counts, "column_name", "left").fillna(0, ["distinct_values"])
+    if rest:
+        out = out.unionByName(
+            wide.unpivot([], [f"`{c}`" for c in rest], "column_name", "distinct_values")
+        )
+    return out
 
 
 def value_counts(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
@@ -122,16 +160,33 @@ def monthly_counts(df: DataFrame, ts: str) -> DataFrame:
 
 
 def monthly_rollup(df: DataFrame, ts: str = "invoice_date") -> DataFrame:
-    """Distinct invoices, items and customers, and the amount, per month."""
+    """Distinct invoices, items and customers, and the amount, per month.
+
+    A line counts once under its invoice, item and customer, as narrow cells that combine
+    before the shuffle; the amounts ride with the invoices.
+    """
     amount = S.money(F.col("price") * F.col("quantity"))
+    kinds = ["invoice", "stock_code", "customer_id"]
+
+    def cell(kind: str) -> Column:
+        paid = F.col("_amount") if kind == "invoice" else F.lit(None).cast(S.MONEY)
+        return F.struct(
+            F.lit(kind).alias("kind"), F.col(kind).cast("string").alias("value"), paid.alias("amount")
+        )
+
+    cells = (
+        df.select(S.month_key(ts).alias("invoice_month"), *kinds, amount.alias("_amount"))
+        .select("invoice_month", F.inline(F.array(*map(cell, kinds))))
+        .groupBy("invoice_month", "kind", "value")
+        .agg(F.sum("amount").alias("amount"), F.count("amount").alias("n"))
+    )
+    known = F.col("value").isNotNull()
     return (
-        df.groupBy(S.month_key(ts).alias("invoice_month"))
+        cells.groupBy("invoice_month")
         .agg(
-            F.countDistinct("invoice").alias("invoice_nunique"),
-            F.countDistinct("stock_code").alias("stock_code_nunique"),
-            F.countDistinct("customer_id").alias("customer_id_nunique"),
-            F.sum(amount).cast("double").alias("purchase_amount_sum"),
-            S.mean_of(F.sum(amount), F.count(amount)).alias("purchase_amount_mean"),
+            *[F.count_if(known & (F.col("kind") == k)).alias(f"{k}_nunique") for k in kinds],
+            F.sum("amount").cast("double").alias("purchase_amount_sum"),
+            S.mean_of(F.sum("amount"), F.sum("n")).alias("purchase_amount_mean"),
         )
         .orderBy("invoice_month")
     )
