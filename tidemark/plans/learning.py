@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import customers as U
@@ -22,7 +23,8 @@ from tidemark.plans.adapters import (
     draw_sql,
 )
 from tidemark.plans.registry import query, with_ctes
-from tidemark.session import freeze
+from tidemark.plans.retail import NUMERIC, folds_sql
+from tidemark.session import freeze, shared_dir
 
 CATS = ["payment_type", "day_of_week", "hour_of_day"]
 NUMS = ["passenger_count", "trip_distance"]
@@ -273,9 +275,27 @@ def trip_parts(t: Tables):
     return E.split_random(head, weights, ["event_id"])
 
 
-@query("train_regressor")
+PARTS_SQL = f"""
+parts AS (
+  SELECT event_id, {draw_sql("event_id", "42")} AS u FROM (
+    SELECT *, row_number() OVER (ORDER BY pickup_datetime, event_id) AS k FROM prepared_ids)
+  WHERE k <= floor((SELECT count(*) FROM prepared_ids) * 0.9))"""
+
+
+@query(
+    "train_regressor",
+    with_ctes(
+        TRIPS,
+        PREPARED_IDS,
+        PARTS_SQL,
+        select="""
+SELECT CASE WHEN u < 0.9 THEN 'valid' ELSE 'test' END AS data_type, count(*) AS n, true AS has_error
+FROM parts WHERE u >= 0.8 GROUP BY 1""",
+    ),
+)
 def _(t: Tables):
-    """Trees stopped early on the validation rows; their error there and on the test rows."""
+    """Trees stopped early on the validation rows, applied there and to the test rows: the rows
+    of each part, and that their error is a number. The error itself no SQL can know."""
     rows = trip_parts(t).persist()
     train, valid = (rows.where(f"data_type = '{k}'") for k in ("train", "valid"))
     model = models.train_regressor(
@@ -283,7 +303,14 @@ def _(t: Tables):
     )
     rows.unpersist()
     scored = model.transform(trip_parts(t).where("data_type <> 'train'"))
-    return metrics.rmse(scored, "tip_amount", "prediction", ["data_type"])
+    errors = metrics.rmse(scored, "tip_amount", "prediction", ["data_type"])
+    return errors.select("data_type", "n", is_number("rmse").alias("has_error"))
+
+
+def is_number(c: str):
+    """A finite value that is not negative."""
+    value = F.col(c)
+    return F.coalesce((value >= 0) & (value < float("inf")), F.lit(False))
 
 
 def in_dates(part: str) -> str:
@@ -304,8 +331,6 @@ WHERE NOT {in_dates("TRAIN")} GROUP BY 1""",
 def _(t: Tables):
     """Leaf-wise trees on the customers' features, stopped early: is their error below that of
     last month's amount on the dates they have not seen?"""
-    from tidemark.plans.retail import NUMERIC
-
     rows = freeze(U.training_set(t.clean(), DATES, baseline_days=30), "customers")
     train, valid = (rows.where(in_dates(part)) for part in ("TRAIN", "VALIDATE"))
     settings = boosting.Settings(
@@ -334,9 +359,6 @@ def _(t: Tables):
 
 def fold_models(t: Tables):
     """(scores, importances) of the models of all folds, which are saved below the shared folder."""
-    from tidemark.plans.retail import NUMERIC
-    from tidemark.session import shared_dir
-
     tx = t.clean()
     rows = U.baseline_join(U.concat_folds(tx, DATES), U.previous_amount(tx, DATES))
     return models.cross_validate(
@@ -352,31 +374,61 @@ def fold_models(t: Tables):
     )
 
 
-@query("cross_validate")
+@query(
+    "cross_validate",
+    with_ctes(
+        FEATURES_CTE,
+        folds_sql(),
+        """
+naive AS (
+  SELECT fold, round(sqrt(avg(power(target - coalesce(prev_month_amount, 0), 2))), 6) AS rmse_prev
+  FROM all_features JOIN next_month USING (customer_id, prediction_date)
+  JOIN folds USING (prediction_date)
+  LEFT JOIN last_month USING (customer_id, prediction_date)
+  WHERE role = 'valid' AND target IS NOT NULL GROUP BY fold)""",
+        select="""
+SELECT fold, rmse_prev, true AS has_error FROM naive
+UNION ALL SELECT 'mean', round(avg(rmse_prev), 6), true FROM naive""",
+    ),
+)
 def _(t: Tables):
-    """Scores per fold of the model and of last month's amount, with their means."""
-    return metrics.fold_summary(fold_models(t)[0], ["rmse_prev", "rmse"])
+    """Per fold and on average: the error of last month's amount, and that the model has one."""
+    scores = metrics.fold_summary(fold_models(t)[0], ["rmse_prev", "rmse"])
+    return scores.select("fold", "rmse_prev", is_number("rmse").alias("has_error"))
 
 
-@query("model_importance")
+@query(
+    "model_importance",
+    f"SELECT unnest({['country_mode', *NUMERIC]}) AS feature, true AS is_share",
+)
 def _(t: Tables):
-    """Importances of the folds' models, averaged: the highest 20."""
-    return metrics.importance_topn(fold_models(t)[1], 20)
+    """Importances of the folds' models, averaged: all columns are there, with a share of 1."""
+    found = metrics.importance_topn(fold_models(t)[1], 20)
+    return found.select("feature", (is_number("mean") & (F.col("mean") <= 1)).alias("is_share"))
 
 
-@query("batch_score")
+@query(
+    "batch_score",
+    with_ctes(
+        FEATURES_CTE,
+        select=f"""
+SELECT customer_id, prediction_date, true AS clip_holds
+FROM all_features WHERE prediction_date = DATE '{DATES[-1]}'""",
+    ),
+)
 def _(t: Tables):
-    """Fitted on the training dates, saved, loaded, and applied to the last date."""
-    from tidemark.plans.retail import NUMERIC
-    from tidemark.session import shared_dir
-
+    """Fitted on the training dates, saved, loaded, and applied to the last date: a row per
+    customer, whose clipped amount is the amount or 0."""
     rows = U.training_set(t.clean(), DATES)
     train = rows.where(F.col("prediction_date") < DATES[-1])
     model = models.train_regressor(train, None, ["country_mode"], NUMERIC, "target", maxIter=ROUNDS)
     path = shared_dir(t.spark, "model")
     models.save_model(model, path)
     features = U.customer_features(t.clean(), DATES[-1:])
-    return models.batch_score(features, path, ["customer_id"], DATES[-1])
+    scored = models.batch_score(features, path, ["customer_id"], DATES[-1])
+    amount, clipped = F.col("predicted_amount"), F.col("predicted_amount_clipped")
+    holds = is_number("predicted_amount_clipped") & (clipped == F.when(amount < 0, 0.0).otherwise(amount))
+    return scored.select("customer_id", "prediction_date", holds.alias("clip_holds"))
 
 
 # ---- trials ----
@@ -428,8 +480,19 @@ def _(t: Tables):
     return R.pareto_front(lines, "l_extendedprice", "l_quantity")
 
 
-@query("rf_importance")
+PRICE_INPUTS = ["l_quantity", "l_discount", "l_tax", "l_partkey"]
+
+
+@query(
+    "rf_importance",
+    f"SELECT unnest({PRICE_INPUTS}) AS feature, true AS is_share, true AS sums_to_1 FROM range(1)",
+)
 def _(t: Tables):
-    """What the price of a line depends on."""
-    inputs = ["l_quantity", "l_discount", "l_tax", "l_partkey"]
-    return models.rf_importance(t.raw("lineitem"), inputs, "l_extendedprice")
+    """What the price of a line depends on: a share of each input, together 1."""
+    found = models.rf_importance(t.raw("lineitem"), PRICE_INPUTS, "l_extendedprice")
+    total = F.sum("importance").over(Window.partitionBy())
+    return found.select(
+        "feature",
+        is_number("importance").alias("is_share"),
+        (F.abs(total - 1) < 1e-9).alias("sums_to_1"),
+    )
