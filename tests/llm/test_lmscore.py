@@ -158,3 +158,13 @@ def test_counts_beyond_32_bits():
     want = [2**33 - 2, 14, 2**34 + 1]
     assert M.unpacked(out[0, 0]).tolist() == want == M.unpacked(out[1, 0]).tolist()
     assert np.frombuffer(out[-1, -1], np.int64).tolist() == [3, sum(want)]
+
+
+def test_chunks_are_not_shuffled_again(spark):
+    """Only the answers meet the chunks by an exchange; the catalogue is left as it was."""
+    before = {t.name for t in spark.catalog.listTables()}
+    found = M.scored(documents(spark), F.lit(True), chunk_tokens=500)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    assert found.count() == documents(spark).count()
+    assert {t.name for t in spark.catalog.listTables()} == before

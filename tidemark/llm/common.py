@@ -35,6 +35,22 @@ def saved(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def saved_in_buckets(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Like ``saved``, dealt by ``key`` into as many buckets as the session has shuffle
+    partitions: a later grouping by the key reads the rows where they are, without a shuffle.
+
+    The catalogue is only asked to read the buckets as such; no table stays in it.
+    """
+    spark, table = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.option("path", shared_folder(spark, name)).bucketBy(buckets, key)
+    writer.saveAsTable(table)
+    out = spark.table(table)
+    out.schema  # resolved before the name goes
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row.
 

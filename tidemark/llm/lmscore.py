@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bytes_of, saved
+from tidemark.llm.common import bytes_of, saved, saved_in_buckets
 
 ORDER = 3
 CHUNK_TOKENS = 1_000_000
@@ -542,7 +542,8 @@ def scored(
     mu: tuple[float, float] = MU,
 ) -> DataFrame:
     """(id, learn, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-    stored = saved(chunks(docs, learn, text, id_col, chunk_tokens), "chunks")
+    # In buckets, so that the chunks themselves are not shuffled when the answers come back.
+    stored = saved_in_buckets(chunks(docs, learn, text, id_col, chunk_tokens), "chunks", "chunk")
     tokens = stored.agg(F.sum("n")).first()[0] or 0
     shards = max(32, ORDER * tokens // (2 * shard_grams))
     totals = saved(
