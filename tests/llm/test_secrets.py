@@ -1,3 +1,5 @@
+import collections
+import hashlib
 import base64
 import bz2
 import gzip
@@ -193,3 +195,33 @@ def test_rows_of_all_kinds(spark):
     row = S.redacted(one).first()
     assert (row["text"], row["n_chars"]) == ('see [SECRET]"', 13)
     assert S.secret_spans(empty(spark)).count() == S.redacted(empty(spark)).count() == 0
+
+
+def plain_scan(text):
+    """The base spans of a text, by patterns of their own: kind, start, end."""
+    name = r"(?:password|passwd|secret|token|api_?key)"
+    assign = re.finditer(rf"(?i:{name})[\"']?\x20*[:=]\x20*[\"']?(?P<value>[A-Za-z0-9+/_.=-]+)", text)
+    spans = [("assign", m.start(), m.end()) for m in assign if len(m["value"]) >= 8]
+    spans += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    spans += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(spans, key=lambda s: (s[1], ["assign", "access", "hex"].index(s[0])))
+
+
+def test_base_spans_equal_an_independent_scan(spark):
+    from tidemark.llm import queries as Q
+
+    sf_dir = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] or "" for r in Q.table(spark, sf_dir, "documents").collect()}
+    found = {r["doc_id"]: r for r in Q.op4_secret_scan(spark, sf_dir).collect()}
+    assert found.keys() == texts.keys()
+    seen = collections.Counter()
+    for i, text in texts.items():
+        spans = plain_scan(text)
+        joined = ",".join(f"{kind}:{a}:{b}" for kind, a, b in spans)
+        n = collections.Counter(kind for kind, *_ in spans)
+        r = found[i]
+        assert (r["n_assign"], r["n_access"], r["n_hex"]) == (n["assign"], n["access"], n["hex"])
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert set(joined.split(",")) - {""} <= set(r["spans"].split(","))
+        seen += n
+    assert sum(seen.values()) > 0
