@@ -2,6 +2,12 @@
 
 Each stage works on all rows that the one before it kept, and hands on the columns of
 ``documents`` (the last one: pieces of documents with their place in a sequence).
+
+Defined results, by each stage's operator: a null text is empty; an empty or very long text is
+treated whole like any other; rows that repeat are each judged, and near_dedup keeps one of
+them; rows without an id or a source are treated like others; an empty table gives an empty
+table; further columns, whatever their names, are handed on unchanged by all stages but the
+last, which does not read them.
 """
 
 from __future__ import annotations
@@ -14,27 +20,37 @@ from tidemark.llm.common import saved
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what the quality rules and the hosts' verdicts reject."""
+    """Drops what the quality rules and the hosts' verdicts reject.
+
+    A null or empty text has no words and goes; a row without a source is judged by the hard
+    rules alone.
+    """
     return hostrules.kept(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of each near-duplicate group that has the smallest id."""
+    """Keeps the document of each near-duplicate group that has the smallest id.
+
+    Texts without words are one group; of rows that share the smallest id one stays.
+    """
     return simhash.one_per_component(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold passages of the benchmark."""
+    """Drops documents that hold passages of the benchmark.
+
+    A text without words holds none; an empty benchmark drops nothing.
+    """
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks secrets in the texts; every document stays."""
+    """Masks secrets in the texts; every document stays, a null text as null."""
     return secrets.redacted(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokens of each document, packed into sequences."""
+    """Tokens of each document, packed into sequences; an empty text is its end id alone."""
     return packing.pack_documents(docs).select(
         F.col("id").alias("doc_id"),
         "piece",
