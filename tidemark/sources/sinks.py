@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from typing import Any
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,27 +97,25 @@ def append_rows(spark: SparkSession, name: str, rows: Sequence[Sequence[Any]]) -
 def overwrite_days(df: DataFrame, name: str, ts: str, days: Sequence[str]) -> None:
     """Replace these days of the table ``name``, which is partitioned by ``day``.
 
-    One insert writes all days (partitions that get rows are overwritten, others
-    stay); a day that got none is dropped from the table. What was written is known
-    from the write itself.
+    One insert writes all days: partitions that get rows are overwritten, others stay. A day
+    whose old files are still there got no row, and is dropped from the table.
     """
     spark = df.sparkSession
-    wanted = [F.lit(d).cast("date") for d in days]
-    rows = df.withColumn("day", F.to_date(ts)).where(F.col("day").isin(*wanted))
+    in_days = F.col("day").isin(*[F.lit(d).cast("date") for d in days])
+    rows = df.withColumn("day", F.to_date(ts)).where(in_days)
     if not spark.catalog.tableExists(name):
         rows.limit(0).write.partitionBy("day").saveAsTable(name)
-    seen = Observation()
-    observed = rows.select(*spark.table(name).columns).observe(
-        seen, F.collect_set(F.col("day").cast("string")).alias("days")
-    )
+    before = set(spark.table(name).where(in_days).inputFiles())
     mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
+    held = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")
     try:
-        observed.write.insertInto(name, overwrite=True)
+        rows.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
     finally:
-        spark.conf.set(mode, before)
-    for day in set(days) - set(seen.get["days"]):
+        spark.conf.set(mode, held)
+    spark.catalog.refreshTable(name)
+    kept = before & set(spark.table(name).where(in_days).inputFiles())
+    for day in {m for f in kept for m in re.findall(r"/day=([0-9-]+)/", f)}:
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (day = DATE '{day}')")
 
 
