@@ -6,6 +6,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.plans.catalog import QUERIES
 from tidemark.sources import readers, sinks
 from tidemark.streaming import categorize as SC
 from tidemark.streaming import latest as SL
@@ -100,6 +101,18 @@ def test_manifest_from_listed_files(spark, tmp_path):
     assert readers.read_objects(spark, str(tmp_path / "photos")).first().content == b"x"
 
 
+def test_each_page_is_a_stored_object_of_its_own(spark, tmp_path):
+    pages = [(1, "ab"), (65, "é"), (65, "é"), (-3, "x\n"), (None, "abc"), (2, ""), (3, None)]
+    for name, rows in (("some", pages), ("none", [])):
+        df = spark.createDataFrame(rows, "page_id long, html string")
+        df.write.parquet(str(tmp_path / name / "pages.parquet"))
+    listed = QUERIES["list_objects"](spark, str(tmp_path / "some"))
+    assert listed.columns == ["page_id", "size"]
+    want = [(page, len((html or "").encode())) for page, html in pages]
+    assert sorted(map(str, (tuple(r) for r in listed.collect()))) == sorted(map(str, want))
+    assert QUERIES["list_objects"](spark, str(tmp_path / "none")).count() == 0
+
+
 def test_tables_views_and_required_columns(spark):
     sinks.ensure_schema(spark, "chatbot")
     schema = T.StructType(

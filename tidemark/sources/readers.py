@@ -135,7 +135,10 @@ def read_latest(
 
 
 def list_objects(spark: SparkSession, root: str, glob: str = "*.jpg") -> DataFrame:
-    """(uri, size, modified) of the stored objects; their content is not read."""
+    """(uri, size, modified) of the stored objects; their content is not read.
+
+    Spark's listing: it is held by the driver, and passes over empty objects.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)

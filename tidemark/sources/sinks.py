@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Sequence
 from typing import Any
 
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,34 @@ def write_csv_matrix(df: DataFrame, vector: str, path: str) -> None:
     df.select(F.array_join(values, ",").alias("value")).write.mode("overwrite").text(path)
 
 
+def write_objects(objects: DataFrame, root: str) -> None:
+    """Each row (path, content) as one stored object below ``root``; paths must differ.
+
+    A task that runs again writes the same objects. ``root`` also gets a hidden folder,
+    which listings pass over, with the number of objects that each task wrote.
+    """
+
+    def write(batches):
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(root)
+        made, written = set(), 0
+        for batch in batches:
+            for path, content in zip(*batch.columns):
+                place = f"{base}/{path.as_py()}"
+                folder = place.rpartition("/")[0]
+                if folder not in made:
+                    system.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with system.open_output_stream(place, compression=None) as out:
+                    out.write(content.as_buffer())
+                written += 1
+        yield pa.RecordBatch.from_arrays([pa.array([written], pa.int64())], ["written"])
+
+    rows = objects.select("path", "content")
+    rows.mapInArrow(write, "written long").write.parquet(f"{root}/_written")
+
+
 def ensure_schema(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
 
