@@ -26,6 +26,31 @@ def test_elias_fano(values, scale):
         assert s.find(asked).tolist() == [place.get(int(x), -1) for x in asked]
 
 
+def test_sent_lists_are_near_the_least_bits():
+    """Hashes within a bit of what a set of them takes, counts below the one byte of a number."""
+    rng = np.random.default_rng(3)
+    for n in (1, 700, 3000, 4097):
+        values = np.sort(rng.integers(0, 2**56, n).astype(np.uint64))
+        data = M.EliasFano.of(values).to_bytes()
+        assert (M.EliasFano.from_bytes(data).all() == values).all()
+        assert 8 * len(data) < n * (56 - math.log2(n) + 2.1) + 8 * 16
+    counts = rng.geometric(0.8, 3000) - 1
+    assert len(M.packed_counts(counts)) < 3000 * 1.6 / 8 < len(M.packed(counts))
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(0, 2**64 - 1) | st.integers(0, 9), max_size=60), st.integers(0, 63))
+def test_counts_and_words_come_back(values, shift):
+    values = np.array(values, np.uint64) >> np.uint64(shift)
+    assert (M.unpacked(M.packed_counts(values)).astype(np.uint64) == values).all()
+    words = np.unique(values)
+    assert (M.rising_from_bytes(M.rising_to_bytes(words)) == words).all()
+    counts = (words % np.uint64(2 * M.RARE)).astype(np.int64) + 1
+    order = np.lexsort((words, -counts))
+    stored = M.packed_words(words[order], counts[order])
+    assert (M.unpacked_words(stored) == words[order]).all()
+
+
 def test_a_saved_trie_answers_like_the_one_in_memory(tmp_path):
     rng = np.random.default_rng(1)
     words = 30

@@ -27,6 +27,7 @@ learnt from) one by one; an empty table gives an empty table; extra columns are
 from __future__ import annotations
 
 import tempfile
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -145,15 +146,48 @@ class EliasFano:
 
     def to_bytes(self) -> bytes:
         """Without the directory, which ``from_bytes`` makes anew."""
-        return b"".join(p.tobytes() for p in self.parts()[:3])
+        return rising_to_bytes(self.all())
 
     @classmethod
     def from_bytes(cls, data: bytes) -> EliasFano:
-        n, low_bytes, n_low, n_high = np.frombuffer(data, np.int64, 4).tolist()
-        low = np.frombuffer(data, np.uint8, n_low, 32)
-        high = np.frombuffer(data, np.uint8, 8 * n_high, 32 + n_low).copy().view("<u8")
-        ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high))]).astype(np.int64)
-        return cls(n, low_bytes, low, high, ones)
+        return cls.of(rising_from_bytes(data))
+
+
+def rising_to_bytes(values: np.ndarray) -> bytes:
+    """A non-decreasing sequence in Elias-Fano form, to be read as a whole.
+
+    The low parts have whole bits instead of whole bytes: their full bytes stand value by
+    value, the bits above those in planes.
+    """
+    values = values.astype("<u8")
+    n = len(values)
+    universe = int(values[-1]) + 1 if n else 1
+    bits = (universe // max(n, 1)).bit_length() - 1 if universe > n else 0
+    whole, rest = divmod(bits, 8)
+    raw = values.view(np.uint8).reshape(n, 8)
+    planes = (raw[:, whole] >> np.arange(rest, dtype=np.uint8)[:, None]) & 1
+    top = (values >> np.uint64(bits)).astype(np.int64)
+    marks = np.zeros(int(top[-1]) + n if n else 0, np.uint8)
+    marks[top + np.arange(n)] = 1
+    parts = (np.packbits(x, bitorder="little") for x in (planes.ravel(), marks))
+    head = np.array([n, bits, len(marks)], "<u4")
+    return b"".join(x.tobytes() for x in (head, raw[:, :whole], *parts))
+
+
+def rising_from_bytes(data: bytes) -> np.ndarray:
+    """The values that ``rising_to_bytes`` was given."""
+    n, bits, size = np.frombuffer(data, "<u4", 3).tolist()
+    whole, rest = divmod(bits, 8)
+    raw, at = np.zeros((n, 8), np.uint8), 12 + n * whole
+    raw[:, :whole] = np.frombuffer(data, np.uint8, n * whole, 12).reshape(n, whole)
+    if rest:
+        planes = np.frombuffer(data, np.uint8, -(-n * rest // 8), at)
+        at += len(planes)
+        planes = np.unpackbits(planes, count=n * rest, bitorder="little").reshape(rest, n)
+        raw[:, whole] = np.bitwise_or.reduce(planes << np.arange(rest, dtype=np.uint8)[:, None])
+    marks = np.unpackbits(np.frombuffer(data, np.uint8, -1, at), count=size, bitorder="little")
+    top = (np.flatnonzero(marks) - np.arange(n)).astype(np.uint64)
+    return top << np.uint64(bits) | raw.view("<u8").ravel()
 
 
 def quantised(log10: np.ndarray) -> np.ndarray:
@@ -276,14 +310,60 @@ def packed(values: np.ndarray) -> bytes:
     return bytes([width]) + body
 
 
+def packed_counts(values: np.ndarray) -> bytes:
+    """Unsigned integers that are mostly small: the number of bits of each, by Huffman's
+    code, and the bits below the highest one in planes."""
+    largest = int(values.max()) if len(values) else 0
+    if largest >> 32:
+        return packed(values)
+    values = values.astype(np.uint32)
+    size = np.frexp(values.astype(np.float64))[1].astype(np.uint8)
+    coder = zlib.compressobj(6, zlib.DEFLATED, -9, 7, zlib.Z_HUFFMAN_ONLY)
+    sizes = coder.compress(size.tobytes()) + coder.flush()
+    planes = [values[size > b + 1] >> np.uint32(b) & np.uint32(1) for b in range(largest.bit_length() - 1)]
+    bits = np.packbits(np.concatenate(planes).astype(np.uint8)).tobytes() if planes else b""
+    return bytes([0]) + len(sizes).to_bytes(4, "little") + sizes + bits
+
+
 def unpacked(data: bytes) -> np.ndarray:
+    """The values that ``packed`` or ``packed_counts`` was given."""
     width = data[0]
+    if not width:
+        stop = 5 + int.from_bytes(data[1:5], "little")
+        size = np.frombuffer(zlib.decompress(data[5:stop], -9), np.uint8)
+        bits = np.unpackbits(np.frombuffer(data, np.uint8, -1, stop))
+        out = np.where(size > 0, np.uint32(1) << np.maximum(size, 1).astype(np.uint32) - 1, 0).astype("<u4")
+        at = 0
+        for b in range(int(size.max()) - 1 if len(size) else 0):
+            rows = np.flatnonzero(size > b + 1)
+            out[rows] |= bits[at : at + len(rows)].astype(np.uint32) << np.uint32(b)
+            at += len(rows)
+        return out
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8).reshape(width, -1)
     out = np.zeros((planes.shape[1], 4 if width <= 4 else 8), np.uint8)
     out[:, :width] = planes.T
     return out.view("<u4" if width <= 4 else "<u8").ravel()
 
 
+#: Words of up to so many tokens in a chunk are stored as one rising list per count.
+RARE = 8
+
+
+def packed_words(hashes: np.ndarray, counts: np.ndarray) -> bytes:
+    """Word hashes by falling count, those with the same count rising."""
+    borders = np.searchsorted(-counts, np.arange(-RARE, 2))
+    parts = [hashes[: borders[0]].astype("<u8").tobytes()]
+    parts += [rising_to_bytes(hashes[a:b]) for a, b in zip(borders[:-1], borders[1:])]
+    return np.array([len(p) for p in parts], "<u4").tobytes() + b"".join(parts)
+
+
+def unpacked_words(data: bytes) -> np.ndarray:
+    sizes = np.frombuffer(data, "<u4", RARE + 2)
+    stops = (4 * len(sizes) + np.cumsum(sizes, dtype=np.int64)).tolist()
+    lists = [rising_from_bytes(data[a:b]) for a, b in zip(stops[:-1], stops[1:])]
+    return np.concatenate([np.frombuffer(data, "<u8", sizes[0] // 8, 4 * len(sizes)), *lists])
+
+
 def chunks(docs: DataFrame, learn: Column, text: str, id_col: str, chunk_tokens: int) -> DataFrame:
     """(chunk, ids, learn, sizes, words, stream, n): documents as places in a list of word hashes."""
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -298,7 +378,8 @@ def chunks(docs: DataFrame, learn: Column, text: str, id_col: str, chunk_tokens:
             hashes[0] = END
             # Frequent words first: their places are small numbers.
             tokens = np.concatenate(stream)
-            order = np.argsort(-np.bincount(tokens, minlength=len(hashes)), kind="stable")
+            counts = np.bincount(tokens, minlength=len(hashes))
+            order = np.lexsort((hashes, -counts))
             to = np.empty(len(order), np.uint32)
             to[order] = np.arange(len(order))
             tokens = to[tokens]
@@ -308,7 +389,7 @@ def chunks(docs: DataFrame, learn: Column, text: str, id_col: str, chunk_tokens:
                     pa.ListArray.from_arrays([0, len(ids)], pa.concat_arrays(ids)),
                     pa.array([np.array(flags, np.uint8).tobytes()], pa.binary()),
                     pa.array([np.array(sizes, "<u4").tobytes()], pa.binary()),
-                    pa.array([hashes[order].tobytes()], pa.binary()),
+                    pa.array([packed_words(hashes[order], counts[order])], pa.binary()),
                     pa.array([packed(tokens)], pa.binary()),
                     pa.array([len(tokens)], pa.int64()),
                 ],
@@ -366,7 +447,7 @@ class Grams:
 class Chunk:
     """The tokens of a chunk, and the n-grams in them."""
 
-    def __init__(self, learn: bytes, sizes: bytes, words: bytes, stream: bytes) -> None:
+    def __init__(self, learn: bytes, sizes: bytes, words: bytes | np.ndarray, stream: bytes) -> None:
         self.learn = np.frombuffer(learn, np.uint8).astype(bool)
         self.sizes = np.frombuffer(sizes, "<u4").astype(np.int64)
         by_count = np.frombuffer(words, np.uint64)
@@ -398,7 +479,7 @@ class Chunk:
             hashed ^= hashed >> np.uint64(29)
             hashed *= _M1
             hashed &= np.uint64((1 << HASH_BITS) - 1 << 64 - HASH_BITS)
-            by_hash = np.argsort(hashed, kind="stable")
+            by_hash = np.argsort(hashed)  # equal hashes get equal answers, in any order
             by_key = np.empty_like(by_hash)
             by_key[by_hash] = np.arange(len(by_hash))
             found.append(Grams(hashed[by_hash], n[by_hash], by_key, distinct, ends, inverse))
@@ -419,13 +500,14 @@ def sent_grams(stored: DataFrame, shards: int) -> DataFrame:
     def send(batches):
         for batch in batches:
             for chunk, learn, sizes, words, stream in zip(*(c.to_pylist() for c in batch.columns)):
-                for level, g in enumerate(Chunk(learn, sizes, words, stream).grams()):
+                own = Chunk(learn, sizes, unpacked_words(words), stream)
+                for level, g in enumerate(own.grams()):
                     borders = np.searchsorted(shard_of(g.hashes, shards), np.arange(shards + 1))
                     rows = [
                         (
                             s,
-                            EliasFano.of(g.hashes[a:b] - g.hashes[a]).to_bytes(),
-                            g.hashes[a].tobytes() + packed(g.counts[a:b]),
+                            rising_to_bytes(g.hashes[a:b] - g.hashes[a]),
+                            g.hashes[a].tobytes() + packed_counts(g.counts[a:b]),
                         )
                         for s, (a, b) in enumerate(zip(borders[:-1], borders[1:]))
                         if b > a
@@ -455,20 +537,20 @@ def summed(table: pa.Table) -> pa.Table:
     for level in np.unique(levels):
         at = np.flatnonzero(levels == level)
         hashes = [
-            EliasFano.from_bytes(rows["grams"][i]).all() + np.frombuffer(rows["counts"][i], np.uint64, 1)
+            rising_from_bytes(rows["grams"][i]) + np.frombuffer(rows["counts"][i], np.uint64, 1)
             for i in at
         ]
         borders = np.cumsum([len(h) for h in hashes])[:-1]
         hashes = np.concatenate(hashes)
         counts = np.concatenate([unpacked(rows["counts"][i][8:]) for i in at]).astype(np.int64)
-        order = np.argsort(hashes, kind="stable")  # of runs that are sorted already
+        order = np.argsort(hashes)
         hashes = hashes[order]
         first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
         sums = np.add.reduceat(counts[order], first)
         totals = np.empty(len(order), np.int64)
         totals[order] = np.repeat(sums, np.diff(np.append(first, len(order))))
         out += [
-            (rows["chunk"][i], shard, int(level), packed(t)) for i, t in zip(at, np.split(totals, borders))
+            (rows["chunk"][i], shard, int(level), packed_counts(t)) for i, t in zip(at, np.split(totals, borders))
         ]
         if level == 0:
             v_n = np.array([np.count_nonzero(sums), sums.sum()], np.int64)
@@ -560,7 +642,7 @@ def scored(
 
     def score(own: pa.Table, answers: pa.Table) -> pa.Table:
         row = own.to_pylist()[0]
-        chunk = Chunk(row["learn"], row["sizes"], row["words"], row["stream"])
+        chunk = Chunk(row["learn"], row["sizes"], unpacked_words(row["words"]), row["stream"])
         grams = chunk.grams()
         suffix = suffixes(chunk, grams)
         got: dict[int, list] = {level: [] for level in range(ORDER)}
