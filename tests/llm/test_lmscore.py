@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -40,6 +40,8 @@ def test_sent_lists_are_near_the_least_bits():
 
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 2**64 - 1) | st.integers(0, 9), max_size=60), st.integers(0, 63))
+@example([2**64 - 1], 0)
+@example([0, 2**64 - 1], 0)
 def test_counts_and_words_come_back(values, shift):
     values = np.array(values, np.uint64) >> np.uint64(shift)
     assert (M.unpacked(M.packed_counts(values)).astype(np.uint64) == values).all()

@@ -49,6 +49,14 @@ END = xxhash.xxh64_intdigest(b"\n")
 LEAST = -32.0
 #: Bits of the hashes by which 2- and 3-grams meet; single words have 64.
 HASH_BITS = 64
+#: For the place of a bit in a word: masks, and the place of the k-th one of each byte.
+_PAIRS, _FOURS, _BYTES, _ONES, _HIGHS = (
+    np.uint64(0x0101010101010101 * m) for m in (0x55, 0x33, 0x0F, 0x01, 0x80)
+)
+_IN_BYTE = np.zeros((256, 8), np.uint64)
+for _byte in range(256):
+    _places = [k for k in range(8) if _byte >> k & 1]
+    _IN_BYTE[_byte, : len(_places)] = _places
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -92,17 +100,18 @@ class EliasFano:
         """Place of the k-th one or zero of the high bits."""
         before = self.ones if bit else 64 * np.arange(len(self.ones)) - self.ones
         word = np.searchsorted(before, k, "right") - 1
-        left = (k - before[word]).astype(np.int64)
+        left = (k - before[word]).astype(np.uint64)
         bits = self.high[word] if bit else ~self.high[word]
-        place = word * 64
-        for width in (32, 16, 8, 4, 2, 1):  # halve the word that holds it
-            part = bits & np.uint64((1 << width) - 1)
-            n = np.bitwise_count(part).astype(np.int64)
-            over = left >= n
-            left -= np.where(over, n, 0)
-            place += np.where(over, width, 0)
-            bits = np.where(over, bits >> np.uint64(width), part)
-        return place
+        # Ones in the first byte of the word, the first two, and so on, one sum per byte.
+        sums = bits - (bits >> np.uint64(1) & _PAIRS)
+        sums = (sums & _FOURS) + (sums >> np.uint64(2) & _FOURS)
+        sums = (sums + (sums >> np.uint64(4)) & _BYTES) * _ONES
+        # The high bit stays in each byte whose sum is not over the number looked for.
+        passed = np.bitwise_count((left * _ONES | _HIGHS) - sums & _HIGHS).astype(np.uint64)
+        passed = np.minimum(passed, np.uint64(7)) << np.uint64(3)
+        left -= (sums << np.uint64(8)) >> passed & np.uint64(255)
+        byte = bits >> passed & np.uint64(255)
+        return word * 64 + (passed + _IN_BYTE[byte, np.minimum(left, np.uint64(7))]).astype(np.int64)
 
     def get(self, i: np.ndarray) -> np.ndarray:
         """The i-th values."""
@@ -123,11 +132,14 @@ class EliasFano:
         here = np.where(top > 0, self._select(np.maximum(top - 1, 0), 0) - np.maximum(top - 1, 0), 0)
         # Successor search by halving between them.
         last = stop.copy()
-        while len(open_ := np.flatnonzero(here < last)):
-            middle = (here[open_] + last[open_]) >> 1
+        open_ = np.flatnonzero(here < last)
+        while len(open_):
+            a, b = here[open_], last[open_]
+            middle = (a + b) >> 1
             less = self._low(middle) < low[open_]
-            here[open_] = np.where(less, middle + 1, here[open_])
-            last[open_] = np.where(less, last[open_], middle)
+            here[open_] = a = np.where(less, middle + 1, a)
+            last[open_] = b = np.where(less, b, middle)
+            open_ = open_[a < b]
         ok = here < stop
         ok[ok] = self._low(here[ok]) == low[ok]
         at[rows[ok]] = here[ok]
@@ -162,7 +174,7 @@ def rising_to_bytes(values: np.ndarray) -> bytes:
     values = values.astype("<u8")
     n = len(values)
     universe = int(values[-1]) + 1 if n else 1
-    bits = (universe // max(n, 1)).bit_length() - 1 if universe > n else 0
+    bits = min(63, max(0, (universe // max(n, 1)).bit_length() - 1))
     whole, rest = divmod(bits, 8)
     raw = values.view(np.uint8).reshape(n, 8)
     planes = (raw[:, whole] >> np.arange(rest, dtype=np.uint8)[:, None]) & 1
