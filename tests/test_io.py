@@ -101,6 +101,23 @@ def test_manifest_from_listed_files(spark, tmp_path):
     assert readers.read_objects(spark, str(tmp_path / "photos")).first().content == b"x"
 
 
+def test_tasks_list_what_spark_lists_and_empty_objects(spark, tmp_path):
+    objects = [("a/x.jpg", b"1"), ("a/b/y é.jpg", b"22"), ("c/z.jpg", b""), ("c/z.txt", b"4")]
+    root = f"file://{tmp_path}/objects"
+    sinks.write_objects(spark.createDataFrame(objects, "path string, content binary"), root)
+    whole = readers.list_objects(spark, root)
+    folders = spark.createDataFrame([("a",), ("c",)], "folder string")
+    by_tasks = readers.list_objects(spark, root, folders=folders)
+    assert by_tasks.schema == whole.schema
+    name = F.regexp_extract("uri", "/objects/(.*)$", 1).alias("name")
+    seen = {tuple(r) for r in whole.select(name, "size").collect()}
+    assert seen == {("a/x.jpg", 1), ("a/b/y é.jpg", 2)}
+    assert {tuple(r) for r in by_tasks.select(name, "size").collect()} == seen | {("c/z.jpg", 0)}
+    times = (x.select(name, F.unix_millis("modified")).where("name like 'a/%'") for x in (whole, by_tasks))
+    assert len({frozenset(map(tuple, x.collect())) for x in times}) == 1
+    assert {r.uri[:5] for r in by_tasks.collect()} == {"file:"}
+
+
 def test_each_page_is_a_stored_object_of_its_own(spark, tmp_path):
     pages = [(1, "ab"), (65, "é"), (65, "é"), (-3, "x\n"), (None, "abc"), (2, ""), (3, None)]
     for name, rows in (("some", pages), ("none", [])):
@@ -108,6 +125,7 @@ def test_each_page_is_a_stored_object_of_its_own(spark, tmp_path):
         df.write.parquet(str(tmp_path / name / "pages.parquet"))
     listed = QUERIES["list_objects"](spark, str(tmp_path / "some"))
     assert listed.columns == ["page_id", "size"]
+    assert "binaryFile" not in listed._jdf.queryExecution().executedPlan().toString()
     want = [(page, len((html or "").encode())) for page, html in pages]
     assert sorted(map(str, (tuple(r) for r in listed.collect()))) == sorted(map(str, want))
     assert QUERIES["list_objects"](spark, str(tmp_path / "none")).count() == 0

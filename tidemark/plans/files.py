@@ -133,23 +133,22 @@ def _(t: Tables):
 
 @query("list_objects", "SELECT page_id, CAST(strlen(html) AS BIGINT) AS size FROM pages")
 def _(t: Tables):
-    """The pages as stored objects, several in each of 64 folders, listed without being read.
+    """The pages as stored objects, a thousand ids in a folder, listed without being read.
 
-    Each has a line end after the page, since Spark's listing passes over empty files. A page
-    without html has size 0; pages that share an id are objects of their own.
+    A page without html is an empty object; pages that share an id are objects of their own.
     """
     root = shared_dir(t.spark, "objects")
-    folder = F.coalesce(F.pmod("page_id", F.lit(64)), F.lit(0)).cast("string")
+    folder = F.coalesce(F.expr("page_id div 1000"), F.lit(0)).cast("string")
     page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
     row = F.monotonically_increasing_id().cast("string")
     path = F.concat(folder, F.lit("/page_"), page, F.lit("_"), row, F.lit(".html"))
-    content = F.concat(F.coalesce("html", F.lit("")), F.lit("\n")).cast("binary")
+    content = F.coalesce("html", F.lit("")).cast("binary")
     sinks.write_objects(t.raw("pages").select(path.alias("path"), content.alias("content")), root)
-    # A file takes a few bytes of the listing and is not opened: few tasks list them all.
-    found = readers.list_objects(t.spark, root, "*.html").coalesce(64)
+    folders = t.raw("pages").select(folder.alias("folder")).distinct()
+    found = readers.list_objects(t.spark, root, "*.html", folders)
     named = F.regexp_extract("uri", r"/page_(-?\d*)_\d+\.html$", 1)
     page_id = F.nullif(named, F.lit("")).cast("long").alias("page_id")
-    return found.select(page_id, (F.col("size") - 1).alias("size"))
+    return found.select(page_id, "size")
 
 
 @query("create_typed_table", ORDER_SQL)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import fnmatch
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,11 +137,18 @@ def read_latest(
     return read_jsonl(spark, last, schema, drop_bad=False)
 
 
-def list_objects(spark: SparkSession, root: str, glob: str = "*.jpg") -> DataFrame:
+def list_objects(
+    spark: SparkSession, root: str, glob: str = "*.jpg", folders: DataFrame | None = None
+) -> DataFrame:
     """(uri, size, modified) of the stored objects; their content is not read.
 
-    Spark's listing: it is held by the driver, and passes over empty objects.
+    Without ``folders`` this is Spark's listing, which reaches every store that Spark reads,
+    is held by the driver, and passes over empty objects. ``folders`` (folder), paths below
+    ``root``, are listed by the tasks instead, each with all that is below it: the list does
+    not pass the driver, and empty objects are in it.
     """
+    if folders is not None:
+        return _listed_by_tasks(folders, root, glob)
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -152,6 +162,28 @@ def list_objects(spark: SparkSession, root: str, glob: str = "*.jpg") -> DataFra
     )
 
 
+def _listed_by_tasks(folders: DataFrame, root: str, glob: str) -> DataFrame:
+    def listing(batches):
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                below = system.get_file_info(fs.FileSelector(f"{base}/{folder}", recursive=True))
+                found = [i for i in below if i.is_file and fnmatch.fnmatchcase(i.base_name, glob)]
+                times = pa.array([i.mtime_ns // 1000 for i in found], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([root.rstrip("/") + i.path[len(base) :] for i in found], pa.string()),
+                        pa.array([i.size for i in found], pa.int64()),
+                        times.cast(pa.timestamp("us", "UTC")),
+                    ],
+                    ["uri", "size", "modified"],
+                )
+
+    return folders.select("folder").mapInArrow(listing, "uri string, size long, modified timestamp")
+
+
 def read_objects(spark: SparkSession, root: str, glob: str = "*.jpg") -> DataFrame:
     """(uri, content) for scoring."""
     return (
