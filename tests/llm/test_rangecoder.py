@@ -1,3 +1,4 @@
+import time
 import zlib
 
 import numpy as np
@@ -88,3 +89,69 @@ def test_rows_of_all_kinds(spark, file_tokens, tmp_path):
 
 def test_no_documents(spark):
     assert R.round_trip(empty(spark)).count() == 0
+
+
+def skewed(n):
+    return (np.random.default_rng(5).zipf(1.3, n) % 50_000).astype(np.uint32)
+
+
+def test_coding_an_id_costs_little():
+    """CPU time of coding and of decoding, in that of sorting as many numbers."""
+    ids = skewed(400_000)
+    parts = R.blocks_of(ids, R.BLOCK)
+    numbers = np.random.default_rng(6).random(len(ids))
+    took = []
+    for _ in range(3):
+        marks = [time.process_time()]
+        np.argsort(numbers, kind="stable")
+        marks.append(time.process_time())
+        codes = R.encode_blocks(parts)
+        marks.append(time.process_time())
+        R.decode_blocks(codes, [len(p) for p in parts])
+        marks.append(time.process_time())
+        took.append(np.diff(marks))
+    sort, code, decode = np.min(took, axis=0)
+    assert code < 12 * sort and decode < 12 * sort
+
+
+def test_code_is_near_the_entropy():
+    ids = skewed(400_000)
+    p = np.bincount(ids) / len(ids)
+    entropy = -(p[p > 0] * np.log2(p[p > 0])).sum()
+    assert len(R.encode_blocks([ids])[0]) * 8 < (entropy + 0.75) * len(ids)
+
+
+@pytest.mark.parametrize("n", [511, 512, 513, 767, 769, 70_000, R.LANES * R.LEAST_STEPS + 1])
+def test_lanes_of_all_shapes(n):
+    for ids in (skewed(n), np.arange(n, dtype=np.uint32) % R.NOTHING):
+        assert (R.decode_blocks(R.encode_blocks([ids]), [n])[0] == ids).all()
+
+
+def test_unlikely_ids_need_two_words():
+    """Runs that make the last id of each as unlikely as the coder has it."""
+    ids = np.zeros(300_000, np.uint32)
+    ids[::997] = np.arange(len(ids[::997])) * 200 % R.NOTHING
+    assert (R.decode_blocks(R.encode_blocks([ids]), [len(ids)])[0] == ids).all()
+
+
+def test_ids_of_a_block_by_number_and_by_bit():
+    rng = np.random.default_rng(7)
+    last = R.NOTHING - 1
+    for most, n in ((0, 1), (last, 1), (last, last + 1), (40, 30), (16, 17), (50_000, 3_000), (50_000, 9_000)):
+        used = np.append(np.sort(rng.choice(most, n - 1, replace=False)) if n > 1 else [], most).astype(np.int64)
+        data = np.append(R.named(used), [7, 8]).astype("<u2")
+        got, rest = R.names(data)
+        assert got.tolist() == used.tolist() and rest.tolist() == [7, 8]
+
+
+def test_every_damaged_byte_is_found():
+    ids = skewed(3000)
+    data = R.file_bytes(pa.table({"id": [1], "n_tokens": [3000]}), ids)
+    start = len(data) - len(R.encode_blocks([ids])[0])
+    for k in np.random.default_rng(8).integers(start, len(data) - 16, 60):
+        broken = bytearray(data)
+        broken[k] ^= 1 << int(k) % 8
+        with pytest.raises(ValueError, match="block 0 is damaged"):
+            R.file_content(bytes(broken))
+    with pytest.raises(ValueError, match="block 0 is damaged"):
+        R.file_content(data[: start + 40])

@@ -3,10 +3,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.data import TEXTS, documents, empty
 from tidemark.llm import packing as P
+from tidemark.llm import tokens as T
 from tidemark.llm.tokens import Encoder, tokenizer_path
 
 
@@ -116,3 +118,38 @@ def test_rows_of_all_kinds(spark, encoder):
     ids = [len(r["ids"]) for r in P.sequences(packed).collect()]
     assert sum(ids) == total and max(ids) <= 512
     assert P.pack_documents(empty(spark)).collect() == []
+
+
+@pytest.mark.parametrize("remembered, together", [(T.REMEMBERED, T.ARROW_TOGETHER), (40, 300)])
+def test_arrow_arrays_as_the_library_has_them(monkeypatch, remembered, together):
+    monkeypatch.setattr(T, "ARROW_TOGETHER", together)
+    if remembered == 40:
+        monkeypatch.setattr(T, "STRUNG", 7)
+        monkeypatch.setattr(T, "LEARNT", 3)
+    near = ["\u2019", "\u2014", "\x00", "\x1c", "\u200b", "\u2060", "\u00c2"]
+    odd = [f"a{x}b c" for x in (*T.ODD_SPACE, *T.RUNS, *near)]
+    texts = [
+        *(None, "", " ", "\n", "x", " x", "x ", "\nx", "x\n", "x", "\u3000", "x y"),
+        *("a <|endoftext|> b", "<|endoftext|>"),
+        *odd,
+        *("été ça où 東京 \U0001f600 ünï", "don't won't it's\nI'll 'tis", "1 22 333\n55555 x1", "!? ...\n(a)"),
+        *(" ".join(f"word{i * k % 97}" for i in range(60)) for k in range(1, 12)),
+        *("\n".join(f"l{i % 7} z" for i in range(50)), "x" * 500, "y " * 40 + "y"),
+    ]
+    encoder = T.ArrowEncoder(remembered=remembered)
+    library = T.Encoder().tokenizer
+    whole_ = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    sliced = pa.array(["q q", *texts, "r"]).slice(1, len(texts))
+    for array in (pa.array(texts), sliced, pa.array(texts, pa.large_string())):
+        assert [x.tolist() for x in encoder.batches(array)] == whole_
+    assert list(encoder.batches(pa.array([], pa.string()))) == []
+    assert [x.tolist() for x in encoder.batches(pa.array([None, ""], pa.string()))] == [[], []]
+
+
+def test_plain_texts_are_those_that_are_cut():
+    rng = np.random.default_rng(3)
+    letters = ["a", "é", "東", " ", "\n", "\t", "\u2003", "\u2019", "\u3000", "\xa0", "b", "c", "d", "e", "f"]
+    texts = ["".join(rng.choice(letters, int(rng.integers(0, 9)))) for _ in range(3000)]
+    cut = [t != "" and T.words_of(t) is not None for t in texts]
+    assert any(cut) and T.plain(pa.array(texts)).tolist() == cut
+    assert T.plain(pa.array(texts).slice(100, 50)).tolist() == cut[100:150]

@@ -17,10 +17,15 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 REMEMBERED = 1_600_000
 #: Characters of texts that are encoded together.
 TOGETHER = 1 << 20
+#: Bytes of texts in an Arrow array whose words are looked up together, and words whose
+#: ids are strung together; new words that are learnt together.
+ARROW_TOGETHER, STRUNG, LEARNT = 1 << 24, 1 << 17, 1 << 15
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -46,6 +51,30 @@ def words_of(text: str) -> list[str] | None:
     return ("\n" + text).replace("\n", " \n").split(" ")[1:]
 
 
+def plain(texts: pa.StringArray) -> np.ndarray:
+    """Whether ``words_of`` would cut each text, for texts without nulls."""
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    good = np.diff(ends) > 0
+    if not good.any():
+        return good
+    space = (data == 32) | (data == 10)
+    good[good] &= ~(space[ends[:-1][good]] | space[ends[1:][good] - 1])
+    # A run over the border of two texts has the first text's last byte in it.
+    run = np.flatnonzero(space[:-1] & space[1:])
+    good[np.searchsorted(ends, run, "right") - 1] = False
+    # Bytes that may be odd white space; the texts that have some are looked at.
+    odd = (data - np.uint8(9) < 5) & (data != 10)
+    lead, then = data[:-1], data[1:]
+    odd[:-1] |= (lead == 0xC2) & ((then == 0x85) | (then == 0xA0))
+    odd[:-1] |= (lead == 0xE1) & (then == 0x9A) | (lead == 0xE2) & (then | 1 == 0x81)
+    odd[:-1] |= (lead == 0xE3) & (then == 0x80)
+    for k in np.unique(np.searchsorted(ends, np.flatnonzero(odd), "right") - 1):
+        good[k] = good[k] and words_of(texts[int(k)].as_py()) is not None
+    return good
+
+
 class Encoder:
     """Encodes with a vocabulary file, as the library does with its defaults."""
 
@@ -132,14 +161,105 @@ class Encoder:
             yield from self.encode_all(held)
 
 
-_encoders: dict[str, Encoder] = {}
+class ArrowEncoder(Encoder):
+    """Encodes Arrow arrays of texts: Arrow cuts them and looks the words up, in an array
+    of those known. Where that is full, the words of the array at hand stay."""
+
+    def clear(self) -> None:
+        self.known = pa.array([], pa.string())
+        self.ids = np.zeros(0, np.uint32)
+        self.ends = np.zeros(1, np.int64)
+
+    def keep(self, places: np.ndarray) -> None:
+        """Forgets all words but those at the places, which rise."""
+        lengths = np.diff(self.ends)[places]
+        ends = np.append(0, np.cumsum(lengths))
+        self.ids = self.ids[np.repeat(self.ends[places] - ends[:-1], lengths) + np.arange(ends[-1])]
+        self.ends, self.known = ends, self.known.take(pa.array(places))
+
+    def learn(self, words: pa.StringArray) -> None:
+        """Adds new words: some ``LEARNT`` are encoded as one text and cut by the tokens' bytes."""
+        at_line = pc.starts_with(words, "\n")
+        marked = pc.binary_join_element_wise(pc.if_else(at_line, "", " "), words, "")
+        text = marked.buffers()[2].to_pybytes()
+        upto = np.append(0, np.cumsum(pc.binary_length(marked).to_numpy(), dtype=np.int64))
+        cuts = [*upto[:-1:LEARNT], upto[-1]]
+        ids = np.concatenate([self._ids(text[a:b].decode()) for a, b in zip(cuts, cuts[1:])])
+        ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), upto[1:]) + 1
+        self.ends = np.append(self.ends, len(self.ids) + ends)
+        self.ids = np.append(self.ids, ids)
+        self.known = pa.concat_arrays([self.known, words])
+
+    def places(self, words: pa.StringArray) -> np.ndarray:
+        """Where each word is among those known, when all are."""
+        at = pc.index_in(words, value_set=self.known)
+        if not at.null_count:
+            return at.to_numpy()
+        coded = words.filter(at.is_null()).dictionary_encode()
+        new = coded.dictionary
+        at = at.fill_null(-1).to_numpy()
+        missed = at < 0
+        if len(self.known) + len(new) > self.remembered:
+            used = np.flatnonzero(np.bincount(at[~missed], minlength=len(self.known)))
+            back = np.zeros(len(self.known), at.dtype)
+            back[used] = np.arange(len(used))
+            at = np.where(missed, -1, back[at]) if len(used) else at
+            self.keep(used)
+        at = np.array(at)
+        at[missed] = coded.indices.to_numpy() + len(self.known)
+        self.learn(new)
+        return at
+
+    def encode_array(self, texts: pa.StringArray) -> list[np.ndarray]:
+        """The ids of each text; null is empty."""
+        texts = texts.cast(pa.string()).fill_null("")
+        cut = plain(texts)
+        for x in self.added:
+            cut &= ~pc.match_substring(texts, x).to_numpy(zero_copy_only=False)
+        # As words_of does: a line end before the text, whose token is left out again.
+        marked = pc.replace_substring(texts.filter(pa.array(cut)), "\n", " \n")
+        lists = pc.split_pattern(pc.binary_join_element_wise("\n", marked, ""), " ")
+        places = self.places(lists.flatten())
+        parts = self.strung(places, np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy())))
+        return [next(parts) if c else self._ids(texts[k].as_py()) for k, c in enumerate(cut.tolist())]
+
+    def strung(self, places: np.ndarray, borders: np.ndarray) -> Iterator[np.ndarray]:
+        """The ids of the words between each two borders, but for the very first id."""
+        a = 0
+        while a < len(borders) - 1:
+            b = max(a + 1, int(np.searchsorted(borders, borders[a] + STRUNG, "right")) - 1)
+            inner = borders[a : b + 1] - borders[a]
+            part = places[borders[a] : borders[b]]
+            starts = self.ends.take(part)
+            lengths = self.ends[1:].take(part) - starts
+            starts[inner[:-1]] += 1
+            lengths[inner[:-1]] -= 1
+            stops = np.append(0, np.cumsum(lengths))
+            where = np.repeat(starts - stops[:-1], lengths)
+            where += np.arange(len(where))
+            ids, cuts = self.ids.take(where), stops[inner].tolist()
+            yield from map(ids.__getitem__, map(slice, cuts, cuts[1:]))
+            a = b
+
+    def batches(self, texts: pa.StringArray) -> Iterator[np.ndarray]:
+        """The ids of each text, some ``ARROW_TOGETHER`` bytes at a time."""
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64)
+        a = 0
+        while a < len(texts):
+            before = int(sizes[a - 1]) if a else 0
+            b = max(a + 1, int(np.searchsorted(sizes, before + ARROW_TOGETHER, "right")))
+            yield from self.encode_array(texts.slice(a, b - a))
+            a = b
+
+
+_encoders: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str | None = None) -> Encoder:
+def encoder(path: str | None = None, kind: type = Encoder) -> Encoder:
     """The worker's encoder for a vocabulary."""
-    key = path or tokenizer_path()
+    key = (path or tokenizer_path(), kind)
     if key not in _encoders:
-        _encoders[key] = Encoder(key)
+        _encoders[key] = kind(key[0])
     return _encoders[key]
 
 
