@@ -3,6 +3,7 @@ import math
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import artworks as A
 from tidemark.operators import chat as H
@@ -134,6 +135,35 @@ def test_parse_results_keeps_readable_objects_only(spark):
     assert [r.uri for r in out.select("uri").collect()] == ["u1"]
 
 
+def test_no_table_of_the_enriched_results_is_sent_whole(spark, tmp_path):
+    """Small files of long texts: what unfolds is not held by the driver."""
+
+    def stored(name, cols):
+        keys = spark.range(300).withColumn("uri", F.concat(F.lit("http://i/"), F.col("id").cast("string")))
+        keys.selectExpr(*cols).write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    long = "repeat('long text ', 1000)"
+    files = stored("files", ["uri", f"{long} AS note"])
+    images = stored("images", ["uri AS gcs_url", "id AS object_id", f"{long} AS title"])
+    names = ["title", "department", "artist_display_name", "artist_nationality", "medium", "classification"]
+    years = ["1900 AS object_begin_date", "1901 AS object_end_date"]
+    texts = [f"{long} AS {n}" for n in names]
+    objects = stored("objects", ["id AS object_id", "'a (b)' AS culture", *years, *texts])
+    scores = """concat('{"love": {"score": 0.', id % 10, ', "reason": "', repeat('why ', 2000), '"}}')"""
+    results = stored("results", ["if(id = 7, NULL, if(id = 8, 'http://i/9', uri)) AS uri",
+                                 f"if(id = 6, 'cut {{', {scores}) AS result"])
+    name = "spark.sql.maxBroadcastTableSize"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "100k")
+        rows = A.enrich_results(results, A.star_join(files, images, objects)).select("object_id", "love").collect()
+    finally:
+        spark.conf.set(name, before)
+    expected = [(9 if i == 8 else i, i % 10 / 10) for i in range(300) if i not in (6, 7)]
+    assert sorted(tuple(r) for r in rows) == sorted(expected)
+
+
 def test_conditional_counts_leave_out_small_groups(spark):
     df = spark.createDataFrame([("a", 0.9)] * 10 + [("b", 0.9)] * 9 + [(None, 0.9)] * 10, "c string, x double")
     out = A.conditional_counts(df, ["c"], ["x"], 0.9).collect()
